@@ -1,0 +1,173 @@
+import pytest
+from pyspark.sql import functions as F
+
+from flightmart.operators import (
+    drop_columns,
+    fill_missing,
+    flag_counts,
+    flag_missing,
+    key_profile,
+    mapping_frame,
+    missing_audit,
+    nan_audit,
+    non_null_count,
+    override_by_key,
+    peek,
+    relabel_missing,
+    rename,
+    require_not_null,
+    require_present,
+    row_count,
+    rows_missing,
+    rows_with_values,
+    schema_rows,
+    step_counts,
+    strip_non_ascii,
+)
+from flightmart.plans import plan_text
+
+
+@pytest.fixture()
+def raw(spark):
+    return spark.createDataFrame(
+        [
+            ("1", "5", "NA", "100", "N1"),
+            ("2", None, "3", "200", "UNKNOW"),
+            ("3", "7", "4", None, "éé"),
+            ("4", " NA ", "6", "NaN", None),
+            ("5", "8", "9", "300", "Né9"),
+        ],
+        "id string, a string, b string, c string, tail string",
+    )
+
+
+def ids(df):
+    return sorted(r.id for r in df.select("id").collect())
+
+
+def test_require_present_drops_any_missing(raw):
+    assert ids(require_present(raw, ["a", "b"])) == ["3", "4", "5"]  # " NA " is not a token
+
+
+def test_require_not_null_keeps_tokens(raw):
+    assert ids(require_not_null(raw, "b")) == ["1", "2", "3", "4", "5"]
+    assert ids(require_not_null(raw, "a")) == ["1", "3", "4", "5"]
+
+
+def test_rows_missing_and_values(raw):
+    assert ids(rows_missing(raw, "c")) == ["3", "4"]
+    assert ids(rows_with_values(raw, "id", ["2", "4"])) == ["2", "4"]
+
+
+def test_fill_reads_input_row(raw):
+    out = fill_missing(raw, fallbacks={"a": "b", "b": "a"}, constants={"c": "0"})
+    got = {r.id: (r.a, r.b, r.c) for r in out.collect()}
+    assert got["1"] == ("5", "5", "100")  # b filled from the *original* a
+    assert got["2"] == ("3", "3", "200")  # a filled from the original b
+    assert got["3"] == ("7", "4", "0")
+    assert got["4"] == (" NA ", "6", "0")
+
+
+def test_relabel_then_strip(raw):
+    out = strip_non_ascii(relabel_missing(raw, "tail"), "tail")
+    got = {r.id: r.tail for r in out.collect()}
+    assert got == {"1": "N1", "2": "Unknown Tail Number", "3": "", "4": "Unknown Tail Number", "5": "N9"}
+
+
+def test_flag_counts(raw):
+    flagged = flag_missing(raw, "MissingData", ["a", "c"])
+    assert flagged.schema["MissingData"].dataType.simpleString() == "int"
+    assert {r.id: r.MissingData for r in flagged.collect()} == {"1": 0, "2": 1, "3": 1, "4": 1, "5": 0}
+    assert {r.MissingData: r["count"] for r in flag_counts(flagged, "MissingData").collect()} == {0: 2, 1: 3}
+
+
+def test_missing_audit_and_token_override(spark):
+    df = spark.createDataFrame([("NA", "x"), (None, "NULL"), ("AA", "y")], "Code string, d string")
+    assert missing_audit(df).collect()[0].asDict() == {"Code": 2, "d": 1}
+    assert missing_audit(df, tokens_by_col={"Code": ()}).collect()[0].asDict() == {"Code": 1, "d": 1}
+
+
+def test_nan_audit(spark):
+    df = spark.createDataFrame([(float("nan"), 1.0), (None, 2.0), (3.0, None)], "lat double, lon double")
+    assert nan_audit(df, ["lat", "lon"]).collect()[0].asDict() == {"lat": 2, "lon": 1}
+
+
+def test_counts_and_key_profile(spark):
+    df = spark.createDataFrame([("a",), ("a",), (None,), ("b",)], "k string")
+    assert row_count(df).collect()[0].rows == 4
+    assert non_null_count(df, "k").collect()[0][0] == 3
+    assert key_profile(df, "k").collect()[0].asDict() == {"rows": 4, "non_null": 3, "distinct": 2, "duplicates": 1}
+
+
+def test_step_counts(raw):
+    got = step_counts(raw, [("has_a", F.col("a").isNotNull()), ("has_c", F.col("c").isNotNull())])
+    assert got.collect()[0].asDict() == {"rows_in": 5, "has_a": 4, "has_c": 3}
+
+
+def test_projection_ops(raw):
+    assert drop_columns(raw, ["a", "nope"]).columns == ["id", "b", "c", "tail"]
+    renamed = rename(raw, {"tail": "TAIL", "nope": "x"})
+    assert renamed.columns == ["id", "a", "b", "c", "TAIL"]
+    assert schema_rows(renamed)[0] == ("id", "string", True)
+
+
+def test_peek_is_ordered(raw):
+    assert [r.id for r in peek(raw, 2, ["id"]).collect()] == ["1", "2"]
+
+
+@pytest.fixture()
+def airports(spark):
+    return spark.createDataFrame(
+        [("CLD", "NA", "NA"), ("ROR", "Koror", "PW"), ("AAA", "NA", "X"), (None, "n", "s")],
+        "IATA string, city string, state string",
+    )
+
+
+MAPPING = {"CLD": ("San Diego", "CA"), "ROR": ("Airai", "PW350"), "ZZZ": ("Nowhere", "NO")}
+EXPECTED = {
+    "CLD": ("San Diego", "CA"),
+    "ROR": ("Airai", "PW350"),  # overwritten although present
+    "AAA": ("NA", "X"),
+    None: ("n", "s"),
+}
+
+
+def _by_key(df):
+    return {r.IATA: (r.city, r.state) for r in df.collect()}
+
+
+def test_override_literal_form_has_no_join(airports):
+    out = override_by_key(airports, "IATA", MAPPING, ["city", "state"])
+    assert _by_key(out) == EXPECTED
+    assert out.columns == airports.columns
+    assert "Join" not in plan_text(out)
+
+
+def test_override_frame_form_broadcasts_small_mapping(spark, airports):
+    m = mapping_frame(spark, "IATA", MAPPING, ["city", "state"])
+    out = override_by_key(airports, "IATA", m, ["city", "state"])
+    assert _by_key(out) == EXPECTED
+    assert "BroadcastHashJoin" in plan_text(out)
+
+
+def test_override_large_mapping_is_not_broadcast(spark, airports):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        m = mapping_frame(spark, "IATA", MAPPING, ["city", "state"])
+        out = override_by_key(airports, "IATA", m, ["city", "state"], max_broadcast_rows=2)
+        assert _by_key(out) == EXPECTED
+        plan = plan_text(out)
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_override_rejects_repeated_keys(spark, airports):
+    m = spark.createDataFrame([("CLD", "a", "b"), ("CLD", "c", "d")], "IATA string, city string, state string")
+    with pytest.raises(ValueError, match="repeated key"):
+        override_by_key(airports, "IATA", m, ["city", "state"])
+
+
+def test_override_rejects_null_values(airports):
+    with pytest.raises(ValueError):
+        override_by_key(airports, "IATA", {"CLD": ("x", None)}, ["city", "state"])
