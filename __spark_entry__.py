@@ -186,6 +186,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # audits (F1 F7 A3 A4)
     "missing_audit": lambda s, sf: missing_audit(raw_flights(s, sf)),
     "missing_audit_clean": lambda s, sf: missing_audit(clean_flights(raw_flights(s, sf))),
+    "flights_audit_trail": lambda s, sf: jobs.flights_audit_trail(raw_flights(s, sf)),
+    "planes_audit_trail": lambda s, sf: jobs.planes_audit_trail(raw_planes(s, sf)),
     "nan_audit": lambda s, sf: nan_audit(_airports(s, sf), ["latitude", "longitude"]),
     "airport_text_audit": lambda s, sf: missing_audit(
         _airports(s, sf), ["IATA", "airport", "city", "state", "country"]
@@ -383,6 +385,48 @@ def _clean_flights_sql(final: str = "SELECT * FROM clean") -> str:
 {final}"""
 
 
+def _unpivot(stage: str, select: str) -> str:
+    return (
+        f"SELECT '{stage}' AS stage, \"column\", missing FROM "
+        f"(UNPIVOT ({select}) ON COLUMNS(*) INTO NAME \"column\" VALUE missing)"
+    )
+
+
+def _counts(source: str, cols: list[str], keep: str | None, values: dict[str, str] | None = None) -> str:
+    values = values or {}
+    items = ", ".join(
+        f"count(*) FILTER (WHERE {'' if keep is None else keep + ' AND '}"
+        f"{_m('CAST(' + values.get(c, _q(c)) + ' AS VARCHAR)')}) AS {_q(c)}"
+        for c in cols
+    )
+    return f"SELECT {items} FROM {source}"
+
+
+def _flights_trail_sql() -> str:
+    taxi_ok = f"NOT ({_m('TaxiIn')} OR {_m('TaxiOut')})"
+    kept = _FLIGHTS_PRESENT
+    later = STAGED_COLUMNS + [jobs.FLAG_NAME]
+    head = _with("raw_flights") + f""", s AS (
+  SELECT * EXCLUDE ({_DROPPED}) FROM raw_flights
+), filled AS (
+  SELECT * REPLACE ({_TAIL} AS TailNum, {_FILL_FROM}, {_FILL_ZERO}), {_FLAG} AS MissingData,
+    {taxi_ok} AS k_taxi, {kept} AS k_all FROM s
+), aired AS (
+  SELECT * REPLACE (CASE WHEN {_m('AirTime')} THEN {_air_time()} ELSE AirTime END AS AirTime) FROM filled
+)
+"""
+    parts = [
+        _unpivot("raw", _counts("s", STAGED_COLUMNS, None)),
+        _unpivot("after_taxi_filter", _counts("s", STAGED_COLUMNS, taxi_ok)),
+        _unpivot("after_fills", _counts("filled", later, "k_all")),
+        _unpivot("after_air_time", _counts("aired", later, "k_all")),
+    ]
+    return head + "\nUNION ALL\n".join(parts)
+
+
+_PLANE_COLUMNS = ["tailnum", "type", "issue_date", "model", "year"]
+
+
 _OVERRIDE_CITY = " ".join(f"WHEN '{k}' THEN '{v[0]}'" for k, v in jobs.AIRPORT_CITY_STATE.items())
 _OVERRIDE_STATE = " ".join(f"WHEN '{k}' THEN '{v[1]}'" for k, v in jobs.AIRPORT_CITY_STATE.items())
 
@@ -417,6 +461,11 @@ ORACLE: dict[str, str] = {
         + ", ".join(f"count(*) FILTER (WHERE {_m('CAST(' + c + ' AS VARCHAR)')}) AS {c}" for c in CLEAN_COLUMNS)
         + " FROM clean"
     ),
+    "flights_audit_trail": _flights_trail_sql(),
+    "planes_audit_trail": _with("raw_planes")
+    + _unpivot("raw", _counts("raw_planes", _PLANE_COLUMNS, None))
+    + "\nUNION ALL\n"
+    + _unpivot("after_type_filter", _counts("raw_planes", _PLANE_COLUMNS, "type IS NOT NULL")),
     "nan_audit": _with("raw_airports")
     + "SELECT count(*) FILTER (WHERE lat IS NULL OR isnan(lat)) AS latitude, "
     "count(*) FILTER (WHERE long IS NULL OR isnan(long)) AS longitude FROM raw_airports",

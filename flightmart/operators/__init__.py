@@ -24,6 +24,7 @@ from .profile import (
     peek,
     row_count,
     schema_rows,
+    staged_audit,
     step_counts,
 )
 from .projection import drop_columns, rename, select_columns
@@ -56,6 +57,7 @@ __all__ = [
     "rows_with_values",
     "schema_rows",
     "select_columns",
+    "staged_audit",
     "step_counts",
     "strip_non_ascii",
 ]

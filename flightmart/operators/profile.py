@@ -35,6 +35,45 @@ def missing_audit(
     )
 
 
+_STAGE_SEP = "::"
+
+
+def staged_audit(
+    df: DataFrame,
+    stages: Sequence[tuple[str, Column | None, Sequence[str], Mapping[str, Column] | None]],
+    tokens: Sequence[str] = MISSING_TOKENS,
+) -> DataFrame:
+    """Missing counts at several steps of a pipeline, in one pass.
+
+    Instead of auditing, cleaning and auditing again (a scan each time),
+    every stage is described on the *same* input rows:
+    ``(name, keep, columns, values)`` where ``keep`` is the predicate of the
+    rows still present at that stage (``None``: all rows), ``columns`` the
+    columns the stage has, and ``values`` maps a column to the expression
+    giving its value at that stage (default: the column itself).
+
+    Returns long rows ``(stage, column, missing)``.  The wide aggregate is
+    one row, so the unpivot after it costs nothing.
+    """
+    aggs, names = [], []
+    for name, keep, cols, values in stages:
+        values = values or {}
+        for c in cols:
+            miss = is_missing(values.get(c, F.col(c)), tokens)
+            cond = miss if keep is None else (F.coalesce(keep, F.lit(False)) & miss)
+            key = f"{name}{_STAGE_SEP}{c}"
+            aggs.append(F.count_if(cond).alias(key))
+            names.append(key)
+    wide = df.select(aggs)
+    long = wide.unpivot([], [F.col(f"`{n}`") for n in names], "key", "missing")
+    parts = F.split(F.col("key"), _STAGE_SEP, 2)
+    return long.select(
+        parts.getItem(0).alias("stage"),
+        parts.getItem(1).alias("column"),
+        F.col("missing"),
+    )
+
+
 def nan_audit(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """One row: for each floating point column, the NaN-or-NULL count."""
     return df.select([F.count_if(is_missing_num(c)).alias(c) for c in cols])

@@ -8,9 +8,11 @@ from .jobs import (
     clean_flights,
     clean_planes,
     clean_variables,
+    flights_audit_trail,
     flights_job,
     land,
     lookup_job,
+    planes_audit_trail,
 )
 
 __all__ = [
@@ -20,12 +22,14 @@ __all__ = [
     "clean_planes",
     "clean_variables",
     "count_exchanges",
+    "flights_audit_trail",
     "flights_job",
     "jobs",
     "land",
     "lookup_job",
     "physical_plan",
     "plan_text",
+    "planes_audit_trail",
     "pushed_filters",
     "read_schemas",
 ]

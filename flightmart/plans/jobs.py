@@ -18,8 +18,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..functions.missing import MISSING_TOKENS
+from ..functions.missing import MISSING_TOKENS, any_missing
 from ..operators.clean import (
     assemble_date,
     cast_columns,
@@ -33,6 +34,7 @@ from ..operators.clean import (
 )
 from ..operators.filters import require_not_null, require_present
 from ..operators.override import override_by_key
+from ..operators.profile import staged_audit
 from ..operators.projection import drop_columns, rename
 from ..sinks.files import publish, stage_and_verify
 from ..sources.files import read_csv_inferred, read_csv_strings, resolve_sources, year_paths
@@ -111,6 +113,52 @@ def clean_flights(
     return assemble_date(df, DATE_NAME, "Year", "Month", "DayofMonth", skip_null_date_parts)
 
 
+def flights_audit_trail(df: DataFrame, tokens: Sequence[str] = MISSING_TOKENS) -> DataFrame:
+    """The fact job's missing-value audits, all in one pass over the raw rows.
+
+    Four audits: the raw (staged) rows, after the taxi-time filter, after
+    the tail-number / flag / fill steps, and after the air-time fill --
+    the points where the interactive job stopped to look.  Each is
+    computed on the same input rows through keep predicates and the
+    values each column has at that point, so one scan replaces four.
+    Returns ``(stage, column, missing)`` rows.
+    """
+    base = drop_columns(df, DROPPED_COLUMNS)
+    cols = list(base.columns)
+    raw = {c: f"__raw_{c}" for c in cols}
+    work = base.select(*cols, *[F.col(c).alias(a) for c, a in raw.items()])
+    work = relabel_missing(work, TAIL_COLUMN, tokens=tokens)
+    work = strip_non_ascii(work, TAIL_COLUMN)
+    work = flag_missing(work, FLAG_NAME, FLAG_COLUMNS, tokens)
+    work = fill_missing(work, fallbacks=FILL_FROM, constants=FILL_ZERO, tokens=tokens)
+    work = work.withColumn("__filled_AirTime", F.col("AirTime"))
+    work = fill_expr(work, "AirTime", air_time_fill(), tokens)
+    raw_values = {c: F.col(a) for c, a in raw.items()}
+    taxi_ok = ~any_missing([raw[c] for c in REQUIRED_TAXI], tokens)
+    kept = taxi_ok & ~any_missing([raw[c] for c in REQUIRED_SCHEDULE], tokens)
+    later = cols + [FLAG_NAME]
+    return staged_audit(
+        work,
+        [
+            ("raw", None, cols, raw_values),
+            ("after_taxi_filter", taxi_ok, cols, raw_values),
+            ("after_fills", kept, later, {"AirTime": F.col("__filled_AirTime")}),
+            ("after_air_time", kept, later, None),
+        ],
+        tokens,
+    )
+
+
+def planes_audit_trail(df: DataFrame, tokens: Sequence[str] = MISSING_TOKENS) -> DataFrame:
+    """Planes audit before and after the type filter, in one pass."""
+    cols = list(df.columns)
+    return staged_audit(
+        df,
+        [("raw", None, cols, None), ("after_type_filter", F.col(PLANE_TYPE_COLUMN).isNotNull(), cols, None)],
+        tokens,
+    )
+
+
 def clean_airports(df: DataFrame, overrides=AIRPORT_CITY_STATE) -> DataFrame:
     """Rename the airport columns and fix city/state for the listed codes."""
     df = rename(df, AIRPORT_RENAMES)

@@ -171,3 +171,26 @@ def test_override_rejects_repeated_keys(spark, airports):
 def test_override_rejects_null_values(airports):
     with pytest.raises(ValueError):
         override_by_key(airports, "IATA", {"CLD": ("x", None)}, ["city", "state"])
+
+
+def test_staged_audit_one_pass(raw):
+    from flightmart.operators import staged_audit
+    from flightmart.plans import physical_plan
+
+    out = staged_audit(
+        raw,
+        [
+            ("raw", None, ["a", "c"], None),
+            ("kept", F.col("id") != "2", ["a", "c"], None),
+            ("filled", None, ["c"], {"c": F.coalesce(F.col("c"), F.lit("0"))}),
+        ],
+    )
+    got = {(r.stage, r.column): r.missing for r in out.collect()}
+    assert got == {
+        ("raw", "a"): 1,
+        ("raw", "c"): 2,
+        ("kept", "a"): 0,
+        ("kept", "c"): 2,
+        ("filled", "c"): 1,  # NULL filled, "NaN" still a token
+    }
+    assert physical_plan(out).count("Scan ExistingRDD") + physical_plan(out).count("FileScan") <= 1

@@ -138,3 +138,25 @@ def test_streaming_landing_is_incremental(spark, tmp):
     land_incrementally(spark, f"{tmp}/in/*/", cols, stage, ckpt)
     second = read_stage(spark, stage)
     assert sorted(tuple(r) for r in second.collect()) == [("2000", "5"), ("2000", "NA"), ("2001", "7")]
+
+
+def test_publish_splits_a_hot_partition_value(spark, tmp):
+    """One date holding a third of all rows is written by several tasks."""
+    hot = datetime.date(2008, 1, 1)
+    df = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(hot))
+        .otherwise(F.date_add(F.lit(hot), (F.col("id") % 50 + 1).cast("int")))
+        .alias("FlightDate"),
+        F.concat(F.lit("A"), (F.col("id") % 97).cast("string")).alias("Origin"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        publish(df, f"{tmp}/skew", partition_by=["FlightDate"], cluster_by=["Origin"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    hot_files = [f for f in os.listdir(f"{tmp}/skew/FlightDate=2008-01-01") if f.endswith(".parquet")]
+    assert len(hot_files) > 1
+    back = spark.read.parquet(f"{tmp}/skew")
+    assert back.count() == 30000
+    assert back.filter(F.col("FlightDate") == hot).count() == 10000
