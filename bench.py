@@ -12,6 +12,7 @@ pipeline's stages:
   clean_flights    J1  staged Parquet -> cleaned fact (computed in full, no output)
   publish_flights  K3  staged Parquet -> cleaned fact -> date-partitioned publish
   missing_audit    A3  per-column missing counts over the staged raw rows
+  audit_trail      A3 x4  the fact job's four audits (raw .. after air time) in one pass
   flag_counts      A5  MissingData counts over the filtered rows
   lookup_jobs      J2-J5 four lookup CSVs -> cleaned -> published
   key_profile      A7  carrier code uniqueness
@@ -84,7 +85,6 @@ def main() -> None:
     }
     for name, (df, _) in lookups.items():
         df.write.mode("overwrite").option("header", True).csv(f"{run}/lookup_{name}")
-    years = year_paths(f"{run}/csv", 1985, 2015, "source_year={year}")
     bz2_years = year_paths(f"{run}/bz2", 1985, 2015, "source_year={year}")
     _log(f"setup {time.time() - t:.1f}s in {run}")
 
@@ -123,6 +123,7 @@ def main() -> None:
         ),
     )
     timed("missing_audit", lambda: missing_audit(staged).collect()[0]["TaxiIn"])
+    timed("audit_trail", lambda: len(jobs.flights_audit_trail(staged).collect()))
     timed(
         "flag_counts",
         lambda: sorted(

@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .missing import col_of
+from .sqltext import ident, to_int_sql
 
 # Characters the lenient string-to-number cast strips from both ends:
 # ASCII control characters, space and DEL.
@@ -28,16 +29,22 @@ def to_int(c: str | Column) -> Column:
     Out-of-range values give NULL, as before.  Works on any input type
     because it goes through the string form.
 
-    Plain integer text (the vast majority) is handled by ``try_cast``,
-    which accepts a strict subset of the lenient forms with the same
-    values; only when it fails are the regular expressions evaluated
-    (``coalesce`` stops at the first non-NULL argument).
+    Text that starts with a digit or a sign (nearly all values) goes
+    straight to ``try_cast``; everything else (tokens, padding, ``.5``) takes
+    the regular-expression rules.  Checking the first character first keeps
+    tokens such as ``NA`` away from ``try_cast``: under ANSI rules it rejects
+    text by raising and catching an exception, ~20 us per value, where the
+    first-character test costs nanoseconds and the rules well under 1 us.
     """
+    if isinstance(c, str):
+        return F.expr(to_int_sql(ident(c), EDGE_BLANKS, INT_TEXT))
     s = col_of(c).cast("string")
     text = F.regexp_replace(s, EDGE_BLANKS, "")
     whole = F.regexp_replace(text, r"[.].*$", "")
     value = F.when(whole.isin("", "+", "-"), F.lit(0)).otherwise(whole.try_cast("int"))
-    return F.coalesce(s.try_cast("int"), F.when(text.rlike(INT_TEXT), value))
+    first = F.ascii(s)
+    starts_like_int = first.between(48, 57) | first.isin(43, 45)
+    return F.coalesce(F.when(starts_like_int, s.try_cast("int")), F.when(text.rlike(INT_TEXT), value))
 
 
 def to_int_text(c: str | Column) -> Column:

@@ -19,6 +19,8 @@ from operator import and_, or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .sqltext import ident, is_missing_sql
+
 # Fixed values that must equal the reference's for identical results:
 # the four text tokens that mean "missing", the extra tail-number token,
 # and the label that replaces a missing tail number.
@@ -40,7 +42,8 @@ def is_missing(c: str | Column, tokens: Sequence[str] = MISSING_TOKENS) -> Colum
     the ``NaN`` token, an int never matches.  On a string column the cast
     is removed by the optimizer, so the predicate still reaches the scan.
     """
-    c = col_of(c)
+    if isinstance(c, str):
+        return F.expr(is_missing_sql(ident(c), tokens))
     if not tokens:
         return c.isNull()
     return c.isNull() | c.cast("string").isin(list(tokens))

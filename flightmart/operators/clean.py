@@ -22,6 +22,8 @@ from ..functions.missing import (
     col_of,
     is_missing,
 )
+from ..functions.casting import EDGE_BLANKS, INT_TEXT
+from ..functions.sqltext import ident, to_int_sql
 from ..functions.text import strip_non_ascii as strip_expr
 
 _INT_MIN = -(2**31)
@@ -76,6 +78,11 @@ def int_difference(first: str | Column, *rest: str | Column) -> Column:
     around like 32-bit arithmetic did before ANSI mode instead of raising:
     the difference is taken in 64 bits and folded back into int range.
     """
+    names = (first, *rest)
+    if all(isinstance(c, str) for c in names):
+        parts = [f"CAST({to_int_sql(ident(c), EDGE_BLANKS, INT_TEXT)} AS BIGINT)" for c in names]
+        total = " - ".join(parts)
+        return F.expr(f"CAST(pmod(({total}) - ({_INT_MIN}), {_INT_SPAN}) + ({_INT_MIN}) AS INT)")
     total = to_int(first).cast("long")
     for c in rest:
         total = total - to_int(c).cast("long")

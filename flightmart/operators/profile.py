@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.missing import MISSING_TOKENS, all_of, col_of, is_missing, is_missing_num
+from ..functions.sqltext import ident, is_missing_sql, literal
 
 
 def missing_audit(
@@ -35,43 +36,60 @@ def missing_audit(
     )
 
 
-_STAGE_SEP = "::"
-
-
 def staged_audit(
     df: DataFrame,
-    stages: Sequence[tuple[str, Column | None, Sequence[str], Mapping[str, Column] | None]],
+    stages: Sequence[tuple[str, Column | str | None, Sequence[str], Mapping[str, str | Column] | None]],
     tokens: Sequence[str] = MISSING_TOKENS,
 ) -> DataFrame:
     """Missing counts at several steps of a pipeline, in one pass.
 
     Instead of auditing, cleaning and auditing again (a scan each time),
     every stage is described on the *same* input rows:
-    ``(name, keep, columns, values)`` where ``keep`` is the predicate of the
-    rows still present at that stage (``None``: all rows), ``columns`` the
-    columns the stage has, and ``values`` maps a column to the expression
-    giving its value at that stage (default: the column itself).
-
-    Returns long rows ``(stage, column, missing)``.  The wide aggregate is
-    one row, so the unpivot after it costs nothing.
+    ``(name, keep, columns, values)`` where ``keep`` is the predicate (a
+    Column or SQL text) of the rows still present at that stage (``None``:
+    all rows), ``columns`` the columns the stage has, and ``values`` maps a
+    column to the column (name or expression) holding its value at that
+    stage (default: the column itself).
+
+    Returns long rows ``(stage, column, missing)``.
+
+    Plan: the rows are grouped by the distinct keep predicates (a handful
+    of groups, pre-aggregated in every task before a tiny shuffle), each
+    distinct value is counted once per group, and the stage counts are sums
+    over the groups a stage keeps.  Predicates and values shared by stages
+    are evaluated once.
     """
-    aggs, names = [], []
+    keeps: dict[str, str] = {}  # keep text -> group column alias
+    keep_cols: list[Column] = []
+    counts: dict[str, str] = {}  # value key -> count column alias
+    count_cols: list[Column] = []
+    cells: list[tuple[str, str, str | None, str]] = []  # (stage, column, keep alias, count alias)
     for name, keep, cols, values in stages:
-        values = values or {}
+        keep_alias = None
+        if keep is not None:
+            text = keep if isinstance(keep, str) else str(keep)
+            if text not in keeps:
+                keeps[text] = keep_alias = f"__keep{len(keeps)}"
+                pred = F.expr(keep) if isinstance(keep, str) else keep
+                keep_cols.append(F.coalesce(pred, F.lit(False)).alias(keep_alias))
+            keep_alias = keeps[text]
         for c in cols:
-            miss = is_missing(values.get(c, F.col(c)), tokens)
-            cond = miss if keep is None else (F.coalesce(keep, F.lit(False)) & miss)
-            key = f"{name}{_STAGE_SEP}{c}"
-            aggs.append(F.count_if(cond).alias(key))
-            names.append(key)
-    wide = df.select(aggs)
-    long = wide.unpivot([], [F.col(f"`{n}`") for n in names], "key", "missing")
-    parts = F.split(F.col("key"), _STAGE_SEP, 2)
-    return long.select(
-        parts.getItem(0).alias("stage"),
-        parts.getItem(1).alias("column"),
-        F.col("missing"),
-    )
+            v = (values or {}).get(c, c)
+            key = v if isinstance(v, str) else str(v)
+            if key not in counts:
+                counts[key] = alias = f"__miss{len(counts)}"
+                if isinstance(v, str):
+                    count_cols.append(F.expr(f"count_if({is_missing_sql(ident(v), tokens)}) AS {alias}"))
+                else:
+                    count_cols.append(F.count_if(is_missing(v, tokens)).alias(alias))
+            cells.append((name, c, keep_alias, counts[key]))
+    groups = df.groupBy(*keep_cols).agg(*count_cols)
+    sums = [
+        f"coalesce(sum({m if k is None else f'CASE WHEN {k} THEN {m} END'}), 0L) AS __cell{i}"
+        for i, (_, _, k, m) in enumerate(cells)
+    ]
+    rows = ", ".join(f"{literal(st)}, {literal(c)}, __cell{i}" for i, (st, c, _, _) in enumerate(cells))
+    return groups.selectExpr(*sums).selectExpr(f"stack({len(cells)}, {rows}) AS (stage, `column`, missing)")
 
 
 def nan_audit(df: DataFrame, cols: Iterable[str]) -> DataFrame:

@@ -20,7 +20,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.missing import MISSING_TOKENS, any_missing
+from ..functions.missing import MISSING_TOKENS
+from ..functions.sqltext import any_missing_sql, ident
 from ..operators.clean import (
     assemble_date,
     cast_columns,
@@ -133,17 +134,20 @@ def flights_audit_trail(df: DataFrame, tokens: Sequence[str] = MISSING_TOKENS) -
     work = fill_missing(work, fallbacks=FILL_FROM, constants=FILL_ZERO, tokens=tokens)
     work = work.withColumn("__filled_AirTime", F.col("AirTime"))
     work = fill_expr(work, "AirTime", air_time_fill(), tokens)
-    raw_values = {c: F.col(a) for c, a in raw.items()}
-    taxi_ok = ~any_missing([raw[c] for c in REQUIRED_TAXI], tokens)
-    kept = taxi_ok & ~any_missing([raw[c] for c in REQUIRED_SCHEDULE], tokens)
+    # columns the steps rewrite; every other column still holds its raw value
+    changed = {TAIL_COLUMN, *FILL_FROM, *FILL_ZERO, "AirTime", FLAG_NAME}
+    filled = {**raw, **{c: c for c in changed}, "AirTime": "__filled_AirTime"}
+    aired = {**filled, "AirTime": "AirTime"}
+    taxi_ok = f"NOT {any_missing_sql([raw[c] for c in REQUIRED_TAXI], tokens)}"
+    kept = f"{taxi_ok} AND NOT {any_missing_sql([raw[c] for c in REQUIRED_SCHEDULE], tokens)}"
     later = cols + [FLAG_NAME]
     return staged_audit(
         work,
         [
-            ("raw", None, cols, raw_values),
-            ("after_taxi_filter", taxi_ok, cols, raw_values),
-            ("after_fills", kept, later, {"AirTime": F.col("__filled_AirTime")}),
-            ("after_air_time", kept, later, None),
+            ("raw", None, cols, raw),
+            ("after_taxi_filter", taxi_ok, cols, raw),
+            ("after_fills", kept, later, filled),
+            ("after_air_time", kept, later, aired),
         ],
         tokens,
     )
@@ -154,7 +158,7 @@ def planes_audit_trail(df: DataFrame, tokens: Sequence[str] = MISSING_TOKENS) ->
     cols = list(df.columns)
     return staged_audit(
         df,
-        [("raw", None, cols, None), ("after_type_filter", F.col(PLANE_TYPE_COLUMN).isNotNull(), cols, None)],
+        [("raw", None, cols, None), ("after_type_filter", f"{ident(PLANE_TYPE_COLUMN)} IS NOT NULL", cols, None)],
         tokens,
     )
 

@@ -114,3 +114,15 @@ def test_date_from_parts(spark):
     lenient = _values(df, date_from_parts("y", "m", "d", skip_null_parts=True))
     # joining only present parts: "2008-05" and "2008-01" are read as the 1st of the month
     assert lenient[:3] == [datetime.date(2008, 1, 5), datetime.date(2008, 5, 1), datetime.date(2008, 1, 1)]
+
+
+def test_name_and_column_paths_agree(spark):
+    """Names build SQL text (one JVM call); Columns use the Column API."""
+    keys = list(INT_CASES) + [None]
+    df = one_column(spark, keys + ["NA", "null"])
+    by_name = _values(df, to_int("s"))
+    by_col = _values(df, to_int(F.col("s")))
+    assert by_name == by_col
+    assert _values(df, is_missing("s")) == _values(df, is_missing(F.col("s")))
+    d = spark.createDataFrame([("2147483647", "-1", "0"), ("9", "NA", "1"), (" 8.9", "1", ".")], "a string, b string, c string")
+    assert _values(d, int_difference("a", "b", "c")) == _values(d, int_difference(F.col("a"), F.col("b"), F.col("c")))

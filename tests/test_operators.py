@@ -195,3 +195,15 @@ def test_staged_audit_one_pass(raw):
         ("kept", "c"): 2,
         ("filled", "c"): 1,  # NULL filled, "NaN" still a token
     }
+
+
+def test_names_resolve_case_insensitively(spark):
+    """The original casts ``DayofMonth`` but reads ``DayOfMonth``; both must resolve."""
+    import datetime
+
+    from flightmart.operators import assemble_date, cast_columns
+
+    df = spark.createDataFrame([("2008", "1", "5")], "Year string, Month string, DayofMonth string")
+    out = assemble_date(cast_columns(df, ["year", "MONTH", "DayofMonth"]), "FlightDate", "Year", "Month", "DayOfMonth")
+    assert out.collect()[0].FlightDate == datetime.date(2008, 1, 5)
+    assert missing_audit(df, ["dayofmonth"]).collect()[0][0] == 0
