@@ -52,9 +52,25 @@ def to_int_text(c: str | Column) -> Column:
     return to_int(c).cast("string")
 
 
+def _starts_with_number_field(pattern: str) -> bool:
+    """Whether text matching ``pattern`` must begin with a digit (e.g. ``MM/dd/yyyy``)."""
+    if pattern[:3] in ("MMM", "LLL"):
+        return False  # month names
+    return pattern[:1] in ("y", "M", "L", "d", "D", "H", "h", "k", "K", "m", "s")
+
+
 def parse_date(c: str | Column, pattern: str = "MM/dd/yyyy") -> Column:
-    """Date parsed with ``pattern``; text that does not fit gives NULL."""
-    return F.try_to_date(col_of(c).cast("string"), pattern)
+    """Date parsed with ``pattern``; text that does not fit gives NULL.
+
+    When the pattern starts with a number field, text that does not start
+    with a digit (``None``, ``NA``) is answered NULL without calling the
+    parser, which would reject it by throwing and catching an exception.
+    """
+    s = col_of(c).cast("string")
+    parsed = F.try_to_date(s, pattern)
+    if _starts_with_number_field(pattern):
+        return F.when(F.ascii(s).between(48, 57), parsed)
+    return parsed
 
 
 def date_from_parts(

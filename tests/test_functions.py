@@ -126,3 +126,13 @@ def test_name_and_column_paths_agree(spark):
     assert _values(df, is_missing("s")) == _values(df, is_missing(F.col("s")))
     d = spark.createDataFrame([("2147483647", "-1", "0"), ("9", "NA", "1"), (" 8.9", "1", ".")], "a string, b string, c string")
     assert _values(d, int_difference("a", "b", "c")) == _values(d, int_difference(F.col("a"), F.col("b"), F.col("c")))
+
+
+def test_parse_date_guard_keeps_results(spark):
+    vals = ["02/03/1999", " 02/03/1999", "None", "NA", None, "12/31/2000", "x2/03/1999"]
+    df = one_column(spark, vals)
+    guarded = _values(df, parse_date("s"))
+    plain = _values(df, F.try_to_date(F.col("s"), "MM/dd/yyyy"))
+    assert guarded == plain
+    months = one_column(spark, ["Feb 03 1999", "None"])
+    assert _values(months, parse_date("s", "MMM dd yyyy")) == [datetime.date(1999, 2, 3), None]

@@ -160,3 +160,11 @@ def test_publish_splits_a_hot_partition_value(spark, tmp):
     back = spark.read.parquet(f"{tmp}/skew")
     assert back.count() == 30000
     assert back.filter(F.col("FlightDate") == hot).count() == 10000
+
+
+def test_session_defaults_are_applied(spark):
+    from flightmart.session import DEFAULT_CONF, get_session
+
+    s = get_session()  # reuses the running session and sets the SQL defaults on it
+    assert s.conf.get("spark.sql.codegen.hugeMethodLimit") == DEFAULT_CONF["spark.sql.codegen.hugeMethodLimit"]
+    assert s.conf.get("spark.sql.adaptive.enabled") == "true"
