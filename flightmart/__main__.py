@@ -41,6 +41,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--last", type=int, default=jobs.LAST_YEAR)
     p.add_argument("--pattern", default=jobs.YEAR_FILE_PATTERN)
     p.add_argument("--on-missing", choices=["fail", "skip"], default="fail")
+    p.add_argument("--reuse-stage", action="store_true", help="flights: resume from a committed stage")
     return p
 
 
@@ -54,7 +55,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "flights":
         rows = jobs.flights_job(
             spark, args.source, args.stage, args.target, args.first, args.last, args.pattern,
-            args.on_missing, args.table,
+            args.on_missing, args.table, args.reuse_stage,
         )
         print(f"published {args.target} from {rows} staged rows")
     elif args.job == "audit":

@@ -38,7 +38,14 @@ from ..operators.override import override_by_key
 from ..operators.profile import staged_audit
 from ..operators.projection import drop_columns, rename
 from ..sinks.files import publish, stage_and_verify
-from ..sources.files import read_csv_inferred, read_csv_strings, resolve_sources, year_paths
+from ..sources.files import (
+    path_exists,
+    read_csv_inferred,
+    read_csv_strings,
+    read_stage,
+    resolve_sources,
+    year_paths,
+)
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the original jobs' for identical results.
@@ -211,10 +218,20 @@ def flights_job(
     pattern: str = YEAR_FILE_PATTERN,
     on_missing: str = "fail",
     as_table: bool = False,
+    reuse_stage: bool = False,
 ) -> int:
-    """Yearly CSVs -> staged Parquet -> cleaned fact, published by date."""
-    paths = year_paths(source_root, first, last, pattern)
-    staged, rows = land(spark, paths, stage_path, on_missing)
+    """Yearly CSVs -> staged Parquet -> cleaned fact, published by date.
+
+    With ``reuse_stage`` a stage whose write committed (``_SUCCESS``) is
+    read instead of landing again, so a run that failed while publishing
+    resumes from the stage rather than re-parsing every source file.
+    """
+    if reuse_stage and path_exists(spark, f"{stage_path.rstrip('/')}/_SUCCESS"):
+        staged = read_stage(spark, stage_path)
+        rows = staged.count()
+    else:
+        paths = year_paths(source_root, first, last, pattern)
+        staged, rows = land(spark, paths, stage_path, on_missing)
     publish(
         clean_flights(staged),
         target,

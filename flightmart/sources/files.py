@@ -25,15 +25,32 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` (a file, folder or glob) matches anything.
 
     Uses the Hadoop file system of the session, so it works for every
-    scheme the cluster can read (hdfs, s3a, gs, abfs, file).
+    scheme the cluster can read (hdfs, s3a, gs, abfs, file).  Without a
+    JVM gateway (Spark Connect) it asks the file-source listing instead,
+    which fails analysis for a path that does not exist.
     """
-    jvm = spark.sparkContext._jvm
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:
+        return _listable(spark, path)
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    matches = fs.globStatus(hpath)
+    matches = hpath.getFileSystem(conf).globStatus(hpath)
     return matches is not None and len(matches) > 0
 
 
+def _listable(spark: SparkSession, path: str) -> bool:
+    from pyspark.errors import AnalysisException
+
+    try:
+        spark.read.format("binaryFile").load(path).schema
+        return True
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+            return False
+        raise
+
+
 def resolve_sources(
     spark: SparkSession, paths: Sequence[str], on_missing: str = "fail"
 ) -> list[str]:

@@ -34,3 +34,16 @@ def test_cli_flights_and_lookup(spark, capsys):
     _write(f"{d}/carriers.csv", "Code,Description\nNA,North American\nAA,American\n")
     assert main(["carriers", "--source", f"{d}/carriers.csv", "--target", f"{d}/carriers"]) == 0
     assert sorted(r.Code for r in spark.read.parquet(f"{d}/carriers").collect()) == ["AA", "NA"]
+
+
+def test_flights_job_resumes_from_committed_stage(spark):
+    from flightmart.plans import jobs
+    from flightmart.sources.files import _listable
+
+    d = tempfile.mkdtemp(prefix="flightmart-resume-")
+    _write(f"{d}/in/2007_data.csv", HEADER + "2007,1,2,3,NA,900,1100,1105,AA,12,N1,100,120,NA,NA,3,SFO,LAX,337,5,10,0,,0,NA,NA,NA,NA,NA\n")
+    assert jobs.flights_job(spark, f"{d}/in", f"{d}/stage", f"{d}/fact", 2007, 2007) == 1
+    # a rerun pointed at a source root that does not exist completes from the committed stage
+    assert jobs.flights_job(spark, f"{d}/absent", f"{d}/stage", f"{d}/fact2", 2007, 2007, reuse_stage=True) == 1
+    assert spark.read.parquet(f"{d}/fact2").count() == 1
+    assert _listable(spark, f"{d}/stage") and not _listable(spark, f"{d}/nothing-here")
