@@ -65,7 +65,6 @@ from flightmart.sources import (  # noqa: E402
     raw_flights,
     raw_planes,
     raw_variables,
-    read_csv_inferred,
     read_csv_strings,
     read_stage,
     resolve_sources,

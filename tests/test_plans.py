@@ -4,7 +4,6 @@ import re
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from flightmart.plans import (
