@@ -30,8 +30,8 @@ def count_exchanges(df: DataFrame) -> int:
 
 
 def pushed_filters(df: DataFrame) -> list[str]:
-    """The ``PushedFilters`` lists of every scan in the plan."""
-    return re.findall(r"PushedFilters: \[([^\]]*)\]", plan_text(df, "formatted"))
+    """The ``PushedFilters`` list of every scan in the plan (bracket contents, nesting kept)."""
+    return re.findall(r"PushedFilters: \[(.*)\]\s*$", plan_text(df, "formatted"), flags=re.M)
 
 
 def read_schemas(df: DataFrame) -> list[str]:

@@ -82,3 +82,20 @@ def test_flag_counts_uses_partial_aggregation(staged):
     out = flag_counts(flag_missing(staged, "MissingData", jobs.FLAG_COLUMNS), "MissingData")
     text = plan_text(out, "extended")
     assert text.count("HashAggregate") >= 2  # partial (map side) + final
+
+
+def test_pushed_filters_helper_keeps_nested_lists(staged):
+    from flightmart.plans import pushed_filters
+
+    pushed = pushed_filters(clean_flights(staged))
+    assert len(pushed) == 1
+    assert "Not(In(TaxiIn, [NA,NULL,NaN,null]))" in pushed[0]
+    assert "IsNotNull(CRSElapsedTime)" in pushed[0]
+
+
+def test_audit_trail_is_one_scan(staged):
+    out = jobs.flights_audit_trail(staged)
+    plan = physical_plan(out)
+    assert plan.count("FileScan parquet") == 1
+    # partial counts per keep-group (a few rows per task), then one tiny final sum
+    assert count_exchanges(out) == 2
