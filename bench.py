@@ -4,8 +4,11 @@
 
 Setup (untimed) derives the raw inputs from the benchmark tables: the dirty
 flights projection written as one header-CSV folder per year (plain and
-bzip2) and the four lookups as CSV.  The timed queries are the original
-pipeline's stages:
+bzip2) and the four lookups as CSV.  The cleaning and audit plans first run once on the
+smallest tables ($BENCH_WARMUP_DIR, default sf0.001) for the compile-heavy
+cleaning and audit plans, to warm the JIT and the generated-code cache; its
+time is reported as ``warmup_seconds``.  The timed
+queries are the original pipeline's stages:
 
   land_bz2         J6  yearly .bz2 CSVs -> verified Parquet stage
   flights_job      J1  yearly CSVs -> stage -> clean -> date-partitioned publish
@@ -56,23 +59,8 @@ def _write_years(raw, root: str, compression: str | None) -> None:
     w.partitionBy("source_year").csv(root)
 
 
-def main() -> None:
-    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = get_session(
-        app="flightmart-bench",
-        master=f"local[{cpus}]",
-        shuffle_partitions=int(cpus) * 2,
-        extra={
-            "spark.ui.enabled": "false",
-            "spark.ui.showConsoleProgress": "false",
-            "spark.driver.memory": "8g",
-        },
-    )
-    spark.sparkContext.setLogLevel("ERROR")
-    run = shared_dir(spark, "bench")
-
-    # ---- setup (untimed): raw inputs derived from the benchmark tables ----
+def run_suite(spark, sf_dir: str, run: str, log=_log) -> tuple[dict[str, float], int]:
+    """Set up raw inputs under ``run`` (untimed), then time every query once."""
     t = time.time()
     raw = raw_flights(spark, sf_dir)
     _write_years(raw, f"{run}/csv", None)
@@ -86,7 +74,7 @@ def main() -> None:
     for name, (df, _) in lookups.items():
         df.write.mode("overwrite").option("header", True).csv(f"{run}/lookup_{name}")
     bz2_years = year_paths(f"{run}/bz2", 1985, 2015, "source_year={year}")
-    _log(f"setup {time.time() - t:.1f}s in {run}")
+    log(f"setup {time.time() - t:.1f}s in {run}")
 
     stage = f"{run}/stage"
     results: dict[str, float] = {}
@@ -95,12 +83,9 @@ def main() -> None:
         t0 = time.time()
         out = fn()
         results[name] = round(time.time() - t0, 3)
-        _log(f"{name}: {results[name]}s {'' if out is None else out}")
+        log(f"{name}: {results[name]}s {'' if out is None else out}")
         return out
 
-    # warm-up (untimed): JIT and class loading
-    jobs.clean_flights(raw_flights(spark, sf_dir)).write.format("noop").mode("overwrite").save()
-
     timed("land_bz2", lambda: jobs.land(spark, bz2_years, stage, on_missing="skip")[1])
     timed(
         "flights_job",
@@ -148,6 +133,41 @@ def main() -> None:
         "key_profile",
         lambda: key_profile(read_csv_inferred(spark, f"{run}/lookup_carriers"), "Code").collect()[0].asDict(),
     )
+    return results, raw.count()
+
+
+def main() -> None:
+    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
+    warmup_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001").rstrip("/")
+    cpus = os.environ.get("BENCH_CPUS", "8")
+    spark = get_session(
+        app="flightmart-bench",
+        master=f"local[{cpus}]",
+        shuffle_partitions=int(cpus) * 2,
+        extra={
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.driver.memory": "8g",
+        },
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    run = shared_dir(spark, "bench")
+
+    # Warm-up (not in the total): compile the wide cleaning and audit plans once on
+    # a small stage, so JIT and generated-code compilation (a fixed cost per plan
+    # shape, several seconds for the cleaning stage) are not counted as data
+    # processing.  File-heavy queries are not repeated: on tiny data the publish
+    # shuffle coalesces into one task that creates every daily file serially.
+    t = time.time()
+    if warmup_dir != sf_dir and os.path.isdir(warmup_dir):
+        small = raw_flights(spark, warmup_dir).drop(*jobs.DROPPED_COLUMNS)
+        small.write.mode("overwrite").parquet(f"{run}/warmup_stage")
+        staged = spark.read.parquet(f"{run}/warmup_stage")
+        jobs.clean_flights(staged).write.format("noop").mode("overwrite").save()
+        jobs.flights_audit_trail(staged).collect()
+        missing_audit(staged).collect()
+    warmup_seconds = round(time.time() - t, 3)
+    results, raw_rows = run_suite(spark, sf_dir, f"{run}/timed")
 
     print(
         json.dumps(
@@ -158,7 +178,9 @@ def main() -> None:
                 "queries": results,
                 "sf": os.path.basename(sf_dir).replace("sf", ""),
                 "cpus": int(cpus),
-                "raw_rows": raw.count(),
+                "raw_rows": raw_rows,
+                "warmup_sf": os.path.basename(warmup_dir).replace("sf", ""),
+                "warmup_seconds": warmup_seconds,
             }
         )
     )
