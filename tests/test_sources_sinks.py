@@ -168,3 +168,25 @@ def test_session_defaults_are_applied(spark):
     s = get_session()  # reuses the running session and sets the SQL defaults on it
     assert s.conf.get("spark.sql.codegen.hugeMethodLimit") == DEFAULT_CONF["spark.sql.codegen.hugeMethodLimit"]
     assert s.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
+def test_publish_without_rebalance_writes_from_scan_tasks(spark, tmp):
+    """Date-ordered input: no shuffle, files per date bounded by the tasks spanning it."""
+    df = spark.createDataFrame(
+        [(datetime.date(2008, 1, 1 + i // 10), f"A{i % 3}", i) for i in range(40)], "FlightDate date, Origin string, n int"
+    ).coalesce(2)
+    publish(df, f"{tmp}/noreb", partition_by=["FlightDate"], cluster_by=["Origin"], rebalance=False)
+    back = spark.read.parquet(f"{tmp}/noreb")
+    assert sorted(r.n for r in back.collect()) == list(range(40))
+    for d in sorted(x for x in os.listdir(f"{tmp}/noreb") if x.startswith("FlightDate=")):
+        assert len([f for f in os.listdir(f"{tmp}/noreb/{d}") if f.endswith(".parquet")]) <= 2
+
+
+def test_lookup_job_with_explicit_schema(spark, tmp):
+    from flightmart.plans import jobs
+
+    _write(f"{tmp}/planes.csv", "tailnum,type,issue_date,model,year\nN1,Jet,02/03/1999,A,1999\nN2,,None,B,None\n")
+    schema = "tailnum string, type string, issue_date string, model string, year string"
+    jobs.lookup_job(spark, f"{tmp}/planes.csv", jobs.clean_planes, f"{tmp}/planes_out", schema=schema)
+    rows = spark.read.parquet(f"{tmp}/planes_out").collect()
+    assert [(r.tailnum, str(r.issue_date), r.year) for r in rows] == [("N1", "1999-02-03", 1999)]
