@@ -129,18 +129,22 @@ def non_null_count(df: DataFrame, col: str, name: str | None = None) -> DataFram
     return df.select(F.count(col_of(col)).alias(name or f"count_{col}"))
 
 
-def key_profile(df: DataFrame, col: str) -> DataFrame:
+def key_profile(df: DataFrame, col: str, approx_rsd: float | None = None) -> DataFrame:
     """Is ``col`` a key?  rows, non-NULL, distinct and duplicate counts.
 
     ``count_distinct`` is planned as a two-level aggregate: a partial
     de-duplication per task, a shuffle on the key, then a merge, so a hot
-    key costs one row per task rather than one per occurrence.
+    key costs one row per task rather than one per occurrence.  On a key
+    with billions of values that shuffle still moves every distinct value;
+    ``approx_rsd`` (e.g. 0.01) switches to a HyperLogLog++ estimate whose
+    fixed-size sketches are the only thing shuffled.
     """
     c = col_of(col)
+    distinct = F.count_distinct(c) if approx_rsd is None else F.approx_count_distinct(c, approx_rsd)
     return df.select(
         F.count(F.lit(1)).alias("rows"),
         F.count(c).alias("non_null"),
-        F.count_distinct(c).alias("distinct"),
+        distinct.alias("distinct"),
     ).withColumn("duplicates", F.col("non_null") - F.col("distinct"))
 
 

@@ -208,3 +208,15 @@ def test_names_resolve_case_insensitively(spark):
     out = assemble_date(cast_columns(df, ["year", "MONTH", "DayofMonth"]), "FlightDate", "Year", "Month", "DayOfMonth")
     assert out.collect()[0].FlightDate == datetime.date(2008, 1, 5)
     assert missing_audit(df, ["dayofmonth"]).collect()[0][0] == 0
+
+
+def test_key_profile_approximate_mode(spark):
+    from flightmart.plans import physical_plan
+
+    df = spark.range(200000).select((F.col("id") % 50000).alias("k"))
+    exact = key_profile(df, "k").collect()[0]
+    approx_df = key_profile(df, "k", approx_rsd=0.02)
+    approx = approx_df.collect()[0]
+    assert exact.distinct == 50000 and exact.rows == approx.rows == 200000
+    assert abs(approx.distinct - 50000) / 50000 < 0.06
+    assert "approx_count_distinct" in physical_plan(approx_df)
