@@ -7,6 +7,7 @@
     python -m flightmart planes    --source FILE --target PATH_OR_TABLE [--table]
     python -m flightmart variables --source FILE --target PATH_OR_TABLE [--table]
     python -m flightmart audit     --stage PATH          (one-pass audit trail, printed)
+    python -m flightmart stream    --source GLOB --stage PATH --checkpoint PATH   (incremental landing)
 
 The session comes from ``spark-submit`` / the environment (master, executors,
 ``spark.checkpoint.dir``); only the job defaults in ``session.DEFAULT_CONF``
@@ -20,7 +21,8 @@ import sys
 
 from .plans import jobs
 from .session import get_session
-from .sources.files import read_stage, year_paths
+from .sources.files import csv_header, read_stage, year_paths
+from .streaming.landing import land_incrementally
 
 LOOKUPS = {
     "airports": jobs.clean_airports,
@@ -32,7 +34,7 @@ LOOKUPS = {
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="flightmart")
-    p.add_argument("job", choices=["land", "flights", "audit", *LOOKUPS])
+    p.add_argument("job", choices=["land", "flights", "audit", "stream", *LOOKUPS])
     p.add_argument("--source", help="yearly CSV folder (land, flights) or lookup CSV file")
     p.add_argument("--stage", help="Parquet staging folder")
     p.add_argument("--target", help="published table path, or catalog name with --table")
@@ -42,6 +44,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--pattern", default=jobs.YEAR_FILE_PATTERN)
     p.add_argument("--on-missing", choices=["fail", "skip"], default="fail")
     p.add_argument("--reuse-stage", action="store_true", help="flights: resume from a committed stage")
+    p.add_argument("--checkpoint", help="stream: progress folder kept with the stage (shared storage)")
     return p
 
 
@@ -58,6 +61,10 @@ def main(argv: list[str] | None = None) -> int:
             args.on_missing, args.table, args.reuse_stage,
         )
         print(f"published {args.target} from {rows} staged rows")
+    elif args.job == "stream":
+        columns = csv_header(spark, args.source)
+        land_incrementally(spark, args.source, columns, args.stage, args.checkpoint)
+        print(f"stage {args.stage} is up to date with {args.source}")
     elif args.job == "audit":
         for r in jobs.flights_audit_trail(read_stage(spark, args.stage)).collect():
             print(f"{r.stage:>18} {r.column:>18} {r.missing}")

@@ -47,3 +47,16 @@ def test_flights_job_resumes_from_committed_stage(spark):
     assert jobs.flights_job(spark, f"{d}/absent", f"{d}/stage", f"{d}/fact2", 2007, 2007, reuse_stage=True) == 1
     assert spark.read.parquet(f"{d}/fact2").count() == 1
     assert _listable(spark, f"{d}/stage") and not _listable(spark, f"{d}/nothing-here")
+
+
+def test_cli_stream_lands_new_files_only(spark, capsys):
+    d = tempfile.mkdtemp(prefix="flightmart-stream-")
+    row = "2007,1,2,3,900,900,1100,1105,AA,12,N1,100,120,85,3,3,SFO,LAX,337,5,10,0,,0,NA,NA,NA,NA,NA\n"
+    _write(f"{d}/in/2007/part-0.csv", HEADER + row)
+    args = ["stream", "--source", f"{d}/in/*/", "--stage", f"{d}/stage", "--checkpoint", f"{d}/ckpt"]
+    assert main(args) == 0
+    _write(f"{d}/in/2008/part-0.csv", HEADER + row.replace("2007,", "2008,", 1))
+    assert main(args) == 0
+    staged = spark.read.parquet(f"{d}/stage")
+    assert sorted(r.Year for r in staged.collect()) == ["2007", "2008"]
+    assert "CarrierDelay" not in staged.columns
