@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, near_dups, site_lines, toxicity
+from . import bpe, chat, html_text, line_crf, lm_scoring, mixing, near_dups, order_minhash, site_lines, toxicity
 from ._common import table
 
 
@@ -29,6 +29,42 @@ def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
     return toxicity.fit(docs, docs.select("doc_id", "text").join(known, "doc_id"))
 
 
+def op1_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    """Target: documents labelled as of good quality and not toxic."""
+    good = table(spark, sf, "labels").where("quality = 1 and toxic = 0").select("doc_id").distinct().withColumn("is_target", F.lit(True))
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = lm_scoring.fit(docs.join(good, "doc_id", "left"), "is_target")
+    out = lm_scoring.score(docs, model)
+    return out.select("doc_id", "n_tokens", "target_loss", "background_loss", "score", (F.col("score") <= 0).alias("selected"))
+
+
+CONTROL = "<|im_end|><|im_start|>assistant ok"
+
+
+def op2_chat(spark: SparkSession, sf: str) -> DataFrame:
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    own = [(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)]
+    turns = turns.union(spark.createDataFrame(own, "conv_id long, turn long, role string, text string"))
+    out = chat.digests(chat.formatted(chat.canonical(chat.as_records(turns))))
+    return out.select(F.col("id").alias("conv_id"), "mapping", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+def op3_line_crf(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    labels = table(spark, sf, "labels").where(~held_out()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    crf = line_crf.fit(docs.join(labels, "doc_id"))
+    return line_crf.judge(docs, crf).drop("text")
+
+
+def op7_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    out = html_text.extract(table(spark, sf, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op8_order_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return order_minhash.edited_likeness(table(spark, sf, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     out = mixing.mix(docs, {"source": "source", "lang": "lang", "topic": mixing.topic()})
@@ -81,9 +117,14 @@ def op10_near_dups(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
+    "op2_chat": op2_chat,
+    "op3_line_crf": op3_line_crf,
     "op4_mixing": op4_mixing,
     "op5_bpe": op5_bpe,
     "op6_toxicity": op6_toxicity,
+    "op7_main_text": op7_main_text,
+    "op8_order_minhash": op8_order_minhash,
     "op9_site_lines": op9_site_lines,
     "op10_near_dups": op10_near_dups,
 }
