@@ -242,7 +242,8 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "quality", id: str
     rows = labelled.select(F.col(quoted(id)).cast("string").alias("id"), text_or_empty(F.col(quoted(text))).alias("text"), F.col(quoted(label)).cast("int").alias("y")).where("y in (0, 1)")
     n = rows.groupBy("y").count().collect()
     rate = {r[0]: min(1.0, p.max_train / 2 / r[1]) for r in n}
-    draw = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / float(1 << 30)
+    # By the id alone, so that labels are thinned out before they meet the texts.
+    draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
     chosen = rows.where(draw < F.when(F.col("y") == 1, F.lit(rate.get(1, 0.0))).otherwise(F.lit(rate.get(0, 0.0))))
 
     def shaped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -2,7 +2,8 @@
 
 Fitting: the vocabulary holds the words whose document counts among the
 labelled training rows are tied to the toxic label (log-likelihood ratio of
-the two-by-two table); every other word of a text adds to one common term,
+the two-by-two table) and that follow several different words there, which
+the words of one much copied text don't; every other word of a text adds to one common term,
 so a vector also knows how dense the telling words are.  IDF is counted over
 all documents.  The examples are a bounded, stratified sample of training
 rows; equal vectors are merged and keep their class weights.
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -37,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ._common import text_or_empty
+from ._common import stored, text_or_empty
 
 WORD = re.compile(r"\w+")
 RESULT = "score double, predicted int, evidence array<struct<example_id: string, cosine: double, label: int>>"
@@ -51,6 +53,8 @@ class Params:
     max_examples: int = 4096  # indexed examples of each class, about
     min_association: float = 25.0  # log-likelihood ratio from which a word is kept
     neighbours: int = 15
+    min_contexts: int = 8  # classes of words, out of 64, that a word must follow in toxic rows
+    evidence: int = 5
     block: int = 64
     threshold: float = 0.3
 
@@ -126,6 +130,7 @@ class Model:
     prior: float
     steps: tuple[np.ndarray, np.ndarray]  # votes and the probabilities they stand for
     params: Params
+    known: dict[int | None, tuple[float, list[dict]]] = field(default_factory=dict)
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         return weigh(term_counts(text, self.vocabulary), self.idf)
@@ -145,12 +150,19 @@ class Model:
         return float(np.interp(vote, *self.steps)) if len(self.steps[0]) else vote
 
     def score(self, text: str | None) -> tuple[float, list[dict]]:
-        found = self.index.search(*self.vector(text), self.params.neighbours)
+        terms, weights = self.vector(text)
+        alone = int(terms[0]) if len(terms) == 1 else None  # a vector of one term is the same in any text
+        if alone in self.known:
+            return self.known[alone]
+        found = self.index.search(terms, weights, self.params.neighbours)
         evidence = [
             {"example_id": self.index.ids[i], "cosine": c, "label": int(self.index.mass[i][1] > self.index.mass[i][0])}
-            for c, i in found
+            for c, i in found[: self.params.evidence]
         ]
-        return self.probability(self.vote(found)), evidence
+        out = self.probability(self.vote(found)), evidence
+        if alone is not None:
+            self.known[alone] = out
+        return out
 
 
 def term_counts(text: str | None, vocabulary: dict[str, int]) -> dict[int, int]:
@@ -195,25 +207,34 @@ def fit(docs: DataFrame, labelled: DataFrame, text: str = "text", label: str = "
     rows = labelled.select(
         F.col(id).cast("string").alias("id"), text_or_empty(text).alias("text"), F.col(label).cast("int").alias("y")
     ).where(F.col("y").isin(0, 1))
+    rows = stored(rows, "toxicity-labelled")
     share = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / float(1 << 30)
     n, pos = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     train = rows.where(share < p.max_train / n) if n > p.max_train else rows
 
     def count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n, pos = Counter(), Counter()
+        n, pos, after = Counter(), Counter(), {}
+
+        def taken() -> pd.DataFrame:
+            return pd.DataFrame([(w, c, pos[w], after.get(w, 0)) for w, c in n.items()], columns=["word", "n", "pos", "after"])
+
         for b in batches:
             for t, y in zip(b["text"], b["y"]):
-                own = set(words(t))
+                found = words(t)
+                own = set(found)
                 n.update(own)
                 if y:
                     pos.update(own)
+                    for before, w in zip(["", *found], found):
+                        after[w] = after.get(w, 0) | 1 << (zlib.crc32(before.encode()) & 63)
             if len(n) > 200_000:
-                yield pd.DataFrame([(w, c, pos[w]) for w, c in n.items()], columns=["word", "n", "pos"])
-                n, pos = Counter(), Counter()
-        yield pd.DataFrame([(w, c, pos[w]) for w, c in n.items()], columns=["word", "n", "pos"])
+                yield taken().astype({"after": "uint64"}).astype({"after": "int64"})
+                n, pos, after = Counter(), Counter(), {}
+        yield taken().astype({"after": "uint64"}).astype({"after": "int64"})
 
-    counts = train.select("text", "y").mapInPandas(count_words, "word string, n long, pos long")
-    counts = counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")).where("pos > 0")
+    counts = train.select("text", "y").mapInPandas(count_words, "word string, n long, pos long, after long")
+    counts = counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"), F.bit_or("after").alias("after"))
+    counts = counts.where((F.col("pos") > 0) & (F.bit_count("after") >= p.min_contexts))
     size, toxic = train.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     log_part = lambda k, m: f"CASE WHEN {k} > 0 THEN {k} * ln({k} / ({m})) ELSE 0 END"
     ratio = (
