@@ -82,7 +82,7 @@ def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = toxicity_model(docs, table(spark, sf, "labels"))
     out = toxicity.score(docs.select("doc_id", "text"), model)
-    return out.select("doc_id", held_out().alias("held_out"), "score", "predicted", F.to_json("evidence").alias("evidence"))
+    return out.select("doc_id", held_out().alias("held_out"), "score", "predicted", "evidence_ids", "evidence_cosines", "evidence_labels")
 
 
 def op9_site_lines(spark: SparkSession, sf: str) -> DataFrame:

@@ -39,10 +39,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ._common import stored, text_or_empty
+from ._common import quoted, stored, text_or_empty
 
 WORD = re.compile(r"\w+")
-RESULT = "score double, predicted int, evidence array<struct<example_id: string, cosine: double, label: int>>"
+COLUMNS = ["score", "predicted", "evidence_ids", "evidence_cosines", "evidence_labels"]
+RESULT = "score double, predicted int, evidence_ids array<string>, evidence_cosines array<double>, evidence_labels array<int>"
 
 
 @dataclass
@@ -55,7 +56,7 @@ class Params:
     neighbours: int = 15
     min_contexts: int = 8  # classes of words, out of 64, that a word must follow in toxic rows
     evidence: int = 5
-    block: int = 64
+    block: int = 256
     threshold: float = 0.3
 
 
@@ -130,7 +131,7 @@ class Model:
     prior: float
     steps: tuple[np.ndarray, np.ndarray]  # votes and the probabilities they stand for
     params: Params
-    known: dict[int | None, tuple[float, list[dict]]] = field(default_factory=dict)
+    known: dict[int, tuple] = field(default_factory=dict)
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         return weigh(term_counts(text, self.vocabulary), self.idf)
@@ -149,17 +150,16 @@ class Model:
     def probability(self, vote: float) -> float:
         return float(np.interp(vote, *self.steps)) if len(self.steps[0]) else vote
 
-    def score(self, text: str | None) -> tuple[float, list[dict]]:
+    def score(self, text: str | None) -> tuple[float, int, list[str], list[float], list[int]]:
+        """One row of RESULT."""
         terms, weights = self.vector(text)
         alone = int(terms[0]) if len(terms) == 1 else None  # a vector of one term is the same in any text
         if alone in self.known:
             return self.known[alone]
         found = self.index.search(terms, weights, self.params.neighbours)
-        evidence = [
-            {"example_id": self.index.ids[i], "cosine": c, "label": int(self.index.mass[i][1] > self.index.mass[i][0])}
-            for c, i in found[: self.params.evidence]
-        ]
-        out = self.probability(self.vote(found)), evidence
+        score, near = self.probability(self.vote(found)), found[: self.params.evidence]
+        labels = [int(self.index.mass[i][1] > self.index.mass[i][0]) for _, i in near]
+        out = (score, int(score >= self.params.threshold), [self.index.ids[i] for _, i in near], [c for c, _ in near], labels)
         if alone is not None:
             self.known[alone] = out
         return out
@@ -304,7 +304,7 @@ def assemble(sample: list, vocabulary: dict[str, int], idf: np.ndarray, rates: l
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with ``score``, ``predicted`` and ``evidence`` added.
+    """``docs`` with the columns of RESULT added.
 
     The model travels with the function; its size is bounded by the fit's
     parameters.
@@ -313,10 +313,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     @pandas_udf(RESULT)
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            got = [model.score(t) for t in texts]
-            s = [g[0] for g in got]
-            yield pd.DataFrame({"score": s, "predicted": [int(x >= model.params.threshold) for x in s], "evidence": [g[1] for g in got]})
+            yield pd.DataFrame([model.score(t) for t in texts], columns=COLUMNS)
 
-    out = docs.withColumn("__toxicity", scored.asNondeterministic()(text_or_empty(text)))
-    kept = [c for c in docs.columns if c.lower() not in ("score", "predicted", "evidence")]
-    return out.select(*[F.col(f"`{c}`") for c in kept], "__toxicity.score", "__toxicity.predicted", "__toxicity.evidence")
+    kept = [F.col(quoted(c)) for c in docs.columns if c.lower() not in COLUMNS]
+    return docs.select(*kept, scored.asNondeterministic()(text_or_empty(text)).alias("__toxicity")).select(*kept, "__toxicity.*")
