@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import json
 import re
+import zlib
 from array import array
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
@@ -59,6 +60,7 @@ class Encoder:
         self.tokenizer.no_padding()
         self.known: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.runs: dict[str, tuple[int, ...]] = {}
         self.memory = memory
         self.split = self._splitter(path)
         self.marks = tuple(str(t) for t in self.tokenizer.get_added_tokens_decoder().values())
@@ -143,22 +145,26 @@ class Encoder:
 
     def pieces(self, text: str, base: int) -> list[Piece]:
         out: list[Piece] = []
+        known = self.runs
+        if len(known) > self.memory:
+            known.clear()
         for m in RUN.finditer(text):
-            run, at = m.group(), base + m.start()
-            if len(run) > LONG:
-                out += self.tree(run, at)
-                continue
-            key = run.encode()
-            if key not in self.known:
-                if self.is_simple(run):
-                    self.known[key] = self.simple(run)
-                else:
-                    self.learn({key})
-            ids = tuple(np.frombuffer(self.known[key], "<u4").tolist())
+            run = m.group()
+            ids = known.get(run)
+            if ids is None:
+                if len(run) > LONG:
+                    out += self.tree(run, base + m.start())
+                    continue
+                ids = known[run] = self._run(run)
             if ids:
-                out.append((at, at + len(run), ids))
+                out.append((base + m.start(), base + m.end(), ids))
         return out
 
+    def _run(self, run: str) -> tuple[int, ...]:
+        if self.is_simple(run):
+            return tuple(np.frombuffer(self.simple(run), "<u4").tolist())
+        return tuple(self.plain(run).ids)
+
     def window(self, text: str, low: int, high: int, start: int, end: int) -> list[Piece]:
         """A window's pieces; one run that fills [start, end) is encoded at once."""
         if low == start and high == end and RUN.fullmatch(text, low, high):
@@ -249,19 +255,30 @@ def _leaves(path: str):
             yield pd.DataFrame(
                 {
                     "id": b["id"], "key": b["key"], "leaf": b["leaf"], "start": b["start"], "part": b["part"],
-                    "spans": [np.array([(p[0], p[1], len(p[2])) for p in r], dtype="<i8").tobytes() for r in rows],
-                    "ids": [np.array([i for p in r for i in p[2]], dtype="<u4").tobytes() for r in rows],
+                    "pieces": [packed(r, int(s)) for r, s in zip(rows, b["start"])],
                 }
             )
 
     return of
 
 
-def _pieces(spans: bytes, ids: bytes) -> list[Piece]:
-    tokens, at, out = np.frombuffer(ids, "<u4").tolist(), 0, []
-    for a, b, n in np.frombuffer(spans, "<i8").reshape(-1, 3).tolist():
-        out.append((a, b, tuple(tokens[at : at + n])))
-        at += n
+def packed(pieces: list[Piece], start: int) -> bytes:
+    """Pieces as gaps, lengths, token counts and ids, compressed."""
+    head, at = [], start
+    for a, b, ids in pieces:
+        head += (a - at, b - a, len(ids))
+        at = b
+    return zlib.compress(array("I", [len(pieces), *head, *(i for p in pieces for i in p[2])]).tobytes(), 1)
+
+
+def unpacked(data: bytes, start: int) -> list[Piece]:
+    every = array("I", zlib.decompress(data))
+    n, out, at = every[0], [], start
+    tokens = every[1 + 3 * n :].tolist()
+    k = 0
+    for gap, size, count in zip(every[1 : 1 + 3 * n : 3], every[2 : 1 + 3 * n : 3], every[3 : 1 + 3 * n : 3]):
+        out.append((at + gap, at + gap + size, tuple(tokens[k : k + count])))
+        at, k = at + gap + size, k + count
     return out
 
 
@@ -276,7 +293,7 @@ def _joined(path: str):
         rows = rows.drop_duplicates("leaf").sort_values("leaf")
         text = "".join(rows["part"])
         edges = [*rows["start"].astype(int).tolist(), len(text)]
-        got = join_leaves(text, edges, [_pieces(s, i) for s, i in zip(rows["spans"], rows["ids"])], held[0])
+        got = join_leaves(text, edges, [unpacked(p, int(s)) for p, s in zip(rows["pieces"], rows["start"])], held[0])
         n, ids, decoded = _digests(np.array([i for p in got for i in p[2]], dtype="<u4").tobytes(), held[1])
         return pd.DataFrame({"id": [rows["id"].iloc[0]] * copies, "n_tokens": n, "ids": [ids] * copies, "decoded": [decoded] * copies})
 
@@ -299,6 +316,6 @@ def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", l
     long = long.withColumn("start", F.expr(begin.format("leaf"))).withColumn("stop", F.expr(begin.format("(leaf + 1)")))
     long = long.select("id", "key", "leaf", "start", F.expr("substring(text, start + 1, stop - start)").alias("part"))
     spread = long.repartition(F.col("key"), F.col("leaf"))
-    leaves = spread.mapInPandas(_leaves(path), f"id {kind}, key string, leaf int, start int, part string, spans binary, ids binary")
+    leaves = spread.mapInPandas(_leaves(path), f"id {kind}, key string, leaf int, start int, part string, pieces binary")
     joined = leaves.groupBy("id", "key").applyInPandas(_joined(path), schema)
     return short.union(joined)
