@@ -9,7 +9,9 @@ candidate buckets; a bucket never lists all its pairs:
    a bucket.
 2. Crossings.  Members of a bucket that are still in different components
    after the hubs' links meet in blocks: those outside the bucket's main
-   component against all others.  Members of one component need no check.
+   component against all others, in the first band that a pair shares.
+   Members of one component need no check, and of a pair of blocks only the
+   links that join components are kept.
 
 Both steps compare signatures batch by batch and drop a pair as soon as the
 posterior probability that its similarity reaches the threshold falls below
@@ -163,12 +165,12 @@ def _pruned_pairs(least: list[int]):
 
 
 def _pruned_blocks(least: list[int], percent: int):
-    """Pairs of two blocks in different components, near enough in size."""
+    """Per pair of blocks the pairs in different components, near enough in
+    size, that pass the batches and meet in no earlier band."""
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out_a, out_b = [], []
-            for left, right, same in zip(b["left"], b["right"], b["same"]):
+            for left, right, same, k, key in zip(b["left"], b["right"], b["same"], b["k"], b["key"]):
                 cols = []
                 for side in (left, right):
                     cols.append(
@@ -180,34 +182,68 @@ def _pruned_blocks(least: list[int], percent: int):
                         )
                     )
                 (ia, na, ca, sa), (ib, nb, cb, sb) = cols
+                got = []
                 for at in range(0, len(ia), 64):
                     cut = slice(at, at + 64)
                     small, big = np.minimum.outer(na[cut], nb), np.maximum.outer(na[cut], nb)
                     ok = (ca[cut, None] != cb[None, :]) & (100 * small >= percent * big)
                     if same:
                         ok &= ia[cut, None] < ib[None, :]
-                    i, j = np.nonzero(ok)
-                    i, j = survivors(sa[cut], sb, least, (i, j))
-                    out_a.append(np.minimum(ia[cut][i], ib[j]))
-                    out_b.append(np.maximum(ia[cut][i], ib[j]))
-            if out_a:
-                yield pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
+                    i, j = survivors(sa[cut], sb, least, np.nonzero(ok))
+                    if len(i):
+                        shared = (sa[cut][i] == sb[j]).reshape(len(i), -1, BAND).all(axis=2)
+                        first = shared.argmax(axis=1) == k
+                        got.append((ia[cut][i][first], ib[j][first], ca[cut][i][first], cb[j][first]))
+                if got and sum(len(g[0]) for g in got):
+                    yield pd.DataFrame({"key": [key], **{c: [np.concatenate([g[x] for g in got])] for x, c in enumerate(("a", "b", "ca", "cb"))}})
+
+    return of
+
+
+def _confirmed_blocks(percent: int):
+    """Links of a block pair that join components: a pair whose components
+    an earlier one has joined needs no look at its sets."""
+
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            links = []
+            for left, right, ca, cb, sets in zip(rows["a"], rows["b"], rows["ca"], rows["cb"], rows["sets"]):
+                own = {r["id"]: np.frombuffer(r["set"], np.uint64) for r in sets}
+                up: dict[int, int] = {}
+
+                def root(c: int, up: dict[int, int] = up) -> int:
+                    while up.get(c, c) != c:
+                        c = up[c]
+                    return c
+
+                for a, b, x, y in zip(left.tolist(), right.tolist(), ca.tolist(), cb.tolist()):
+                    x, y = root(x), root(y)
+                    if x != y:
+                        both = len(np.intersect1d(own[a], own[b], assume_unique=True))
+                        if 100 * both >= percent * (len(own[a]) + len(own[b]) - both):
+                            up[max(x, y)] = min(x, y)
+                            links.append((min(a, b), max(a, b)))
+            yield pd.DataFrame(links, columns=["a", "b"])
 
     return of
 
 
 def _bands(classes: DataFrame) -> DataFrame:
-    """(band, id, n): every class in one bucket per band."""
+    """(k, band, id, n): every class in one bucket of each band k."""
     width = 4 * BAND
     keys = F.array(*[F.xxhash64(F.lit(k), F.substring("sig", k * width + 1, width)) for k in range(N_HASHES // BAND)])
-    return classes.select(F.explode(keys).alias("band"), "id", "n")
+    return classes.select(F.posexplode(keys).alias("k", "band"), "id", "n")
+
+
+def _sets_of(ids: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(id, set) of the texts with these ids; only they are read for it."""
+    sets = docs.join(ids.distinct(), "id", "left_semi").mapInPandas(_sets(size), "id long, fp binary, set binary")
+    return stored(sets.groupBy("id").agg(F.min(F.struct("fp", "set")).alias("own")).select("id", "own.set"), "near-sets")
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
-    """The pairs that hold on full sets; only texts in a pair are read for it."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = docs.join(ids, "id", "left_semi").mapInPandas(_sets(size), "id long, fp binary, set binary")
-    sets = stored(sets.groupBy("id").agg(F.min(F.struct("fp", "set")).alias("own")).select("id", "own.set"), "near-sets")
+    """The pairs that hold on full sets."""
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), docs, size)
     got = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
     got = got.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
     return stored(got.mapInPandas(_confirmed(percent), "a long, b long"), "near-links")
@@ -245,7 +281,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
     labelled = classes.join(stars.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id"))
     labelled = stored(labelled.select("id", "n", "sig", "comp"), "near-labelled")
     where = _bands(labelled.select("id", "n", "sig")).join(buckets.select("band", "size", F.col("hub.id").alias("hub")), "band")
-    where = where.join(labelled.select("id", "comp"), "id").select("band", "id", "comp", "hub", "size")
+    where = where.join(labelled.select("id", "comp"), "id").select("band", "k", "id", "comp", "hub", "size")
     mixed = where.groupBy("band").agg(
         F.min("comp").alias("low"), F.max("comp").alias("high"), F.first("hub").alias("hub"), F.first("size").alias("size")
     )
@@ -254,13 +290,18 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
     members = members.withColumn("minor", F.col("comp") != F.col("main"))
     members = members.withColumn("block", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / BLOCK)))
     members = members.join(labelled.select("id", "n", "sig"), "id")
-    blocks = members.groupBy("band", "minor", "block").agg(F.collect_list(F.struct("id", "n", "comp", "sig")).alias("rows"))
+    blocks = members.groupBy("band", "minor", "block").agg(F.first("k").alias("k"), F.collect_list(F.struct("id", "n", "comp", "sig")).alias("rows"))
     blocks = stored(blocks, "near-blocks")
     left = blocks.where("minor").select("band", F.col("block").alias("at"), F.col("rows").alias("left"))
-    cross = left.join(blocks, "band").where("not minor or at <= block")
-    cross = cross.select("left", F.col("rows").alias("right"), (F.col("minor") & (F.col("at") == F.col("block"))).alias("same"))
-    found = cross.mapInPandas(_pruned_blocks(least, percent), "a long, b long").distinct()
-    more = _confirm(stored(found, "near-crossings"), known, percent, size)
+    cross = left.join(blocks, "band").where("not minor or at <= block").withColumn("key", F.struct("band", "at", "minor", "block"))
+    cross = cross.select("key", "k", "left", F.col("rows").alias("right"), (F.col("minor") & (F.col("at") == F.col("block"))).alias("same"))
+    key = "key struct<band: long, at: long, minor: boolean, block: long>"
+    arrays = "a array<long>, b array<long>, ca array<long>, cb array<long>"
+    found = stored(cross.mapInPandas(_pruned_blocks(least, percent), f"{key}, {arrays}"), "near-crossings")
+    ids = found.select("key", F.explode(F.array_distinct(F.concat("a", "b"))).alias("id"))
+    sets = ids.join(_sets_of(ids.select("id"), known, size), "id").groupBy("key").agg(F.collect_list(F.struct("id", "set")).alias("sets"))
+    more = found.join(sets, "key").select("a", "b", "ca", "cb", "sets").mapInPandas(_confirmed_blocks(percent), "a long, b long")
+    more = stored(more.distinct(), "near-links")
 
     links = links.union(more).distinct()
     stars = components(links)
