@@ -1,7 +1,9 @@
 """Sinks: staging Parquet and published tables, always overwritten whole.
 
 Writes go through Spark's commit protocol, so a lost executor only means
-its task is retried; a half-written attempt never becomes visible.
+its task is retried; a half-written attempt never becomes visible.  An
+overwritten path's old rows go when its write stage starts, so a job that
+fails in that stage leaves the path without rows: rerun it.
 """
 
 from __future__ import annotations
@@ -74,7 +76,8 @@ def publish(
         out = out.hint("rebalance", *partition_by)
     if partition_by or cluster_by:
         out = out.sortWithinPartitions(*partition_by, *cluster_by)
-    writer = out.write.mode("overwrite").format(fmt)
+    # Whole, whatever the session's partition overwrite mode.
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if as_table:

@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.projection import drop_columns
 from ..plans.jobs import DROPPED_COLUMNS
-from ..session import shared_dir
 from ..sources.files import string_schema
 
 
@@ -33,7 +32,7 @@ def landing_stream(
     A stream cannot infer its schema per batch, so the column names are
     given; every column is read as text, like the batch reader.
     """
-    reader = spark.readStream.option("header", True).schema(string_schema(columns))
+    reader = spark.readStream.option("header", True).option("enforceSchema", False).schema(string_schema(columns))
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     return drop_columns(reader.csv(source), DROPPED_COLUMNS)
@@ -50,10 +49,11 @@ def land_incrementally(
     """Append every not-yet-staged source file to the Parquet stage, then stop.
 
     ``checkpoint`` must live in shared storage and stay with ``stage_path``
-    for the life of the stage; by default it is a fresh folder under the
-    session's ``spark.checkpoint.dir``.
+    for the life of the stage; by default it is the folder of the stage's
+    name with ``_checkpoint`` beside it, so that every later run finds it.
+    A file whose header differs from ``columns`` fails the run.
     """
-    checkpoint = checkpoint or shared_dir(spark, "landing-checkpoint")
+    checkpoint = checkpoint or f"{stage_path.rstrip('/')}_checkpoint"
     query = (
         landing_stream(spark, source, columns, max_files_per_batch)
         .writeStream.format("parquet")

@@ -1,10 +1,11 @@
-"""Random dirty flights: our ANSI-on job equals the original statements under ANSI off."""
+"""Random dirty flights: the job equals a plain-Python model of its rules."""
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from flightmart.plans import clean_flights
-from test_jobs import _legacy_flights
+from flightmart.plans.jobs import DROPPED_COLUMNS
+from row_model import flight
 
 COLUMNS = [
     "Year", "Month", "DayofMonth", "DayOfWeek", "DepTime", "CRSDepTime", "ArrTime", "CRSArrTime",
@@ -35,14 +36,9 @@ def flight_rows(draw):
 
 @settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(flight_rows(), min_size=1, max_size=30))
-def test_job_equals_original_statements(spark, rows):
+def test_job_equals_row_model(spark, rows):
     df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in COLUMNS))
-    # skip_null_date_parts reproduces the original date assembly exactly
-    ours = sorted(map(repr, (tuple(r) for r in clean_flights(df, skip_null_date_parts=True).collect())))
-    before = spark.conf.get("spark.sql.ansi.enabled")
-    spark.conf.set("spark.sql.ansi.enabled", "false")
-    try:
-        legacy = sorted(map(repr, (tuple(r) for r in _legacy_flights(df).collect())))
-    finally:
-        spark.conf.set("spark.sql.ansi.enabled", before)
-    assert ours == legacy
+    ours = clean_flights(df, skip_null_date_parts=True)
+    kept = [dict(zip(COLUMNS, r)) for r in rows]
+    model = [m for r in kept if (m := flight({c: v for c, v in r.items() if c not in DROPPED_COLUMNS}))]
+    assert sorted(repr([r[c] for c in ours.columns]) for r in ours.collect()) == sorted(repr([m[c] for c in ours.columns]) for m in model)

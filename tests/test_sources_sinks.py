@@ -129,13 +129,13 @@ def test_shared_dir_reads_session_setting(spark):
 def test_streaming_landing_is_incremental(spark, tmp):
     cols = ["Year", "TaxiIn", "CarrierDelay"]
     _write(f"{tmp}/in/2000/part-0.csv", "Year,TaxiIn,CarrierDelay\n2000,5,NA\n2000,NA,NA\n")
-    stage, ckpt = f"{tmp}/stage", f"{tmp}/ckpt"
-    land_incrementally(spark, f"{tmp}/in/*/", cols, stage, ckpt)
+    stage = f"{tmp}/stage"
+    land_incrementally(spark, f"{tmp}/in/*/", cols, stage)
     first = read_stage(spark, stage)
     assert first.columns == ["Year", "TaxiIn"]  # delay column dropped
     assert first.count() == 2
     _write(f"{tmp}/in/2001/part-0.csv", "Year,TaxiIn,CarrierDelay\n2001,7,NA\n")
-    land_incrementally(spark, f"{tmp}/in/*/", cols, stage, ckpt)
+    land_incrementally(spark, f"{tmp}/in/*/", cols, stage)
     second = read_stage(spark, stage)
     assert sorted(tuple(r) for r in second.collect()) == [("2000", "5"), ("2000", "NA"), ("2001", "7")]
 
@@ -190,3 +190,20 @@ def test_lookup_job_with_explicit_schema(spark, tmp):
     jobs.lookup_job(spark, f"{tmp}/planes.csv", jobs.clean_planes, f"{tmp}/planes_out", schema=schema)
     rows = spark.read.parquet(f"{tmp}/planes_out").collect()
     assert [(r.tailnum, str(r.issue_date), r.year) for r in rows] == [("N1", "1999-02-03", 1999)]
+
+
+def test_publish_is_whole_under_dynamic_overwrite(spark, tmp):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for day in ("2000-01-02", "2000-01-03"):
+            publish(spark.sql(f"SELECT 1 AS n, date '{day}' AS d"), f"{tmp}/t", partition_by=["d"])
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    assert [str(r.d) for r in spark.read.parquet(f"{tmp}/t").collect()] == ["2000-01-03"]
+
+
+def test_stream_rejects_other_header_order(spark, tmp):
+    _write(f"{tmp}/in/2000/part-0.csv", "TaxiIn,Year\n5,2000\n")
+    with pytest.raises(Exception, match="(?i)header|schema|stream"):
+        land_incrementally(spark, f"{tmp}/in/*/", ["Year", "TaxiIn"], f"{tmp}/stage")
