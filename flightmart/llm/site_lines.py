@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._common import stored
+
 
 def _hash(line: Column) -> Column:
     return F.xxhash64(line)
@@ -46,7 +48,9 @@ def boilerplate_lines(pages: DataFrame, host: str = "source", text: str = "text"
 def drop_boilerplate(pages: DataFrame, host: str = "source", text: str = "text", ratio: float = 0.05, min_pages: int = 10) -> DataFrame:
     """``pages`` with cleaned text and ``n_dropped_lines`` (long) added."""
     found = boilerplate_lines(pages, host, text, ratio, min_pages)
-    lists = found.groupBy(F.col("host").alias("__host")).agg(F.collect_list("line_hash").alias("__bad"))
+    # Written first: its size is then known, so a small one is broadcast, and beyond
+    # that the join reads two plain shuffles, of which the hot host's pages can be split.
+    lists = stored(found.groupBy(F.col("host").alias("__host")).agg(F.collect_list("line_hash").alias("__bad")), "site-lines")
     at, bad = F.col(f"`{text}`"), F.coalesce("__bad", F.array().cast("array<bigint>"))
     lines = F.split(at, "\n")
     kept = F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains(bad, _hash(x)))
