@@ -216,14 +216,14 @@ def _confirmed_blocks(percent: int):
                         c = up[c]
                     return c
 
-                for a, b, x, y in zip(left.tolist(), right.tolist(), ca.tolist(), cb.tolist()):
-                    x, y = root(x), root(y)
+                for a, b, p, q in zip(left.tolist(), right.tolist(), ca.tolist(), cb.tolist()):
+                    x, y = root(p), root(q)
                     if x != y:
                         both = len(np.intersect1d(own[a], own[b], assume_unique=True))
                         if 100 * both >= percent * (len(own[a]) + len(own[b]) - both):
                             up[max(x, y)] = min(x, y)
-                            links.append((min(a, b), max(a, b)))
-            yield pd.DataFrame(links, columns=["a", "b"])
+                            links.append((min(a, b), max(a, b), min(p, q), max(p, q)))
+            yield pd.DataFrame(links, columns=["a", "b", "low", "high"])
 
     return of
 
@@ -300,8 +300,10 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
     found = stored(cross.mapInPandas(_pruned_blocks(least, percent), f"{key}, {arrays}"), "near-crossings")
     ids = found.select("key", F.explode(F.array_distinct(F.concat("a", "b"))).alias("id"))
     sets = ids.join(_sets_of(ids.select("id"), known, size), "id").groupBy("key").agg(F.collect_list(F.struct("id", "set")).alias("sets"))
-    more = found.join(sets, "key").select("a", "b", "ca", "cb", "sets").mapInPandas(_confirmed_blocks(percent), "a long, b long")
-    more = stored(more.distinct(), "near-links")
+    more = found.join(sets, "key").select("a", "b", "ca", "cb", "sets").mapInPandas(_confirmed_blocks(percent), "a long, b long, low long, high long")
+    # One link between two components is as good as many.
+    more = more.groupBy("low", "high").agg(F.min(F.struct("a", "b")).alias("link")).select("link.a", "link.b")
+    more = stored(more, "near-links")
 
     links = links.union(more).distinct()
     stars = components(links)
