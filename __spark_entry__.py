@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from flightmart.functions import MISSING_TOKENS, is_missing  # noqa: E402
+from flightmart.functions import is_missing  # noqa: E402
 from flightmart.operators import (  # noqa: E402
     assemble_date,
     cast_columns,
@@ -44,6 +45,7 @@ from flightmart.operators import (  # noqa: E402
     row_count,
     rows_missing,
     rows_with_values,
+    schema_profile,
     select_columns,
     step_counts,
     strip_non_ascii,
@@ -65,14 +67,17 @@ from flightmart.sources import (  # noqa: E402
     raw_flights,
     raw_planes,
     raw_variables,
+    read_csv_inferred,
     read_csv_strings,
     read_stage,
     resolve_sources,
     year_paths,
+    year_span,
 )
 from flightmart.streaming import land_incrementally  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
+# The column names of the raw files.
 FLIGHT_COLUMNS = [
     "Year", "Month", "DayofMonth", "DayOfWeek", "DepTime", "CRSDepTime", "ArrTime", "CRSArrTime",
     "UniqueCarrier", "FlightNum", "TailNum", "ActualElapsedTime", "CRSElapsedTime", "AirTime",
@@ -110,8 +115,9 @@ def _airports(spark: SparkSession, sf: str) -> DataFrame:
     return rename(raw_airports(spark, sf), jobs.AIRPORT_RENAMES)
 
 
-def _flight_years(spark: SparkSession, raw: DataFrame, root: str, compression: str | None) -> None:
-    """Write raw flights as one header-CSV folder per year (like the yearly files)."""
+def _flight_years(spark: SparkSession, raw: DataFrame, root: str, compression: str | None) -> tuple[int, int]:
+    """Write raw flights as one header-CSV folder per year (like the yearly files); first and last year."""
+    span = year_span(raw)
     writer = (
         raw.withColumn("source_year", F.col("Year"))
         .write.mode("overwrite")
@@ -121,6 +127,7 @@ def _flight_years(spark: SparkSession, raw: DataFrame, root: str, compression: s
     if compression:
         writer = writer.option("compression", compression)
     writer.csv(root)
+    return span
 
 
 def q_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -149,8 +156,8 @@ def q_parquet_stage(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_land(spark: SparkSession, sf: str) -> DataFrame:
     root = shared_dir(spark, "landing")
-    _flight_years(spark, raw_flights(spark, sf), root, "bzip2")
-    paths = year_paths(root, 1985, 2015, "source_year={year}")
+    span = _flight_years(spark, raw_flights(spark, sf), root, "bzip2")
+    paths = year_paths(root, *span, "source_year={year}")
     staged, _ = jobs.land(spark, paths, shared_dir(spark, "stage"), on_missing="skip")
     return staged
 
@@ -163,6 +170,56 @@ def q_stream_landing(spark: SparkSession, sf: str) -> DataFrame:
     return read_stage(spark, stage)
 
 
+def q_flights_job(spark: SparkSession, sf: str) -> DataFrame:
+    """J1 end to end: yearly CSV folders -> stage -> clean -> table partitioned by date, read back."""
+    root, target = shared_dir(spark, "flight_years"), shared_dir(spark, "flights_fact")
+    first, last = _flight_years(spark, raw_flights(spark, sf), root, None)
+    jobs.flights_job(
+        spark, root, shared_dir(spark, "flights_job_stage"), target, first, last, "source_year={year}", "skip", partitions=8
+    )
+    return spark.read.parquet(target)
+
+
+def _new_database(spark: SparkSession) -> str:
+    """A database of this session whose tables live in the shared folder."""
+    name = f"flightmart_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_dir(spark, 'tables')}'")
+    return name
+
+
+def q_flights_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The partitioned fact as a catalog table, read back by name."""
+    name = f"{_new_database(spark)}.flights"
+    publish(
+        clean_flights(staged_flights(spark, sf)),
+        name,
+        partition_by=jobs.PARTITION_COLUMNS,
+        cluster_by=jobs.CLUSTER_COLUMNS,
+        as_table=True,
+    )
+    return spark.table(name)
+
+
+def q_planes_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A lookup as a catalog table, published twice: the second replaces the first whole."""
+    name = f"{_new_database(spark)}.planes"
+    publish(clean_carriers(raw_carriers(spark, sf)), name, as_table=True)
+    publish(clean_planes(raw_planes(spark, sf)), name, as_table=True)
+    return spark.table(name)
+
+
+def q_blank_header(spark: SparkSession, sf: str) -> DataFrame:
+    """A lookup CSV whose second and third header cells are empty."""
+    source = shared_dir(spark, "blank_header")
+    blank = raw_variables(spark, sf).toDF("Variable descriptions", " ", "  ")  # written trimmed
+    blank.write.mode("overwrite").option("header", True).csv(source)
+    return clean_variables(read_csv_inferred(spark, source))
+
+
+def _respelled(df: DataFrame, how: Callable[[str], str]) -> DataFrame:
+    return df.toDF(*[how(c) for c in df.columns])
+
+
 def q_partitioned_publish(spark: SparkSession, sf: str) -> DataFrame:
     target = shared_dir(spark, "published_flights")
     publish(
@@ -188,8 +245,9 @@ def _lookup_roundtrip(
 def q_resolve_sources(spark: SparkSession, sf: str) -> DataFrame:
     """Skip policy for absent yearly sources, then read what exists."""
     root = shared_dir(spark, "resolve")
-    _flight_years(spark, raw_flights(spark, sf), root, None)
-    present = resolve_sources(spark, year_paths(root, 1985, 2015, "source_year={year}"), "skip")
+    first, last = _flight_years(spark, raw_flights(spark, sf), root, None)
+    # A year before the first has no file: the policy skips it.
+    present = resolve_sources(spark, year_paths(root, first - 1, last, "source_year={year}"), "skip")
     return read_csv_strings(spark, present)
 
 
@@ -211,6 +269,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     "require_not_null": lambda s, sf: require_not_null(raw_planes(s, sf), "type"),
     "rows_missing": lambda s, sf: rows_missing(_airports(s, sf), "city"),
+    "rows_missing_after_override": lambda s, sf: rows_missing(clean_airports(raw_airports(s, sf)), "city"),
     "pick_airports": lambda s, sf: rows_with_values(
         clean_airports(raw_airports(s, sf)), "IATA", ["CLD", "ROR"]
     ),
@@ -277,6 +336,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "peek_flights": lambda s, sf: peek(clean_flights(staged_flights(s, sf)), 5, CLEAN_COLUMNS),
     # jobs (J1-J5)
     "clean_flights": lambda s, sf: clean_flights(staged_flights(s, sf)),
+    "case_insensitive_names": lambda s, sf: clean_flights(_respelled(staged_flights(s, sf), str.lower)),
+    "case_insensitive_trail": lambda s, sf: jobs.flights_audit_trail(_respelled(staged_flights(s, sf), str.upper)),
+    "schema_rows": lambda s, sf: schema_profile(clean_flights(staged_flights(s, sf))),
     "clean_airports": lambda s, sf: clean_airports(raw_airports(s, sf)),
     "clean_planes": lambda s, sf: clean_planes(raw_planes(s, sf)),
     "clean_variables": lambda s, sf: clean_variables(raw_variables(s, sf)),
@@ -289,6 +351,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "land": q_land,
     "stream_landing": q_stream_landing,
     "partitioned_publish": q_partitioned_publish,
+    "flights_job": q_flights_job,
+    "flights_table": q_flights_table,
+    "planes_table": q_planes_table,
+    "blank_header": q_blank_header,
     "airports_job": lambda s, sf: _lookup_roundtrip(s, raw_airports(s, sf), clean_airports, "airports"),
     "planes_job": lambda s, sf: _lookup_roundtrip(s, raw_planes(s, sf), clean_planes, "planes"),
     "variables_job": lambda s, sf: _lookup_roundtrip(s, raw_variables(s, sf), clean_variables, "variables"),
@@ -305,7 +371,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # DuckDB oracle
 # --------------------------------------------------------------------------
 
-_TOKENS_SQL = ", ".join(f"'{t}'" for t in MISSING_TOKENS)
+_TOKENS_SQL = "'null', 'NULL', 'NA', 'NaN'"
 
 
 def _m(c: str, extra: tuple[str, ...] = ()) -> str:
@@ -365,17 +431,25 @@ def _audit(table: str, cols: list[str], renamed: dict[str, str] | None = None) -
 _FLIGHTS_PRESENT = (
     f"NOT ({_m('TaxiIn')} OR {_m('TaxiOut')}) AND NOT {_m('CRSElapsedTime')}"
 )
-_FLAG = "CASE WHEN " + " OR ".join(_m(c) for c in jobs.FLAG_COLUMNS) + " THEN 1 ELSE 0 END"
+# Fixed values, written out here so that a wrong constant in the jobs cannot pass.
+_FLAG_OF = ["DepTime", "ArrTime", "ActualElapsedTime", "AirTime", "ArrDelay", "DepDelay"]
+_FILLED_FROM = {"DepTime": "CRSDepTime", "ArrTime": "CRSArrTime", "ActualElapsedTime": "CRSElapsedTime"}
+_INTS = [
+    "Year", "Month", "DayofMonth", "DayOfWeek", "DepTime", "CRSDepTime", "ArrTime", "CRSArrTime", "FlightNum",
+    "ActualElapsedTime", "CRSElapsedTime", "AirTime", "ArrDelay", "DepDelay", "Distance", "TaxiIn", "TaxiOut",
+    "Cancelled", "Diverted",
+]
+_FLAG = "CASE WHEN " + " OR ".join(_m(c) for c in _FLAG_OF) + " THEN 1 ELSE 0 END"
 _TAIL = (
     f"regexp_replace(CASE WHEN {_m('TailNum', ('UNKNOW',))} THEN 'Unknown Tail Number' "
     "ELSE TailNum END, '[^ -~]', '', 'g')"
 )
 _FILL_FROM = ", ".join(
-    f"CASE WHEN {_m(c)} THEN {src} ELSE {c} END AS {c}" for c, src in jobs.FILL_FROM.items()
+    f"CASE WHEN {_m(c)} THEN {src} ELSE {c} END AS {c}" for c, src in _FILLED_FROM.items()
 )
-_FILL_ZERO = ", ".join(f"CASE WHEN {_m(c)} THEN '0' ELSE {c} END AS {c}" for c in jobs.FILL_ZERO)
-_CASTS = ", ".join(f"{_i(c)} AS {c}" for c in jobs.INT_COLUMNS)
-_DROPPED = ", ".join(jobs.DROPPED_COLUMNS)
+_FILL_ZERO = ", ".join(f"CASE WHEN {_m(c)} THEN '0' ELSE {c} END AS {c}" for c in ("DepDelay", "ArrDelay"))
+_CASTS = ", ".join(f"{_i(c)} AS {c}" for c in _INTS)
+_DROPPED = "CancellationCode, CarrierDelay, WeatherDelay, NASDelay, SecurityDelay, LateAircraftDelay"
 
 
 def _clean_flights_sql(final: str = "SELECT * FROM clean") -> str:
@@ -438,8 +512,17 @@ def _flights_trail_sql() -> str:
 _PLANE_COLUMNS = ["tailnum", "type", "issue_date", "model", "year"]
 
 
-_OVERRIDE_CITY = " ".join(f"WHEN '{k}' THEN '{v[0]}'" for k, v in jobs.AIRPORT_CITY_STATE.items())
-_OVERRIDE_STATE = " ".join(f"WHEN '{k}' THEN '{v[1]}'" for k, v in jobs.AIRPORT_CITY_STATE.items())
+_OVERRIDE_CITY = (
+    "WHEN 'CLD' THEN 'San Diego' WHEN 'HHH' THEN 'Hilton Head Island' WHEN 'MIB' THEN 'Minot' "
+    "WHEN 'MQT' THEN 'Marquette' WHEN 'RCA' THEN 'Rapid City' WHEN 'RDR' THEN 'Grand Forks' "
+    "WHEN 'ROP' THEN 'Mueang Prachinburi' WHEN 'ROR' THEN 'Airai' WHEN 'SCE' THEN 'State College' "
+    "WHEN 'SKA' THEN 'Spokane' WHEN 'SPN' THEN 'San Jose' WHEN 'YAP' THEN 'Colonia'"
+)
+_OVERRIDE_STATE = (
+    "WHEN 'CLD' THEN 'CA' WHEN 'HHH' THEN 'SC' WHEN 'MIB' THEN 'ND' WHEN 'MQT' THEN 'MI' WHEN 'RCA' THEN 'SD' "
+    "WHEN 'RDR' THEN 'ND' WHEN 'ROP' THEN 'PC' WHEN 'ROR' THEN 'PW350' WHEN 'SCE' THEN 'PA' WHEN 'SKA' THEN 'WA' "
+    "WHEN 'SPN' THEN 'TI' WHEN 'YAP' THEN 'FMYAP'"
+)
 
 
 def _clean_airports_sql(where: str = "") -> str:
@@ -465,6 +548,8 @@ _CLEAN_VARIABLES = (
 _STAGED = f"SELECT * EXCLUDE ({_DROPPED}) FROM raw_flights"
 _ORDER_ALL = ", ".join(f"{c} ASC NULLS FIRST" for c in CLEAN_COLUMNS)
 
+_CLEAN_TYPES = {c: "string" for c in ("UniqueCarrier", "TailNum", "Origin", "Dest")} | {"FlightDate": "date"}
+
 ORACLE: dict[str, str] = {
     "missing_audit": _audit("raw_flights", FLIGHT_COLUMNS),
     "missing_audit_clean": _clean_flights_sql(
@@ -488,6 +573,10 @@ ORACLE: dict[str, str] = {
     "require_present": _with("raw_flights") + f"SELECT * FROM raw_flights WHERE {_FLIGHTS_PRESENT}",
     "require_not_null": _with("raw_planes") + "SELECT * FROM raw_planes WHERE type IS NOT NULL",
     "rows_missing": _with("raw_airports") + f"SELECT * FROM ({_AIRPORTS_RENAMED}) WHERE {_m('city')}",
+    "rows_missing_after_override": _clean_airports_sql(
+        f"WHERE CASE iata {_OVERRIDE_CITY} ELSE city END IS NULL "
+        f"OR CASE iata {_OVERRIDE_CITY} ELSE city END IN ({_TOKENS_SQL})"
+    ),
     "pick_airports": _clean_airports_sql("WHERE iata = 'CLD' OR iata = 'ROR'"),
     "carrier_na": _with("raw_carriers") + "SELECT * FROM raw_carriers WHERE Code = 'NA'",
     "planes_step_counts": _with("raw_planes")
@@ -528,6 +617,18 @@ ORACLE: dict[str, str] = {
     + "SELECT iata AS IATA, lat AS latitude, long AS longitude FROM raw_airports",
     "peek_flights": _clean_flights_sql(f"SELECT * FROM clean ORDER BY {_ORDER_ALL} LIMIT 5"),
     "clean_flights": _clean_flights_sql(),
+    "flights_job": _clean_flights_sql(),
+    "flights_table": _clean_flights_sql(),
+    "case_insensitive_names": _clean_flights_sql(),
+    "case_insensitive_trail": _flights_trail_sql(),
+    "schema_rows": _clean_flights_sql(
+        "\nUNION ALL\n".join(
+            f"SELECT '{c}' AS name, '{_CLEAN_TYPES.get(c, 'int')}' AS type, count({c}) AS filled FROM clean"
+            for c in CLEAN_COLUMNS
+        )
+    ),
+    "planes_table": _with("raw_planes") + _CLEAN_PLANES,
+    "blank_header": _with("raw_variables") + _CLEAN_VARIABLES,
     "clean_airports": _clean_airports_sql(),
     "clean_planes": _with("raw_planes") + _CLEAN_PLANES,
     "clean_variables": _with("raw_variables") + _CLEAN_VARIABLES,

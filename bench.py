@@ -45,6 +45,7 @@ from flightmart.sources import (  # noqa: E402
     raw_variables,
     read_csv_inferred,
     year_paths,
+    year_span,
 )
 
 
@@ -73,7 +74,8 @@ def run_suite(spark, sf_dir: str, run: str, log=_log) -> tuple[dict[str, float],
     }
     for name, (df, _) in lookups.items():
         df.write.mode("overwrite").option("header", True).csv(f"{run}/lookup_{name}")
-    bz2_years = year_paths(f"{run}/bz2", 1985, 2015, "source_year={year}")
+    first, last = year_span(raw)
+    bz2_years = year_paths(f"{run}/bz2", first, last, "source_year={year}")
     log(f"setup {time.time() - t:.1f}s in {run}")
 
     stage = f"{run}/stage"
@@ -90,7 +92,7 @@ def run_suite(spark, sf_dir: str, run: str, log=_log) -> tuple[dict[str, float],
     timed(
         "flights_job",
         lambda: jobs.flights_job(
-            spark, f"{run}/csv", f"{run}/stage_j1", f"{run}/fact_j1", 1985, 2015, "source_year={year}", "skip"
+            spark, f"{run}/csv", f"{run}/stage_j1", f"{run}/fact_j1", first, last, "source_year={year}", "skip"
         ),
     )
     staged = spark.read.parquet(stage)
@@ -148,6 +150,8 @@ def main() -> None:
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
+            # Many dates, little data: keep several writers for the daily files.
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

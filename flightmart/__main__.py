@@ -43,7 +43,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--last", type=int, default=jobs.LAST_YEAR)
     p.add_argument("--pattern", default=jobs.YEAR_FILE_PATTERN)
     p.add_argument("--on-missing", choices=["fail", "skip"], default="fail")
-    p.add_argument("--reuse-stage", action="store_true", help="flights: resume from a committed stage")
+    p.add_argument("--reuse-stage", action="store_true", help="flights: resume from a stage of the same sources")
+    p.add_argument("--partitions", type=int, help="flights: even the stage out to this many files")
     p.add_argument("--checkpoint", help="stream: progress folder kept with the stage (shared storage)")
     return p
 
@@ -58,7 +59,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "flights":
         rows = jobs.flights_job(
             spark, args.source, args.stage, args.target, args.first, args.last, args.pattern,
-            args.on_missing, args.table, args.reuse_stage,
+            args.on_missing, args.table, args.reuse_stage, args.partitions,
         )
         print(f"published {args.target} from {rows} staged rows")
     elif args.job == "stream":

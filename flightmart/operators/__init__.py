@@ -23,6 +23,7 @@ from .profile import (
     non_null_count,
     peek,
     row_count,
+    schema_profile,
     schema_rows,
     staged_audit,
     step_counts,
@@ -55,6 +56,7 @@ __all__ = [
     "row_count",
     "rows_missing",
     "rows_with_values",
+    "schema_profile",
     "schema_rows",
     "select_columns",
     "staged_audit",

@@ -1,19 +1,22 @@
 """Keyed override: replace some columns for rows whose key is in a mapping.
 
 The replacement is unconditional on a key match (a present value is
-overwritten too); rows whose key is not in the mapping are untouched.
+overwritten too); rows whose key is not in the mapping, or is NULL, are
+untouched.
 
-Two physical forms, chosen by the kind and size of the mapping:
+One contract holds for every kind and size of mapping: mapping keys are
+cast to the key column's type and mapped values to their columns' types;
+a key or value that is NULL or has no such cast is an error, and so is a
+key that repeats (it would multiply rows).  Column names match without
+regard to case.
+
+Two physical forms give the same rows:
 
 * a ``dict`` with up to ``max_literal_keys`` entries becomes literal map
   lookups inside the projection: no join, no shuffle, no broadcast;
-* a DataFrame mapping is joined.  It is broadcast only after a bounded
-  count proves it has at most ``max_broadcast_rows`` rows; otherwise the
-  join is left to the planner (sort-merge with AQE skew handling), so a
-  large mapping never lands on the driver.
-
-A mapping whose key repeats would multiply fact rows, so keys are checked
-for uniqueness first.
+* a larger ``dict`` or a DataFrame is joined.  One aggregate checks it; the
+  planner picks the join from sizes it knows (automatic broadcast below its
+  byte threshold, otherwise a shuffle join that AQE can split).
 """
 
 from __future__ import annotations
@@ -23,10 +26,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.missing import col_of
+from ..functions.names import resolve_names
+from ..functions.sqltext import ident
 
 MAX_LITERAL_KEYS = 1000
-MAX_BROADCAST_ROWS = 100_000
 
 _HIT = "__override_hit"
 
@@ -35,25 +38,46 @@ def _prefixed(c: str) -> str:
     return f"__override_{c}"
 
 
+def _cast_literals(df: DataFrame, values: Sequence[object], col: str) -> list[object]:
+    """Python values cast to the type of ``col``: a projection of a local row, which runs no job."""
+    to = df.schema[col].dataType
+    row = df.sparkSession.createDataFrame([(0,)], "x int")
+    cast = row.select(*[F.lit(v).try_cast(to).alias(f"v{i}") for i, v in enumerate(values)]).collect()[0]
+    wrong = [v for v, c in zip(values, cast) if c is None]
+    if wrong:
+        raise ValueError(f"mapping holds a NULL value or one that is no {to.simpleString()} for {col}: {wrong[0]!r}")
+    return list(cast)
+
+
 def _override_with_literals(
     df: DataFrame, key: str, mapping: Mapping[object, Sequence[object]], cols: Sequence[str]
 ) -> DataFrame:
-    keys = list(mapping)
-    hit = col_of(key).isin(keys)
+    keys = _cast_literals(df, list(mapping), key)
+    if len(set(keys)) < len(keys):
+        raise ValueError("override mapping has a repeated key")
+    at = F.expr(ident(key))
+    hit = at.isin(keys)
     exprs: dict[str, Column] = {}
     for i, c in enumerate(cols):
         pairs: list[Column] = []
-        for k in keys:
-            pairs += [F.lit(k), F.lit(mapping[k][i])]
-        lookup = F.try_element_at(F.create_map(*pairs), col_of(key))
-        exprs[c] = F.when(hit, lookup).otherwise(F.col(c))
+        for k, v in zip(keys, _cast_literals(df, [values[i] for values in mapping.values()], c)):
+            pairs += [F.lit(k).cast(df.schema[key].dataType), F.lit(v).cast(df.schema[c].dataType)]
+        exprs[c] = F.when(hit, F.try_element_at(F.create_map(*pairs), at)).otherwise(F.expr(ident(c)))
     return df.withColumns(exprs)
 
 
-def _check_unique_keys(mapping: DataFrame, key: str) -> None:
-    dup = mapping.groupBy(key).count().filter(F.col("count") > 1).limit(1).collect()
-    if dup:
-        raise ValueError(f"override mapping has a repeated key: {dup[0][key]!r}")
+def _check_mapping(mapping: DataFrame, names: Sequence[str]) -> None:
+    """Keys unique, nothing NULL: one grouped aggregate, one row to the driver."""
+    key = names[0]
+    per_key = mapping.groupBy(F.expr(ident(key)).alias("k")).agg(
+        F.count("*").alias("n"),
+        F.count_if(F.array_contains(F.array(*[F.expr(ident(c)).isNull() for c in names]), True)).alias("nulls"),
+    )
+    found = per_key.agg(F.sum("nulls").alias("nulls"), F.max(F.when(F.col("n") > 1, F.col("k"))).alias("again")).first()
+    if found.nulls:
+        raise ValueError(f"mapping holds a NULL value or one without a cast in {found.nulls} rows")
+    if found.again is not None:
+        raise ValueError(f"override mapping has a repeated key: {found.again!r}")
 
 
 def mapping_frame(
@@ -67,28 +91,21 @@ def mapping_frame(
     return spark.createDataFrame(rows, [key, *cols])
 
 
-def _override_with_join(
-    df: DataFrame, key: str, mapping: DataFrame, cols: Sequence[str], max_broadcast_rows: int
-) -> DataFrame:
-    _check_unique_keys(mapping, key)
+def _override_with_join(df: DataFrame, key: str, mapping: DataFrame, cols: Sequence[str]) -> DataFrame:
+    names = [key, *cols]
+    own = resolve_names(mapping, names)
     right = mapping.select(
-        F.col(key).alias(_prefixed(key)),
-        *[F.col(c).alias(_prefixed(c)) for c in cols],
-        F.lit(True).alias(_HIT),
+        *[F.expr(ident(o)).try_cast(df.schema[c].dataType).alias(_prefixed(c)) for c, o in zip(names, own)]
     )
-    # Bounded count: reads at most max_broadcast_rows + 1 rows of the mapping.
-    small = right.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
-    if small:
-        right = F.broadcast(right)
-    joined = df.join(right, col_of(key) == F.col(_prefixed(key)), "left")
+    _check_mapping(right, [_prefixed(c) for c in names])
+    right = right.withColumn(_HIT, F.lit(True))
+    joined = df.join(right, F.expr(ident(key)) == F.expr(ident(_prefixed(key))), "left")
     out = []
     for name in df.columns:
+        value = F.expr(ident(name))
         if name in cols:
-            out.append(
-                F.when(F.col(_HIT), F.col(_prefixed(name))).otherwise(df[name]).alias(name)
-            )
-        else:
-            out.append(df[name])
+            value = F.when(F.col(_HIT), F.expr(ident(_prefixed(name)))).otherwise(value)
+        out.append(value.alias(name))
     return joined.select(*out)
 
 
@@ -98,26 +115,24 @@ def override_by_key(
     mapping: Mapping[object, Sequence[object]] | DataFrame,
     cols: Sequence[str],
     max_literal_keys: int = MAX_LITERAL_KEYS,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Overwrite ``cols`` from ``mapping`` where ``df[key]`` matches.
 
     ``mapping`` is either ``{key_value: (value_for_cols[0], ...)}`` or a
-    DataFrame with columns ``key`` and ``cols``.  Mapped values must not be
-    NULL.
+    DataFrame with columns ``key`` and ``cols``.  An empty mapping leaves
+    the frame as it is.
     """
-    cols = list(cols)
-    missing_cols = [c for c in cols if c not in df.columns]
-    if missing_cols:
-        raise ValueError(f"columns not in frame: {missing_cols}")
+    given = list(cols)
+    key, *cols = resolve_names(df, [key, *given])
     if isinstance(mapping, DataFrame):
-        return _override_with_join(df, key, mapping, cols, max_broadcast_rows)
+        return _override_with_join(df, key, mapping, cols)
     for k, values in mapping.items():
         if len(values) != len(cols):
             raise ValueError(f"mapping for {k!r} has {len(values)} values, expected {len(cols)}")
-        if any(v is None for v in values):
+        if k is None or any(v is None for v in values):
             raise ValueError(f"mapping for {k!r} holds a NULL value")
+    if not mapping:
+        return df
     if len(mapping) <= max_literal_keys:
         return _override_with_literals(df, key, mapping, cols)
-    frame = mapping_frame(df.sparkSession, key, mapping, cols)
-    return _override_with_join(df, key, frame, cols, max_broadcast_rows)
+    return _override_with_join(df, key, mapping_frame(df.sparkSession, key, mapping, cols), cols)

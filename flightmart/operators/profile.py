@@ -153,6 +153,16 @@ def peek(df: DataFrame, n: int = 5, order_by: Sequence[str] | None = None) -> Da
     return (df.orderBy(*order_by) if order_by else df).limit(n)
 
 
+def schema_profile(df: DataFrame) -> DataFrame:
+    """(name, type, filled): per column its type and count of non-NULL values, in one pass."""
+    counts = df.agg(*[F.count(F.expr(ident(f.name))).alias(f"c{i}") for i, f in enumerate(df.schema.fields)])
+    rows = [
+        F.struct(F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type"), F.col(f"c{i}").alias("filled"))
+        for i, f in enumerate(df.schema.fields)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def schema_rows(df: DataFrame) -> list[tuple[str, str, bool]]:
     """(name, type, nullable) per column, read from the plan metadata."""
     return [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]

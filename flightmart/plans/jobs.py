@@ -15,12 +15,14 @@ cast integers.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.missing import MISSING_TOKENS
+from ..functions.names import canonical_names
 from ..functions.sqltext import any_missing_sql, ident
 from ..operators.clean import (
     assemble_date,
@@ -44,6 +46,7 @@ from ..sources.files import (
     read_csv_strings,
     read_stage,
     resolve_sources,
+    source_state,
     year_paths,
 )
 
@@ -96,8 +99,11 @@ PLANE_DATE_PATTERNS = {"issue_date": "MM/dd/yyyy"}
 PLANE_INT_COLUMNS = ["year"]
 VARIABLE_KEY = "Variable descriptions"
 VARIABLE_RENAMES = {"_c1": "Name", "_c2": "Description"}
-STAGE_PARTITIONS = 40  # what the original used; our default is no forced count
 # ---------------------------------------------------------------------------
+#: The flight columns that a step looks up; headers may spell them in any case.
+FLIGHT_NAMES = list(dict.fromkeys(
+    [*INT_COLUMNS, *CLUSTER_COLUMNS, TAIL_COLUMN, *DROPPED_COLUMNS]
+))
 
 
 def air_time_fill():
@@ -109,6 +115,7 @@ def clean_flights(
     df: DataFrame, tokens: Sequence[str] = MISSING_TOKENS, skip_null_date_parts: bool = False
 ) -> DataFrame:
     """Raw (all-string) flight rows -> the 25-column typed fact."""
+    df = canonical_names(df, FLIGHT_NAMES)
     df = drop_columns(df, DROPPED_COLUMNS)
     df = require_present(df, REQUIRED_TAXI, tokens)
     df = require_present(df, REQUIRED_SCHEDULE, tokens)
@@ -131,7 +138,7 @@ def flights_audit_trail(df: DataFrame, tokens: Sequence[str] = MISSING_TOKENS) -
     values each column has at that point, so one scan replaces four.
     Returns ``(stage, column, missing)`` rows.
     """
-    base = drop_columns(df, DROPPED_COLUMNS)
+    base = drop_columns(canonical_names(df, FLIGHT_NAMES), DROPPED_COLUMNS)
     cols = list(base.columns)
     raw = {c: f"__raw_{c}" for c in cols}
     work = base.select(*cols, *[F.col(c).alias(a) for c, a in raw.items()])
@@ -208,6 +215,30 @@ def land(
     return stage_and_verify(drop_columns(raw, DROPPED_COLUMNS), stage_path, partitions)
 
 
+def _manifest_path(stage_path: str) -> str:
+    return f"{stage_path.rstrip('/')}_manifest"
+
+
+def write_manifest(spark: SparkSession, stage_path: str, manifest: dict) -> None:
+    """What a stage was made of, as one line of JSON in a folder beside it."""
+    line = spark.createDataFrame([(json.dumps(manifest, sort_keys=True),)], "value string")
+    line.coalesce(1).write.mode("overwrite").text(_manifest_path(stage_path))
+
+
+def committed_stage(spark: SparkSession, stage_path: str, wanted: dict) -> tuple[DataFrame | None, int]:
+    """The stage and its row count if its manifest says what ``wanted`` says and
+    all its rows are there, else ``(None, 0)``."""
+    if not path_exists(spark, f"{_manifest_path(stage_path)}/_SUCCESS"):
+        return None, 0
+    line = spark.read.text(_manifest_path(stage_path)).first()
+    manifest = json.loads(line.value) if line else {}
+    rows = manifest.pop("rows", None)
+    if manifest != json.loads(json.dumps(wanted)) or not path_exists(spark, f"{stage_path.rstrip('/')}/_SUCCESS"):
+        return None, 0
+    staged = read_stage(spark, stage_path)
+    return (staged, rows) if staged.count() == rows else (None, 0)
+
+
 def flights_job(
     spark: SparkSession,
     source_root: str,
@@ -219,19 +250,27 @@ def flights_job(
     on_missing: str = "fail",
     as_table: bool = False,
     reuse_stage: bool = False,
+    partitions: int | None = None,
 ) -> int:
     """Yearly CSVs -> staged Parquet -> cleaned fact, published by date.
 
-    With ``reuse_stage`` a stage whose write committed (``_SUCCESS``) is
-    read instead of landing again, so a run that failed while publishing
-    resumes from the stage rather than re-parsing every source file.
+    With ``reuse_stage`` the stage is read instead of landing again, so a run
+    that failed while publishing resumes from it rather than re-parsing every
+    source file.  That holds only for a stage whose manifest names the same
+    sources (paths, sizes, times of their files) and dropped columns and
+    whose rows are all there; any other stage is landed anew.
+    ``partitions`` evens the stage out, for a year that cannot be split.
     """
-    if reuse_stage and path_exists(spark, f"{stage_path.rstrip('/')}/_SUCCESS"):
-        staged = read_stage(spark, stage_path)
-        rows = staged.count()
-    else:
-        paths = year_paths(source_root, first, last, pattern)
-        staged, rows = land(spark, paths, stage_path, on_missing)
+    paths = resolve_sources(spark, year_paths(source_root, first, last, pattern), on_missing)
+    wanted = {"paths": paths, "files": source_state(spark, paths), "dropped": DROPPED_COLUMNS}
+    staged, rows = None, 0
+    if reuse_stage:
+        staged, rows = committed_stage(spark, stage_path, wanted)
+    if staged is None:
+        # No manifest while the stage is being written: a stage that broke off has none.
+        write_manifest(spark, stage_path, {})
+        staged, rows = land(spark, paths, stage_path, partitions=partitions)
+        write_manifest(spark, stage_path, wanted | {"rows": rows})
     publish(
         clean_flights(staged),
         target,

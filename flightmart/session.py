@@ -24,11 +24,6 @@ DEFAULT_CONF = {
     # compilable methods for exactly those stages (value suggested by the
     # Spark documentation for HotSpot).
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # A small date-partitioned publish (many dates, little data) is otherwise
-    # coalesced into one writer task that creates every daily file serially;
-    # a lower floor keeps several writers.  Large shuffles are governed by the
-    # advisory partition size and are unaffected.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
 }
 
 

@@ -8,6 +8,7 @@ from .adapters import (
     raw_flights,
     raw_planes,
     raw_variables,
+    year_span,
 )
 from .files import (
     csv_header,
@@ -30,6 +31,7 @@ __all__ = [
     "raw_flights",
     "raw_planes",
     "raw_variables",
+    "year_span",
     "read_csv_inferred",
     "read_csv_strings",
     "read_stage",

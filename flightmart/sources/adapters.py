@@ -13,6 +13,7 @@ a table that grows with the scale factor, one output row per input row.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 RAW_FLIGHTS_SQL = """
 SELECT CAST(year(l_shipdate) AS STRING) AS Year, CAST(month(l_shipdate) AS STRING) AS Month,
@@ -41,10 +42,11 @@ SELECT CAST(year(l_shipdate) AS STRING) AS Year, CAST(month(l_shipdate) AS STRIN
 FROM (SELECT *, l_orderkey + l_linenumber AS k FROM {lineitem}) t
 """
 
-# Airports: the first four supplier keys carry codes that the airport
-# override mapping knows; city/state hold tokens there.
+# Airports: the first twelve supplier keys carry the codes that the airport
+# override mapping knows; the first city/state values hold tokens there.
 RAW_AIRPORTS_SQL = """
-SELECT CASE s_suppkey WHEN 1 THEN 'CLD' WHEN 2 THEN 'HHH' WHEN 3 THEN 'ROR' WHEN 4 THEN 'YAP'
+SELECT CASE s_suppkey WHEN 1 THEN 'CLD' WHEN 2 THEN 'HHH' WHEN 3 THEN 'ROR' WHEN 4 THEN 'YAP' WHEN 5 THEN 'MIB' WHEN 6 THEN 'MQT'
+            WHEN 7 THEN 'RCA' WHEN 8 THEN 'RDR' WHEN 9 THEN 'ROP' WHEN 10 THEN 'SCE' WHEN 11 THEN 'SKA' WHEN 12 THEN 'SPN'
             ELSE concat('A', CAST(s_suppkey AS STRING)) END AS iata,
   s_name AS airport,
   CASE WHEN s_suppkey < 4 OR s_suppkey % 11 = 0 THEN 'NA' WHEN s_suppkey % 13 = 0 THEN NULL
@@ -108,6 +110,15 @@ def adapter_sql(name: str) -> str:
     return text.format(**{table: table}).replace("`", '"')
 
 
+def year_span(raw: DataFrame, year: str = "Year") -> tuple[int, int]:
+    """First and last year of the rows; a row without a year belongs to no yearly file, so it raises."""
+    at = F.col(year).try_cast("int")
+    first, last, lost = raw.agg(F.min(at), F.max(at), F.count_if(at.isNull())).first()
+    if lost or first is None:
+        raise ValueError(f"{lost} rows without a year")
+    return first, last
+
+
 def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapter(spark, sf_dir, "raw_flights")
 

@@ -7,11 +7,15 @@ the driver.  The only driver-side work is listing a short list of paths.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+log = logging.getLogger(__name__)
+
 
 def year_paths(
     root: str, first: int = 2000, last: int = 2008, pattern: str = "{year}_data.csv"
@@ -57,7 +61,7 @@ def resolve_sources(
     """Check that source paths exist.
 
     ``on_missing="fail"`` raises on the first absent path;
-    ``"skip"`` drops absent paths (and raises if none is left).
+    ``"skip"`` drops absent paths with a warning (and raises if none is left).
     """
     if on_missing not in ("fail", "skip"):
         raise ValueError("on_missing must be 'fail' or 'skip'")
@@ -67,11 +71,22 @@ def resolve_sources(
             present.append(p)
         elif on_missing == "fail":
             raise FileNotFoundError(p)
+        else:
+            log.warning("skipped absent source %s", p)
     if not present:
         raise FileNotFoundError(f"none of {len(paths)} source paths exists")
     return present
 
 
+def source_state(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """File count, bytes and a hash of names, sizes and times of the files under
+    ``paths``: it changes when a source does.  Contents are not read."""
+    files = spark.read.format("binaryFile").load(list(paths)).select("path", "length", "modificationTime")
+    mark = F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))
+    found = files.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0)), F.coalesce(mark, F.lit(0))).first()
+    return [str(v) for v in found]
+
+
 def string_schema(columns: Sequence[str]) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in columns])
 

@@ -1,6 +1,8 @@
 import os
 import tempfile
 
+import pytest
+
 from flightmart.__main__ import main
 
 
@@ -36,16 +38,31 @@ def test_cli_flights_and_lookup(spark, capsys):
     assert sorted(r.Code for r in spark.read.parquet(f"{d}/carriers").collect()) == ["AA", "NA"]
 
 
-def test_flights_job_resumes_from_committed_stage(spark):
+def test_flights_job_resumes_from_a_stage_of_the_same_sources_only(spark, monkeypatch):
     from flightmart.plans import jobs
     from flightmart.sources.files import _listable
 
     d = tempfile.mkdtemp(prefix="flightmart-resume-")
     _write(f"{d}/in/2007_data.csv", HEADER + "2007,1,2,3,NA,900,1100,1105,AA,12,N1,100,120,NA,NA,3,SFO,LAX,337,5,10,0,,0,NA,NA,NA,NA,NA\n")
     assert jobs.flights_job(spark, f"{d}/in", f"{d}/stage", f"{d}/fact", 2007, 2007) == 1
-    # a rerun pointed at a source root that does not exist completes from the committed stage
-    assert jobs.flights_job(spark, f"{d}/absent", f"{d}/stage", f"{d}/fact2", 2007, 2007, reuse_stage=True) == 1
+    landed = []
+    land = jobs.land
+    monkeypatch.setattr(jobs, "land", lambda *a, **k: landed.append(a[1]) or land(*a, **k))
+    run = lambda last, **k: jobs.flights_job(spark, f"{d}/in", f"{d}/stage", f"{d}/fact2", 2007, last, reuse_stage=True, **k)
+    assert run(2007) == 1 and not landed
     assert spark.read.parquet(f"{d}/fact2").count() == 1
+    # an absent source root, other years, a changed file and a stage without a manifest are not taken for the same
+    with pytest.raises(FileNotFoundError):
+        jobs.flights_job(spark, f"{d}/absent", f"{d}/stage", f"{d}/fact2", 2007, 2007, reuse_stage=True)
+    _write(f"{d}/in/2008_data.csv", HEADER + "2008,2,9,6,830,830,1000,1010,UA,7,N1,100,100,80,4,-2,JFK,BOS,187,4,12,0,,0,NA,NA,NA,NA,NA\n")
+    assert run(2008) == 2 and len(landed) == 1
+    assert run(2008) == 2 and len(landed) == 1
+    with open(f"{d}/in/2008_data.csv", "a", encoding="utf-8") as fh:
+        fh.write("2008,2,10,6,830,830,1000,1010,UA,7,N1,100,100,80,4,-2,JFK,BOS,187,4,12,0,,0,NA,NA,NA,NA,NA\n")
+    assert run(2008, partitions=3) == 3 and len(landed) == 2
+    jobs.write_manifest(spark, f"{d}/stage", {})
+    assert run(2008) == 3 and len(landed) == 3
+    assert spark.read.parquet(f"{d}/fact2").count() == 3
     assert _listable(spark, f"{d}/stage") and not _listable(spark, f"{d}/nothing-here")
 
 

@@ -24,6 +24,7 @@ from flightmart.operators import (
     step_counts,
     strip_non_ascii,
 )
+from flightmart.functions.names import canonical_names
 from flightmart.plans import plan_text
 
 
@@ -154,7 +155,7 @@ def test_override_large_mapping_is_not_broadcast(spark, airports):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         m = mapping_frame(spark, "IATA", MAPPING, ["city", "state"])
-        out = override_by_key(airports, "IATA", m, ["city", "state"], max_broadcast_rows=2)
+        out = override_by_key(airports, "IATA", m, ["city", "state"])
         assert _by_key(out) == EXPECTED
         plan = plan_text(out)
         assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
@@ -173,6 +174,46 @@ def test_override_rejects_null_values(airports):
         override_by_key(airports, "IATA", {"CLD": ("x", None)}, ["city", "state"])
 
 
+def test_override_forms_agree_on_typed_keys(spark):
+    df = spark.createDataFrame([("1", "a"), ("02", "b"), (None, "c"), ("2", "d")], "k string, v string")
+    want = [("1", "x"), ("02", "b"), (None, "c"), ("2", "7")]
+    mapping = {1: ("x",), 2: (7,)}
+    frame = spark.createDataFrame([(1, "x"), (2, "7")], "K int, V string")
+    for out in (
+        override_by_key(df, "K", mapping, ["V"]),
+        override_by_key(df, "k", {1: ("x",), 2: ("7",)}, ["v"], max_literal_keys=0),
+        override_by_key(df, "k", frame, ["v"]),
+    ):
+        assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, want))
+        assert out.columns == ["k", "v"] and out.schema["v"].dataType.simpleString() == "string"
+
+
+@pytest.mark.parametrize("key, value", [(None, "x"), (5, None)])
+def test_override_forms_reject_nulls(spark, key, value):
+    df = spark.createDataFrame([("1", "a")], "k string, v string")
+    frame = spark.createDataFrame([(key, value), (6, "y")], "k int, v string")
+    with pytest.raises(ValueError):
+        override_by_key(df, "k", {key: (value,), 6: ("y",)}, ["v"])
+    with pytest.raises(ValueError):
+        override_by_key(df, "k", frame, ["v"])
+
+
+def test_override_forms_reject_keys_of_another_type(spark):
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    for options in ({}, {"max_literal_keys": 0}):
+        with pytest.raises(ValueError):
+            override_by_key(df, "k", {"one": ("x",)}, ["v"], **options)
+    assert override_by_key(df, "k", {}, ["v"]).collect() == df.collect()
+
+
+def test_names_without_regard_to_case(spark):
+    df = spark.createDataFrame([("1", "2")], "a string, b string")
+    assert canonical_names(df, ["A", "c"]).columns == ["A", "b"]
+    twice = spark.createDataFrame([("1", "2")], "a string, b string").toDF("a", "A")
+    with pytest.raises(ValueError, match="only in case"):
+        canonical_names(twice, ["a"])
+
+
 def test_staged_audit_one_pass(raw):
     from flightmart.operators import staged_audit
     from flightmart.plans import physical_plan

@@ -207,3 +207,15 @@ def test_stream_rejects_other_header_order(spark, tmp):
     _write(f"{tmp}/in/2000/part-0.csv", "TaxiIn,Year\n5,2000\n")
     with pytest.raises(Exception, match="(?i)header|schema|stream"):
         land_incrementally(spark, f"{tmp}/in/*/", ["Year", "TaxiIn"], f"{tmp}/stage")
+
+
+def test_publish_as_table_replaces_whole(spark, tmp):
+    name = f"mart_{os.path.basename(tmp).replace('-', '_').lower()}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{tmp}/{name}'")
+    df = spark.createDataFrame([("2001-01-01", 1), ("2001-01-02", 2)], "d string, x int")
+    publish(df, f"{name}.t", partition_by=["d"], as_table=True)
+    publish(df.where("x = 2"), f"{name}.t", partition_by=["d"], as_table=True)
+    assert [(r.x, str(r.d)) for r in spark.table(f"{name}.t").collect()] == [(2, "2001-01-02")]
+    publish(df, f"{name}.u", as_table=True)
+    assert spark.table(f"{name}.u").count() == 2
+    spark.sql(f"DROP DATABASE {name} CASCADE")
