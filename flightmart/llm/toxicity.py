@@ -11,7 +11,8 @@ rows; equal vectors are merged and keep their class weights.
 Search: postings are cut into blocks of examples and every term knows its
 largest weight in every block.  A query sums these into upper bounds, visits
 blocks from the best bound down and stops once no bound can beat the k-th
-best cosine, so the neighbours are the exact ones.
+best cosine, so the neighbours are the exact ones.  Queries that visit a
+block at the same turn are scored on it together.
 
 Scores: neighbours vote with the inverse of their cosine distance, and an
 isotonic fit of leave-one-out votes turns votes into calibrated
@@ -30,7 +31,7 @@ import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -42,6 +43,8 @@ from pyspark.sql.functions import pandas_udf
 from ._common import quoted, stored, text_or_empty
 
 WORD = re.compile(r"\w+")
+PLACES, ID_BITS = 10**12, 22
+CHUNK, CELLS = 1024, 1 << 23  # queries searched together; cells of their matrix
 COLUMNS = ["score", "predicted", "evidence_ids", "evidence_cosines", "evidence_labels"]
 RESULT = "score double, predicted int, evidence_ids array<string>, evidence_cosines array<double>, evidence_labels array<int>"
 
@@ -68,8 +71,10 @@ def words(text: str | None) -> list[str]:
 class BlockMaxIndex:
     """Sparse example vectors of unit length, searched exactly.
 
-    ``vectors``: per example the term ids and weights.  The last term is the
-    common one of all words outside the vocabulary.
+    ``rows``: per example the term ids and weights.  The last term is the
+    common one of all words outside the vocabulary.  A block keeps postings
+    for the terms that occur in it, as a small term x example matrix; every
+    process builds these for itself, so they don't travel with the model.
     """
 
     n_terms: int
@@ -77,50 +82,61 @@ class BlockMaxIndex:
     ids: list[str]
     mass: np.ndarray  # example x class: summed weights of the rows merged into it
     rows: list[tuple[np.ndarray, np.ndarray]]
-    post: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
-    best: np.ndarray | None = None
-    cuts: dict[int, np.ndarray] = field(default_factory=dict)
+    best: np.ndarray | None = None  # term x block: largest weight
+    postings: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
 
     def __post_init__(self) -> None:
-        n = len(self.rows)
-        blocks = max(1, -(-n // self.block))
-        self.best = np.zeros((self.n_terms, blocks))
-        by: dict[int, list[tuple[int, float]]] = {}
+        self.best = np.zeros((self.n_terms, -(-len(self.rows) // self.block)))
         for i, (terms, weights) in enumerate(self.rows):
-            for t, w in zip(terms.tolist(), weights.tolist()):
-                by.setdefault(t, []).append((i, w))
-        edges = np.arange(blocks + 1) * self.block
-        for t, pairs in by.items():
-            at = np.array([p[0] for p in pairs])
-            weight = np.array([p[1] for p in pairs])
-            self.post[t] = (at, weight)
-            np.maximum.at(self.best[t], at // self.block, weight)
-            self.cuts[t] = np.searchsorted(at, edges)
-
-    def search(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> list[tuple[float, int]]:
-        """The k best (cosine, example), cosine above 0, ties to the lower example."""
-        if not len(terms) or not self.rows:
-            return []
-        bound = weights @ self.best[terms]
-        found: list[tuple[float, int]] = []
-        known = [(w, *self.post[t], self.cuts[t]) for t, w in zip(terms.tolist(), weights.tolist()) if t in self.post]
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or len(found) == k and bound[b] < found[-1][0] - 1e-9:
+            np.maximum.at(self.best[:, i // self.block], terms, weights)
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"postings": []}
+
+    def _build(self) -> None:
+        for b in range(self.best.shape[1]):
+            terms = np.flatnonzero(self.best[:, b])
+            weights = np.zeros((len(terms), self.block))
+            for i, (own, w) in enumerate(self.rows[b * self.block : (b + 1) * self.block]):
+                weights[np.searchsorted(terms, own), i] = w
+            self.postings.append((terms, weights))
+
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Query x k best cosines and their examples, best first; cosine 0 is no
+        neighbour.  Cosines count to twelve places, ties go to the lower example."""
+        if not self.postings:
+            self._build()
+        step = max(1, min(CHUNK, CELLS // self.n_terms))
+        parts = [self._search(queries[at : at + step], k) for at in range(0, len(queries) if self.rows else 0, step)]
+        if not parts:
+            return np.zeros((len(queries), k)), np.zeros((len(queries), k), dtype=np.int64)
+        return np.concatenate([c for c, _ in parts]), np.concatenate([e for _, e in parts])
+
+    def _search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray]:
+        q = np.zeros((len(queries), self.n_terms))
+        for i, (terms, weights) in enumerate(queries):
+            q[i, terms] = weights
+        bound = q @ self.best
+        order = np.argsort(-bound, axis=1, kind="stable")
+        # One integer per neighbour: the cosine, then the example counted down.
+        top = np.zeros((len(queries), k), dtype=np.int64)
+        for rank in range(bound.shape[1]):
+            at = order[:, rank]
+            reach = bound[np.arange(len(q)), at]
+            go = (reach > 0) & (reach >= (top.min(axis=1) >> ID_BITS) / PLACES - 1e-9)
+            if not go.any():
                 break
-            acc = np.zeros(self.block)
-            for w, at, weight, cut in known:
-                lo, hi = cut[b], cut[b + 1]
-                if hi > lo:
-                    acc[at[lo:hi] - b * self.block] += w * weight[lo:hi]
-            if 0 <= skip - b * self.block < self.block:
-                acc[skip - b * self.block] = 0
-            hits = np.flatnonzero(acc > 0)
-            if len(hits) > k:
-                hits = hits[np.argsort(-acc[hits], kind="stable")[:k]]
-            found += [(float(acc[h]), int(h + b * self.block)) for h in hits]
-            found.sort(key=lambda x: (-x[0], x[1]))
-            del found[k:]
-        return found
+            for b in np.unique(at[go]).tolist():
+                who = np.flatnonzero(go & (at == b))
+                terms, weights = self.postings[b]
+                cosines = np.rint(q[np.ix_(who, terms)] @ weights * PLACES).astype(np.int64)
+                names = (1 << ID_BITS) - 1 - (b * self.block + np.arange(self.block))
+                keys = np.where(cosines > 0, (cosines << ID_BITS) + names, 0)
+                top[who] = np.partition(np.hstack([top[who], keys]), -k, axis=1)[:, -k:]
+        top = -np.sort(-top, axis=1)
+        found = top > 0
+        examples = np.where(found, (1 << ID_BITS) - 1 - (top & ((1 << ID_BITS) - 1)), 0)
+        return (top >> ID_BITS) / PLACES, examples
 
 
 @dataclass
@@ -131,37 +147,29 @@ class Model:
     prior: float
     steps: tuple[np.ndarray, np.ndarray]  # votes and the probabilities they stand for
     params: Params
-    known: dict[int, tuple] = field(default_factory=dict)
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         return weigh(term_counts(text, self.vocabulary), self.idf)
 
-    def vote(self, found: list[tuple[float, int]], own: np.ndarray | None = None, skip: int = -1) -> float:
-        toxic = total = 0.0
-        for cosine, i in found:
-            mass = self.index.mass[i]
-            if i == skip:
-                mass = np.maximum(mass - own, 0)
-            weight = 1 / (1.05 - min(cosine, 1.0))
-            toxic += weight * mass[1]
-            total += weight * (mass[0] + mass[1])
-        return (toxic + self.prior) / (total + 1)
-
-    def probability(self, vote: float) -> float:
-        return float(np.interp(vote, *self.steps)) if len(self.steps[0]) else vote
-
-    def score(self, text: str | None) -> tuple[float, int, list[str], list[float], list[int]]:
-        """One row of RESULT."""
-        terms, weights = self.vector(text)
-        alone = int(terms[0]) if len(terms) == 1 else None  # a vector of one term is the same in any text
-        if alone in self.known:
-            return self.known[alone]
-        found = self.index.search(terms, weights, self.params.neighbours)
-        score, near = self.probability(self.vote(found)), found[: self.params.evidence]
-        labels = [int(self.index.mass[i][1] > self.index.mass[i][0]) for _, i in near]
-        out = (score, int(score >= self.params.threshold), [self.index.ids[i] for _, i in near], [c for c, _ in near], labels)
-        if alone is not None:
-            self.known[alone] = out
+    def votes(self, cosines: np.ndarray, mass: np.ndarray) -> np.ndarray:
+        """Toxic share by neighbours' ``mass`` (query x k x class)."""
+        weight = np.where(cosines > 0, 1 / (1.05 - np.minimum(cosines, 1)), 0)
+        toxic, clean = (weight * mass[..., 1]).sum(axis=1), (weight * mass[..., 0]).sum(axis=1)
+        return (toxic + self.prior) / (toxic + clean + 1)
+
+    def probabilities(self, votes: np.ndarray) -> np.ndarray:
+        return np.interp(votes, *self.steps) if len(self.steps[0]) else votes
+
+    def score(self, texts: Iterable[str | None]) -> list[tuple[float, int, list[str], list[float], list[int]]]:
+        """Per text one row of RESULT."""
+        cosines, examples = self.index.search([self.vector(t) for t in texts], self.params.neighbours)
+        mass = self.index.mass[examples] if len(self.index.ids) else np.zeros((*examples.shape, 2))
+        scores = self.probabilities(self.votes(cosines, mass))
+        toxic, out = mass[..., 1] > mass[..., 0], []
+        for i, s in enumerate(scores.tolist()):
+            n = min(int((cosines[i] > 0).sum()), self.params.evidence)
+            ids = [self.index.ids[x] for x in examples[i, :n]]
+            out.append((s, int(s >= self.params.threshold), ids, cosines[i, :n].tolist(), toxic[i, :n].astype(int).tolist()))
         return out
 
 
@@ -288,16 +296,20 @@ def assemble(sample: list, vocabulary: dict[str, int], idf: np.ndarray, rates: l
     index = BlockMaxIndex(len(vocabulary) + 1, p.block, [e[3] for e in entries], mass, [(e[0], e[1]) for e in entries])
     model = Model(vocabulary, idf, index, prior, (np.zeros(0), np.zeros(0)), p)
     votes, labels, weights = [], [], []
-    for i, (terms, w, _, _, owns) in enumerate(entries):
-        found = index.search(terms, w, p.neighbours + 1)
+    if entries:
+        cosines, examples = index.search([(e[0], e[1]) for e in entries], p.neighbours + 1)
+        self_at = (examples == np.arange(len(entries))[:, None]) & (cosines > 0)
+        # An example of one row leaves its list; of several rows, one row's weight leaves.
+        drop = self_at & np.array([len(e[4]) == 1 for e in entries])[:, None]
+        drop[~drop.any(axis=1), -1] = True
+        near, who, own_at = (x[~drop].reshape(len(entries), -1) for x in (cosines, examples, self_at))
         for y in (0, 1):
-            same = [o for o in owns if o[y] > 0]
-            if same:
-                alone = len(owns) == 1
-                near = [f for f in found if not (alone and f[1] == i)][: p.neighbours]
-                votes.append(model.vote(near, same[0], i))
-                labels.append(y)
-                weights.append(sum(o[y] for o in same))
+            own = np.eye(2)[y] / rates[y]
+            has = np.array([any(o[y] > 0 for o in e[4]) for e in entries])
+            without = np.where(own_at[..., None], np.maximum(mass[who] - own, 0), mass[who])
+            votes += model.votes(near, without)[has].tolist()
+            labels += [y] * int(has.sum())
+            weights += [sum(o[y] for o in e[4]) for e, h in zip(entries, has) if h]
     if votes:
         model.steps = isotonic(np.array(votes), np.array(labels, dtype=float), np.array(weights))
     return model
@@ -313,7 +325,8 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     @pandas_udf(RESULT)
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            yield pd.DataFrame([model.score(t) for t in texts], columns=COLUMNS)
+            rows = [r for at in range(0, len(texts), CHUNK) for r in model.score(texts.iloc[at : at + CHUNK])]
+            yield pd.DataFrame(rows, columns=COLUMNS)
 
     kept = [F.col(quoted(c)) for c in docs.columns if c.lower() not in COLUMNS]
     return docs.select(*kept, scored.asNondeterministic()(text_or_empty(text)).alias("__toxicity")).select(*kept, "__toxicity.*")

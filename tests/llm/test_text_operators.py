@@ -163,11 +163,51 @@ def test_block_max_search_is_exact():
     dense = np.zeros((700, 30))
     for i, (t, w) in enumerate(rows):
         dense[i, t] = w
-    for t, w in rows[:60]:
+    queries_ = [*rows[:60], (np.zeros(0, dtype=int), np.zeros(0))]
+    cosines, examples = index.search(queries_, 10)
+    for (t, w), got, who in zip(queries_, cosines, examples):
         q = np.zeros(30)
         q[t] = w
-        got = index.search(t, w, 10)
-        assert np.allclose([c for c, _ in got], np.sort(dense @ q)[::-1][:10])
+        want = np.round(dense @ q, 12)
+        best = np.argsort(-want, kind="stable")[:10]
+        assert np.allclose(got, want[best], atol=1e-11)
+        assert who[got > 0].tolist() == best[want[best] > 0].tolist()
+    none = toxicity.BlockMaxIndex(1, 32, [], np.zeros((0, 2)), [])
+    assert none.search(queries_[:0], 3)[0].shape == (0, 3) and not none.search([rows[0]], 3)[0].any()
+
+
+def test_leave_one_out_calibration_by_loop():
+    rng, p = np.random.default_rng(6), toxicity.Params(neighbours=3, block=8)
+    sample = []
+    for i in range(90):
+        terms = np.sort(rng.choice(6, rng.integers(0, 4), replace=False)).tolist()
+        sample.append({"id": str(i), "y": int(rng.random() < 0.2 + 0.6 * (0 in terms)), "terms": terms, "tf": [1] * len(terms)})
+    model = toxicity.assemble(sample, {str(i): i for i in range(5)}, np.ones(6), [1.0, 1.0], 0.4, p)
+    groups = {}
+    for r in sample:
+        groups.setdefault(tuple(r["terms"]), []).append(r["y"])
+    at = {tuple(t.tolist()): i for i, (t, _) in enumerate(model.index.rows)}
+    votes, truth = [], []
+    for key, ys in groups.items():
+        q = np.zeros(6)
+        q[list(key)] = 1 / max(1, len(key)) ** 0.5
+        found = []
+        for other, i in at.items():
+            cosine = round(sum(q[x] / len(other) ** 0.5 for x in other), 12) if other else 0
+            if cosine > 0 and (other != key or len(ys) > 1):
+                found.append((-cosine, i, other))
+        for y in ys:
+            toxic = total = 0.0
+            for c, _, other in sorted(found)[:3]:
+                n, k = len(groups[other]), sum(groups[other])
+                if other == key:
+                    n, k = n - 1, k - y
+                toxic, total = toxic + k / (1.05 + c), total + n / (1.05 + c)
+            votes.append((toxic + 0.4) / (total + 1))
+            truth.append(y)
+    want = toxicity.isotonic(np.round(votes, 9), np.array(truth, dtype=float), np.ones(len(votes)))
+    grid = np.unique(np.round(votes, 9))
+    assert np.allclose(model.probabilities(grid), np.interp(grid, *want), atol=0.02)
 
 
 def test_toxicity_held_out_and_edges(spark, odd, empty):
