@@ -25,8 +25,7 @@ def held_out(id: str = "doc_id"):
 
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
     known = labels.where(~held_out()).where("toxic in (0, 1) and doc_id is not null")
-    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return toxicity.fit(docs, docs.select("doc_id", "text").join(known, "doc_id"))
+    return toxicity.fit(docs, known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
 
 
 def op1_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:

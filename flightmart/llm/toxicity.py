@@ -53,7 +53,7 @@ RESULT = "score double, predicted int, evidence_ids array<string>, evidence_cosi
 class Params:
     """Bounds and thresholds of the classifier."""
 
-    max_train: int = 400_000  # labelled rows that vocabulary counts are taken from, about
+    max_train: int = 400_000  # labels that are learned from, about
     max_examples: int = 4096  # indexed examples of each class, about
     min_association: float = 25.0  # log-likelihood ratio from which a word is kept
     neighbours: int = 15
@@ -205,20 +205,25 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return np.array(at), np.array([p[0] / p[1] for p in pools for _ in (0, 1)])
 
 
-def fit(docs: DataFrame, labelled: DataFrame, text: str = "text", label: str = "toxic", id: str = "doc_id", params: Params | None = None) -> Model:
-    """Learn from ``labelled`` (id, text, label); IDF comes from all ``docs``.
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", id: str = "doc_id", params: Params | None = None) -> Model:
+    """Learn from the ``docs`` that ``labels`` (id, label; a row per id) names;
+    IDF comes from all ``docs``.
 
-    Brought to the driver: the vocabulary and at most about twice
-    ``max_examples`` sparse vectors, both bounded by the parameters.
+    Beyond ``max_train`` labels a sample of about so many is taken, by hash
+    of the id; their ids and labels are broadcast, so texts stay where they
+    are.  Brought to the driver: the vocabulary and at most about twice
+    ``max_examples`` sparse vectors.  All these are bounded by the parameters.
     """
-    p, spark = params or Params(), docs.sparkSession
-    rows = labelled.select(
-        F.col(id).cast("string").alias("id"), text_or_empty(text).alias("text"), F.col(label).cast("int").alias("y")
-    ).where(F.col("y").isin(0, 1))
-    rows = stored(rows, "toxicity-labelled")
+    p = params or Params()
+    known = labels.select(F.col(id).cast("string").alias("id"), F.col(label).cast("int").alias("y"))
+    known = stored(known.where("id is not null and y in (0, 1)"), "toxicity-labels")
+    n = known.count()
+    if n > p.max_train:
+        known = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30) < p.max_train / n)
+    rows = docs.select(F.col(id).cast("string").alias("id"), text_or_empty(text).alias("text"))
+    rows = stored(rows.join(F.broadcast(known), "id"), "toxicity-labelled")
     share = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / float(1 << 30)
     n, pos = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
-    train = rows.where(share < p.max_train / n) if n > p.max_train else rows
 
     def count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n, pos, after = Counter(), Counter(), {}
@@ -240,18 +245,17 @@ def fit(docs: DataFrame, labelled: DataFrame, text: str = "text", label: str = "
                 n, pos, after = Counter(), Counter(), {}
         yield taken().astype({"after": "uint64"}).astype({"after": "int64"})
 
-    counts = train.select("text", "y").mapInPandas(count_words, "word string, n long, pos long, after long")
+    counts = rows.select("text", "y").mapInPandas(count_words, "word string, n long, pos long, after long")
     counts = counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"), F.bit_or("after").alias("after"))
     counts = counts.where((F.col("pos") > 0) & (F.bit_count("after") >= p.min_contexts))
-    size, toxic = train.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     log_part = lambda k, m: f"CASE WHEN {k} > 0 THEN {k} * ln({k} / ({m})) ELSE 0 END"
     ratio = (
-        f"2 * ({log_part('pos', f'n * {toxic}D / {size}')} + {log_part('(n - pos)', f'n * {size - toxic}D / {size}')}"
-        f" + {log_part(f'({toxic} - pos)', f'({size} - n) * {toxic}D / {size}')}"
-        f" + {log_part(f'({size - toxic} - n + pos)', f'({size} - n) * {size - toxic}D / {size}')})"
+        f"2 * ({log_part('pos', f'n * {pos}D / {n}')} + {log_part('(n - pos)', f'n * {n - pos}D / {n}')}"
+        f" + {log_part(f'({pos} - pos)', f'({n} - n) * {pos}D / {n}')}"
+        f" + {log_part(f'({n - pos} - n + pos)', f'({n} - n) * {n - pos}D / {n}')})"
     )
-    if 0 < toxic < size:
-        kept = counts.where(f"pos * {size}D > n * {toxic}D").where(F.expr(ratio) >= p.min_association)
+    if 0 < pos < n:
+        kept = counts.where(f"pos * {n}D > n * {pos}D").where(F.expr(ratio) >= p.min_association)
         vocabulary = {w: i for i, w in enumerate(sorted(r[0] for r in kept.select("word").collect()))}
     else:
         vocabulary = {}
