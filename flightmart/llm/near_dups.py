@@ -44,6 +44,7 @@ from .components import components
 N_HASHES, BAND = 128, 4
 BATCH = 16
 BLOCK = 256
+FILTER_BITS, PAGE_BITS = 1 << 26, 1 << 15
 MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 TO_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -235,9 +236,20 @@ def _bands(classes: DataFrame) -> DataFrame:
     return classes.select(F.posexplode(keys).alias("k", "band"), "id", "n")
 
 
+def _likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without most rows whose id is not in ``ids``, by a bitmap of hashed
+    ids: broadcast at ``FILTER_BITS`` bits at most, whatever the number of ids."""
+    bit = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
+    page, at = F.floor(bit / PAGE_BITS).alias("page"), (bit % PAGE_BITS).alias("at")
+    pages = ids.select(page, at).groupBy("page").agg(F.bitmap_construct_agg("at").alias("bits"))
+    held = F.expr("getbit(cast(conv(hex(substring(bits, cast(at div 8 as int) + 1, 1)), 16, 10) as int), cast(at % 8 as int)) = 1")
+    return docs.select("id", "text", page, at).join(F.broadcast(pages), "page").where(held).select("id", "text")
+
+
 def _sets_of(ids: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """(id, set) of the texts with these ids; only they are read for it."""
-    sets = docs.join(ids.distinct(), "id", "left_semi").mapInPandas(_sets(size), "id long, fp binary, set binary")
+    """(id, set) of the texts with these ids; of the others hardly any is shuffled."""
+    some = _likely(docs, ids).join(ids.distinct(), "id", "left_semi")
+    sets = some.mapInPandas(_sets(size), "id long, fp binary, set binary")
     return stored(sets.groupBy("id").agg(F.min(F.struct("fp", "set")).alias("own")).select("id", "own.set"), "near-sets")
 
 

@@ -176,3 +176,12 @@ def test_queries_are_registered(spark):
 
     assert {*queries.QUERIES, "pipeline"} <= __spark_entry__.queries().keys()
     assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+
+
+def test_bitmap_filter_keeps_every_wanted_id(spark):
+    docs = spark.range(-3000, 3000).selectExpr("id", "cast(id as string) as text")
+    ids = docs.where("id % 7 = 0").select("id")
+    got = {r.id for r in near_dups._likely(docs, ids.union(ids)).collect()}
+    wanted = {r.id for r in ids.collect()}
+    assert wanted <= got and len(got) < len(wanted) + 10
+    assert near_dups._likely(docs, ids.limit(0)).count() == 0
