@@ -248,7 +248,8 @@ def _likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def _sets_of(ids: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     """(id, set) of the texts with these ids; of the others hardly any is shuffled."""
-    some = _likely(docs, ids).join(ids.distinct(), "id", "left_semi")
+    # An inner join: a semi join would be pushed below the filter, with every text in its shuffle.
+    some = _likely(docs, ids).join(ids.distinct(), "id")
     sets = some.mapInPandas(_sets(size), "id long, fp binary, set binary")
     return stored(sets.groupBy("id").agg(F.min(F.struct("fp", "set")).alias("own")).select("id", "own.set"), "near-sets")
 
