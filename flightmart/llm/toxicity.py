@@ -1,18 +1,21 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-Fitting: the vocabulary holds the words whose document counts among the
-labelled training rows are tied to the toxic label (log-likelihood ratio of
-the two-by-two table) and that follow several different words there, which
-the words of one much copied text don't; every other word of a text adds to one common term,
-so a vector also knows how dense the telling words are.  IDF is counted over
-all documents.  The examples are a bounded, stratified sample of training
-rows; equal vectors are merged and keep their class weights.
+Vectors hold every word of a text, weighed by (1 + ln tf) x idf x
+association.  IDF is counted over all documents, exactly; a word seen in one
+document or none counts as seen once.  The association of a word is 1 plus
+the root of the log-likelihood ratio that ties its document counts among the
+labelled training rows to the toxic label, and 1 for all other words.  Words
+go by 64-bit hashes.  The weights' table is what grows with the corpus: it
+has a row of 12 bytes for each distinct word but those seen once that no
+toxic training row and no example holds.  The examples are a bounded,
+stratified sample of training rows; equal vectors are merged and keep their
+class weights.
 
 Search: postings are cut into blocks of examples and every term knows its
-largest weight in every block.  A query sums these into upper bounds, visits
-blocks from the best bound down and stops once no bound can beat the k-th
-best cosine, so the neighbours are the exact ones.  Queries that visit a
-block at the same turn are scored on it together.
+largest weight in each block that holds it.  A query sums these into upper
+bounds, scores the blocks of the best bounds and then all others whose bound
+reaches the k-th best cosine so far, so the neighbours are the exact ones.
+Terms that many examples share are no postings but a dense matrix.
 
 Scores: neighbours vote with the inverse of their cosine distance, and an
 isotonic fit of leave-one-out votes turns votes into calibrated
@@ -29,7 +32,6 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -44,7 +46,9 @@ from ._common import quoted, stored, text_or_empty
 
 WORD = re.compile(r"\w+")
 PLACES, ID_BITS = 10**12, 22
-CHUNK, CELLS = 1024, 1 << 23  # queries searched together; cells of their matrix
+CHUNK = 128  # texts weighed and searched together
+SHARED = 1 / 8  # share of the examples from which a term's weights are a row of a matrix
+FIRST = 2  # blocks that are scored before bounds are compared
 COLUMNS = ["score", "predicted", "evidence_ids", "evidence_cosines", "evidence_labels"]
 RESULT = "score double, predicted int, evidence_ids array<string>, evidence_cosines array<double>, evidence_labels array<int>"
 
@@ -55,9 +59,7 @@ class Params:
 
     max_train: int = 400_000  # labels that are learned from, about
     max_examples: int = 4096  # indexed examples of each class, about
-    min_association: float = 25.0  # log-likelihood ratio from which a word is kept
     neighbours: int = 15
-    min_contexts: int = 8  # classes of words, out of 64, that a word must follow in toxic rows
     evidence: int = 5
     block: int = 256
     threshold: float = 0.3
@@ -67,14 +69,55 @@ def words(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
+def hashed(found: list[str]) -> np.ndarray:
+    return pd.util.hash_array(np.array(found, dtype=object), categorize=False).view(np.int64)
+
+
+def term_counts(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes and counts, text after text, and how many each text has."""
+    found, tf, sizes = [], [], []
+    for t in texts:
+        own = Counter(words(t))
+        found.extend(own)
+        tf.extend(own.values())
+        sizes.append(len(own))
+    return hashed(found), np.array(tf, dtype=np.int64), np.array(sizes, dtype=np.int64)
+
+
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``start .. start + size - 1`` of each, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
+def found_at(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Places of ``wanted`` in the sorted ``keys``; -1 where missing."""
+    if not len(keys):
+        return np.full(len(wanted), -1)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, at, -1)
+
+
+@dataclass
+class Postings:
+    """A BlockMaxIndex in arrays.  A pair is a term and a block that holds it."""
+
+    shared: np.ndarray  # by term: its row of ``dense``, or -1
+    dense: np.ndarray
+    pairs_of: np.ndarray  # by term: its first pair; a last entry more
+    block_of: np.ndarray  # by pair
+    best: np.ndarray  # by pair: largest weight
+    first: np.ndarray  # by pair: its first posting; a last entry more
+    examples: np.ndarray  # by posting
+    weights: np.ndarray
+
+
 @dataclass
 class BlockMaxIndex:
     """Sparse example vectors of unit length, searched exactly.
 
-    ``rows``: per example the term ids and weights.  The last term is the
-    common one of all words outside the vocabulary.  A block keeps postings
-    for the terms that occur in it, as a small term x example matrix; every
-    process builds these for itself, so they don't travel with the model.
+    ``rows``: per example the term ids and weights.  Every process builds
+    the postings for itself, so they don't travel with the model.
     """
 
     n_terms: int
@@ -82,74 +125,110 @@ class BlockMaxIndex:
     ids: list[str]
     mass: np.ndarray  # example x class: summed weights of the rows merged into it
     rows: list[tuple[np.ndarray, np.ndarray]]
-    best: np.ndarray | None = None  # term x block: largest weight
-    postings: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
-
-    def __post_init__(self) -> None:
-        self.best = np.zeros((self.n_terms, -(-len(self.rows) // self.block)))
-        for i, (terms, weights) in enumerate(self.rows):
-            np.maximum.at(self.best[:, i // self.block], terms, weights)
+    postings: Postings | None = None
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"postings": []}
-
-    def _build(self) -> None:
-        for b in range(self.best.shape[1]):
-            terms = np.flatnonzero(self.best[:, b])
-            weights = np.zeros((len(terms), self.block))
-            for i, (own, w) in enumerate(self.rows[b * self.block : (b + 1) * self.block]):
-                weights[np.searchsorted(terms, own), i] = w
-            self.postings.append((terms, weights))
+        return self.__dict__ | {"postings": None}
+
+    def _build(self) -> Postings:
+        n = len(self.rows)
+        blocks = -(-n // self.block)
+        terms = np.concatenate([t for t, _ in self.rows]).astype(np.int64)
+        weights = np.concatenate([w for _, w in self.rows])
+        examples = np.repeat(np.arange(n), [len(t) for t, _ in self.rows])
+        held = np.bincount(terms, minlength=self.n_terms)
+        many = np.flatnonzero(held >= max(2, n * SHARED))
+        shared = np.full(self.n_terms, -1)
+        shared[many] = np.arange(len(many))
+        dense = np.zeros((len(many), n))
+        own = shared[terms] >= 0
+        dense[shared[terms[own]], examples[own]] = weights[own]
+        order = np.flatnonzero(~own)[np.argsort(terms[~own], kind="stable")]
+        terms, weights, examples = terms[order], weights[order], examples[order]
+        pair = terms * blocks + examples // self.block
+        first = np.flatnonzero(np.diff(pair, prepend=-1))
+        best = np.maximum.reduceat(weights, first) if len(first) else np.zeros(0)
+        pairs_of = np.searchsorted(pair[first], np.arange(self.n_terms + 1) * blocks)
+        return Postings(shared, dense, pairs_of, pair[first] % blocks, best, np.append(first, len(terms)), examples, weights)
 
     def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray]:
         """Query x k best cosines and their examples, best first; cosine 0 is no
         neighbour.  Cosines count to twelve places, ties go to the lower example."""
-        if not self.postings:
-            self._build()
-        step = max(1, min(CHUNK, CELLS // self.n_terms))
-        parts = [self._search(queries[at : at + step], k) for at in range(0, len(queries) if self.rows else 0, step)]
-        if not parts:
-            return np.zeros((len(queries), k)), np.zeros((len(queries), k), dtype=np.int64)
-        return np.concatenate([c for c, _ in parts]), np.concatenate([e for _, e in parts])
-
-    def _search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray]:
-        q = np.zeros((len(queries), self.n_terms))
-        for i, (terms, weights) in enumerate(queries):
-            q[i, terms] = weights
-        bound = q @ self.best
-        order = np.argsort(-bound, axis=1, kind="stable")
         # One integer per neighbour: the cosine, then the example counted down.
         top = np.zeros((len(queries), k), dtype=np.int64)
-        for rank in range(bound.shape[1]):
-            at = order[:, rank]
-            reach = bound[np.arange(len(q)), at]
-            go = (reach > 0) & (reach >= (top.min(axis=1) >> ID_BITS) / PLACES - 1e-9)
-            if not go.any():
-                break
-            for b in np.unique(at[go]).tolist():
-                who = np.flatnonzero(go & (at == b))
-                terms, weights = self.postings[b]
-                cosines = np.rint(q[np.ix_(who, terms)] @ weights * PLACES).astype(np.int64)
-                names = (1 << ID_BITS) - 1 - (b * self.block + np.arange(self.block))
-                keys = np.where(cosines > 0, (cosines << ID_BITS) + names, 0)
-                top[who] = np.partition(np.hstack([top[who], keys]), -k, axis=1)[:, -k:]
+        if self.rows:
+            self.postings = self.postings or self._build()
+            for at in range(0, len(queries), CHUNK):
+                self._search(queries[at : at + CHUNK], top[at : at + CHUNK])
         top = -np.sort(-top, axis=1)
-        found = top > 0
-        examples = np.where(found, (1 << ID_BITS) - 1 - (top & ((1 << ID_BITS) - 1)), 0)
+        examples = np.where(top > 0, (1 << ID_BITS) - 1 - (top & ((1 << ID_BITS) - 1)), 0)
         return (top >> ID_BITS) / PLACES, examples
 
+    def _search(self, queries: list[tuple[np.ndarray, np.ndarray]], top: np.ndarray) -> None:
+        p, n, k = self.postings, len(self.rows), top.shape[1]
+        edges = np.arange(0, n, self.block)
+        q = np.zeros((len(queries), len(p.dense)))
+        rest = []
+        for i, (terms, weights) in enumerate(queries):
+            terms = np.asarray(terms, dtype=np.int64)
+            at = p.shared[terms]
+            q[i, at[at >= 0]] = weights[at >= 0]
+            rest.append((terms[at < 0], weights[at < 0]))
+        cosines = q @ p.dense
+        for i, (terms, weights) in enumerate(rest):
+            own = cosines[i]
+            sizes = p.pairs_of[terms + 1] - p.pairs_of[terms]
+            pairs, by = ranges(p.pairs_of[terms], sizes), np.repeat(weights, sizes)
+            blocks = p.block_of[pairs]
+            bound = np.maximum.reduceat(own, edges) + np.bincount(blocks, by * p.best[pairs], len(edges))
+            turn = np.zeros(len(edges), dtype=bool)
+            turn[np.argsort(-bound, kind="stable")[:FIRST]] = True
+            seen = turn
+            while turn.any():
+                go = turn[blocks]
+                held = p.first[pairs[go] + 1] - p.first[pairs[go]]
+                at = ranges(p.first[pairs[go]], held)
+                own += np.bincount(p.examples[at], np.repeat(by[go], held) * p.weights[at], n)
+                scored = np.flatnonzero(np.repeat(turn, self.block)[:n])
+                exact = np.rint(own[scored] * PLACES).astype(np.int64)
+                keys = np.where(exact > 0, (exact << ID_BITS) + (1 << ID_BITS) - 1 - scored, 0)
+                top[i] = np.partition(np.append(top[i], keys), -k)[-k:]
+                turn = ~seen & (bound > 0) & (bound >= (top[i].min() >> ID_BITS) / PLACES - 1e-9)
+                seen = seen | turn
+
+
+@dataclass
+class Vocabulary:
+    hashes: np.ndarray  # sorted
+    weights: np.ndarray  # IDF x association
+    other: float  # weight of all other words
+    terms: np.ndarray  # sorted hashes of the examples' words; a term id is a place in it
+
+    def weight(self, hashes: np.ndarray) -> np.ndarray:
+        at = found_at(self.hashes, hashes)
+        return np.where(at >= 0, self.weights[at] if len(self.hashes) else 0.0, self.other)
+
 
 @dataclass
 class Model:
-    vocabulary: dict[str, int]
-    idf: np.ndarray
+    vocabulary: Vocabulary
     index: BlockMaxIndex
     prior: float
     steps: tuple[np.ndarray, np.ndarray]  # votes and the probabilities they stand for
     params: Params
 
-    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        return weigh(term_counts(text, self.vocabulary), self.idf)
+    def vectors(self, texts: Iterable[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Terms and weights of each text.  Words that no example has count in
+        the length and are left out, as no posting meets them."""
+        hashes, tf, sizes = term_counts(texts)
+        weights = (1 + np.log(tf)) * self.vocabulary.weight(hashes)
+        terms = found_at(self.vocabulary.terms, hashes)
+        out, at = [], 0
+        for n in sizes.tolist():
+            t, w = terms[at : at + n], weights[at : at + n]
+            out.append((t[t >= 0], w[t >= 0] / np.linalg.norm(w) if n else w))
+            at += n
+        return out
 
     def votes(self, cosines: np.ndarray, mass: np.ndarray) -> np.ndarray:
         """Toxic share by neighbours' ``mass`` (query x k x class)."""
@@ -162,7 +241,7 @@ class Model:
 
     def score(self, texts: Iterable[str | None]) -> list[tuple[float, int, list[str], list[float], list[int]]]:
         """Per text one row of RESULT."""
-        cosines, examples = self.index.search([self.vector(t) for t in texts], self.params.neighbours)
+        cosines, examples = self.index.search(self.vectors(texts), self.params.neighbours)
         mass = self.index.mass[examples] if len(self.index.ids) else np.zeros((*examples.shape, 2))
         scores = self.probabilities(self.votes(cosines, mass))
         toxic, out = mass[..., 1] > mass[..., 0], []
@@ -173,22 +252,12 @@ class Model:
         return out
 
 
-def term_counts(text: str | None, vocabulary: dict[str, int]) -> dict[int, int]:
-    found = words(text)
-    counts = Counter(t for w in found if (t := vocabulary.get(w)) is not None)
-    if other := len(found) - sum(counts.values()):
-        counts[len(vocabulary)] = other
-    return counts
-
-
-def weigh(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """TF-IDF of unit length; the common term counts by the logarithm alone."""
-    terms = np.array(sorted(counts), dtype=np.int64)
-    if not len(terms):
-        return terms, np.zeros(0)
-    tf = np.array([counts[t] for t in terms.tolist()], dtype=float)
-    weights = (1 + np.log(tf)) * idf[terms]
-    return terms, weights / np.linalg.norm(weights)
+def weigh(terms: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """TF-IDF of unit length, by ascending term."""
+    terms, tf = np.asarray(terms, dtype=np.int64), np.asarray(tf, dtype=float)
+    order = np.argsort(terms)
+    weights = (1 + np.log(tf[order])) * idf[terms[order]]
+    return terms[order], weights / np.linalg.norm(weights) if len(terms) else weights
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -211,8 +280,9 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
 
     Beyond ``max_train`` labels a sample of about so many is taken, by hash
     of the id; their ids and labels are broadcast, so texts stay where they
-    are.  Brought to the driver: the vocabulary and at most about twice
-    ``max_examples`` sparse vectors.  All these are bounded by the parameters.
+    are.  Brought to the driver: the table of words' weights, which grows
+    with the distinct words, and at most about twice ``max_examples`` sparse
+    vectors.
     """
     p = params or Params()
     known = labels.select(F.col(id).cast("string").alias("id"), F.col(label).cast("int").alias("y"))
@@ -226,79 +296,81 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
     n, pos = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
 
     def count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n, pos, after = Counter(), Counter(), {}
+        """Documents by word; the row without the mark counts all documents."""
+        parts, size, every = [], 0, 0
 
         def taken() -> pd.DataFrame:
-            return pd.DataFrame([(w, c, pos[w], after.get(w, 0)) for w, c in n.items()], columns=["word", "n", "pos", "after"])
+            words, at = np.unique(np.concatenate([w for w, _ in parts]), return_inverse=True)
+            return pd.DataFrame({"word": words, "n": np.bincount(at, np.concatenate([c for _, c in parts]), len(words)).astype(np.int64), "word_row": True})
 
         for b in batches:
-            for t, y in zip(b["text"], b["y"]):
-                found = words(t)
-                own = set(found)
-                n.update(own)
-                if y:
-                    pos.update(own)
-                    for before, w in zip(["", *found], found):
-                        after[w] = after.get(w, 0) | 1 << (zlib.crc32(before.encode()) & 63)
-            if len(n) > 200_000:
-                yield taken().astype({"after": "uint64"}).astype({"after": "int64"})
-                n, pos, after = Counter(), Counter(), {}
-        yield taken().astype({"after": "uint64"}).astype({"after": "int64"})
-
-    counts = rows.select("text", "y").mapInPandas(count_words, "word string, n long, pos long, after long")
-    counts = counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"), F.bit_or("after").alias("after"))
-    counts = counts.where((F.col("pos") > 0) & (F.bit_count("after") >= p.min_contexts))
-    log_part = lambda k, m: f"CASE WHEN {k} > 0 THEN {k} * ln({k} / ({m})) ELSE 0 END"
-    ratio = (
-        f"2 * ({log_part('pos', f'n * {pos}D / {n}')} + {log_part('(n - pos)', f'n * {n - pos}D / {n}')}"
-        f" + {log_part(f'({pos} - pos)', f'({n} - n) * {pos}D / {n}')}"
-        f" + {log_part(f'({n - pos} - n + pos)', f'({n} - n) * {n - pos}D / {n}')})"
-    )
+            every += len(b)
+            for k in range(0, len(b), CHUNK):
+                parts.append(np.unique(hashed([w for t in b["text"].iloc[k : k + CHUNK] for w in set(words(t))]), return_counts=True))
+                size += len(parts[-1][0])
+            if size > 4_000_000:
+                yield taken()
+                parts, size = [], 0
+        if size:
+            yield taken()
+        yield pd.DataFrame({"word": [0], "n": [every], "word_row": [False]})
+
+    def counted(texts: DataFrame) -> DataFrame:
+        found = texts.select("text").mapInPandas(count_words, "word long, n long, word_row boolean")
+        return found.groupBy("word", "word_row").agg(F.sum("n").alias("n"))
+
+    counts = stored(counted(docs.select(text_or_empty(text).alias("text"))), "toxicity-words")
+    every = counts.where("not word_row").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    idf = lambda df: math.log((1 + every) / (1 + df)) + 1
+    counts = counts.where("word_row").select("word", F.col("n").alias("df"))
     if 0 < pos < n:
-        kept = counts.where(f"pos * {n}D > n * {pos}D").where(F.expr(ratio) >= p.min_association)
-        vocabulary = {w: i for i, w in enumerate(sorted(r[0] for r in kept.select("word").collect()))}
+        toxic = counted(rows.where("y = 1")).where("word_row").select("word", F.col("n").alias("pos"))
+        clean = counted(rows.where("y = 0")).where("word_row").select("word", F.col("n").alias("neg"))
+        tied = toxic.join(clean, "word", "left").select("word", "pos", (F.col("pos") + F.coalesce("neg", F.lit(0))).alias("n"))
+        log_part = lambda k, m: f"CASE WHEN {k} > 0 THEN {k} * ln({k} / ({m})) ELSE 0 END"
+        ratio = (
+            f"2 * ({log_part('pos', f'n * {pos}D / {n}')} + {log_part('(n - pos)', f'n * {n - pos}D / {n}')}"
+            f" + {log_part(f'({pos} - pos)', f'({n} - n) * {pos}D / {n}')}"
+            f" + {log_part(f'({n - pos} - n + pos)', f'({n} - n) * {n - pos}D / {n}')})"
+        )
+        tied = tied.where(f"pos * {n}D > n * {pos}D").select("word", F.sqrt(F.greatest(F.lit(0.0), F.expr(ratio))).alias("tie"))
+        counts = counts.join(tied, "word", "left")
     else:
-        vocabulary = {}
-
-    def document_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        df = Counter()
-        for b in batches:
-            df[-1] += len(b)
-            for t in b["text"]:
-                df.update({i for w in words(t) if (i := vocabulary.get(w)) is not None})
-        yield pd.DataFrame(list(df.items()), columns=["term", "df"])
-
-    df = docs.select(text_or_empty(text).alias("text")).mapInPandas(document_counts, "term long, df long")
-    seen = {r[0]: r[1] for r in df.groupBy("term").agg(F.sum("df")).collect()}
-    every = seen.get(-1, 0)
-    idf = np.array([math.log((1 + every) / (1 + seen.get(t, 0))) + 1 for t in range(len(vocabulary))] + [1.0])
-
-    def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = counts.withColumn("tie", F.lit(None).cast("double"))
+    held = counts.where("df > 1 or tie is not null").select("word", F.col("df").cast("int"), F.coalesce("tie", F.lit(0.0)).cast("float").alias("tie")).toArrow()
+    order = np.argsort(held["word"].to_numpy())
+    df, tie = held["df"].to_numpy()[order], held["tie"].to_numpy()[order]
+    weights = ((np.log((1 + every) / (1 + df)) + 1) * (1 + tie)).astype(np.float32)
+    vocabulary = Vocabulary(held["word"].to_numpy()[order], weights, float(np.float32(idf(1))), np.zeros(0, dtype=np.int64))
+
+    def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            c = [sorted(term_counts(t, vocabulary).items()) for t in b["text"]]
-            yield pd.DataFrame({"id": b["id"], "y": b["y"], "terms": [[x[0] for x in r] for r in c], "tf": [[x[1] for x in r] for r in c]})
+            own = [term_counts([t]) for t in b["text"]]
+            yield pd.DataFrame({"id": b["id"], "y": b["y"], "terms": [x[0].astype("<i8").tobytes() for x in own], "tf": [x[1].astype("<i8").tobytes() for x in own]})
 
     neg, rates = n - pos, []
     for size_of in (neg, pos):
         rates.append(min(1.0, p.max_examples / size_of) if size_of else 1.0)
     chosen = rows.where(share < F.when(F.col("y") == 1, F.lit(rates[1])).otherwise(F.lit(rates[0])))
-    sample = chosen.mapInPandas(vectors, "id string, y int, terms array<long>, tf array<long>").collect()
-    return assemble(sample, vocabulary, idf, rates, pos / n if n else 0.5, p)
+    sample = [(r["id"], r["y"], np.frombuffer(r["terms"], "<i8"), np.frombuffer(r["tf"], "<i8")) for r in chosen.mapInPandas(bags, "id string, y int, terms binary, tf binary").collect()]
+    vocabulary.terms = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *[r[2] for r in sample]]))
+    sample = [{"id": r[0], "y": r[1], "terms": np.searchsorted(vocabulary.terms, r[2]), "tf": r[3]} for r in sample]
+    return assemble(sample, vocabulary, vocabulary.weight(vocabulary.terms), rates, pos / n if n else 0.5, p)
 
 
-def assemble(sample: list, vocabulary: dict[str, int], idf: np.ndarray, rates: list[float], prior: float, p: Params) -> Model:
+def assemble(sample: list, vocabulary: Vocabulary, idf: np.ndarray, rates: list[float], prior: float, p: Params) -> Model:
     """Index the sampled examples and calibrate on their leave-one-out votes."""
     merged: dict[tuple, list] = {}
     for r in sorted(sample, key=lambda r: (r["id"] is None, str(r["id"]))):
-        terms, weights = weigh(dict(zip(r["terms"], r["tf"])), idf)
+        terms, weights = weigh(r["terms"], r["tf"], idf)
         own = np.eye(2)[r["y"]] / rates[r["y"]]
         entry = merged.setdefault((tuple(terms.tolist()), np.round(weights, 9).tobytes()), [terms, weights, np.zeros(2), str(r["id"]), []])
         entry[2] = entry[2] + own
         entry[4].append(own)
     entries = sorted(merged.values(), key=lambda e: (int(e[0][np.argmax(e[1])]) if len(e[0]) else -1, e[3]))
     mass = np.array([e[2] for e in entries]).reshape(-1, 2)
-    index = BlockMaxIndex(len(vocabulary) + 1, p.block, [e[3] for e in entries], mass, [(e[0], e[1]) for e in entries])
-    model = Model(vocabulary, idf, index, prior, (np.zeros(0), np.zeros(0)), p)
+    index = BlockMaxIndex(len(idf), p.block, [e[3] for e in entries], mass, [(e[0], e[1]) for e in entries])
+    model = Model(vocabulary, index, prior, (np.zeros(0), np.zeros(0)), p)
     votes, labels, weights = [], [], []
     if entries:
         cosines, examples = index.search([(e[0], e[1]) for e in entries], p.neighbours + 1)
@@ -322,14 +394,15 @@ def assemble(sample: list, vocabulary: dict[str, int], idf: np.ndarray, rates: l
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with the columns of RESULT added.
 
-    The model travels with the function; its size is bounded by the fit's
-    parameters.
+    The model is broadcast, so a worker process reads it and builds its
+    postings once.
     """
+    held = docs.sparkSession.sparkContext.broadcast(model)
 
     @pandas_udf(RESULT)
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            rows = [r for at in range(0, len(texts), CHUNK) for r in model.score(texts.iloc[at : at + CHUNK])]
+            rows = [r for at in range(0, len(texts), CHUNK) for r in held.value.score(texts.iloc[at : at + CHUNK])]
             yield pd.DataFrame(rows, columns=COLUMNS)
 
     kept = [F.col(quoted(c)) for c in docs.columns if c.lower() not in COLUMNS]

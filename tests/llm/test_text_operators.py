@@ -223,3 +223,28 @@ def test_toxicity_held_out_and_edges(spark, odd, empty):
     assert toxicity.score(empty, model).count() == 0
     none = toxicity.fit(empty, empty.withColumn("toxic", F.lit(1)))
     assert {r.score for r in toxicity.score(odd, none).collect()} == {0.5}
+
+
+def test_toxicity_vectors_hold_all_words(spark):
+    """Cosines and evidence against dense TF-IDF over every word of the texts."""
+    rnd = random.Random(3)
+    rows = [(i, " ".join(rnd.choices("abcdefgh", k=6) + [f"w{i % 9}", f"only{i}"] + (["vile"] if i % 3 == 0 else []))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(45)], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()}
+    bags = [{w: t.split().count(w) for w in t.split()} for _, t in rows]
+    df = {w: sum(w in b for b in bags) for b in bags for w in b}
+
+    def weight(w):
+        n, pos = sum(w in b for b in bags[:45]), sum(w in bags[i] for i in range(0, 45, 3))
+        cells = [(pos, n * 15 / 45), (n - pos, n * 30 / 45), (15 - pos, (45 - n) * 15 / 45), (30 - n + pos, (45 - n) * 30 / 45)]
+        ratio = 2 * sum(k * np.log(k / m) for k, m in cells if k)
+        return (np.log(61 / (1 + df[w])) + 1) * (1 + (max(ratio, 0) ** 0.5 if pos * 45 > n * 15 else 0))
+
+    vectors = [{w: (1 + np.log(c)) * weight(w) for w, c in b.items()} for b in bags]
+    cos = lambda a, b: sum(v * b.get(w, 0) for w, v in a.items()) / (sum(v * v for v in a.values()) * sum(v * v for v in b.values())) ** 0.5
+    for i, r in got.items():
+        want = sorted((-cos(vectors[i], vectors[j]), j) for j in range(45))[:5]
+        assert np.allclose(r.evidence_cosines, [-c for c, _ in want], atol=1e-6)
+        assert [int(x) for x in r.evidence_ids] == [j for _, j in want]
+    assert len({tuple(r.evidence_ids) for r in got.values() if r.doc_id % 3}) > 30
