@@ -133,9 +133,9 @@ class BlockMaxIndex:
     def _build(self) -> Postings:
         n = len(self.rows)
         blocks = -(-n // self.block)
-        terms = np.concatenate([t for t, _ in self.rows]).astype(np.int64)
+        terms = np.concatenate([t for t, _ in self.rows]).astype(np.int32)
         weights = np.concatenate([w for _, w in self.rows])
-        examples = np.repeat(np.arange(n), [len(t) for t, _ in self.rows])
+        examples = np.repeat(np.arange(n, dtype=np.int32), [len(t) for t, _ in self.rows])
         held = np.bincount(terms, minlength=self.n_terms)
         many = np.flatnonzero(held >= max(2, n * SHARED))
         shared = np.full(self.n_terms, -1)
@@ -145,7 +145,7 @@ class BlockMaxIndex:
         dense[shared[terms[own]], examples[own]] = weights[own]
         order = np.flatnonzero(~own)[np.argsort(terms[~own], kind="stable")]
         terms, weights, examples = terms[order], weights[order], examples[order]
-        pair = terms * blocks + examples // self.block
+        pair = terms.astype(np.int64) * blocks + examples // self.block
         first = np.flatnonzero(np.diff(pair, prepend=-1))
         best = np.maximum.reduceat(weights, first) if len(first) else np.zeros(0)
         pairs_of = np.searchsorted(pair[first], np.arange(self.n_terms + 1) * blocks)
@@ -254,7 +254,7 @@ class Model:
 
 def weigh(terms: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """TF-IDF of unit length, by ascending term."""
-    terms, tf = np.asarray(terms, dtype=np.int64), np.asarray(tf, dtype=float)
+    terms, tf = np.asarray(terms, dtype=np.int32), np.asarray(tf, dtype=float)
     order = np.argsort(terms)
     weights = (1 + np.log(tf[order])) * idf[terms[order]]
     return terms[order], weights / np.linalg.norm(weights) if len(terms) else weights
@@ -346,15 +346,15 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
     def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             own = [term_counts([t]) for t in b["text"]]
-            yield pd.DataFrame({"id": b["id"], "y": b["y"], "terms": [x[0].astype("<i8").tobytes() for x in own], "tf": [x[1].astype("<i8").tobytes() for x in own]})
+            yield pd.DataFrame({"id": b["id"], "y": b["y"], "terms": [x[0].astype("<i8").tobytes() for x in own], "tf": [x[1].astype("<i4").tobytes() for x in own]})
 
     neg, rates = n - pos, []
     for size_of in (neg, pos):
         rates.append(min(1.0, p.max_examples / size_of) if size_of else 1.0)
     chosen = rows.where(share < F.when(F.col("y") == 1, F.lit(rates[1])).otherwise(F.lit(rates[0])))
-    sample = [(r["id"], r["y"], np.frombuffer(r["terms"], "<i8"), np.frombuffer(r["tf"], "<i8")) for r in chosen.mapInPandas(bags, "id string, y int, terms binary, tf binary").collect()]
+    sample = [(r["id"], r["y"], np.frombuffer(r["terms"], "<i8"), np.frombuffer(r["tf"], "<i4")) for r in chosen.mapInPandas(bags, "id string, y int, terms binary, tf binary").collect()]
     vocabulary.terms = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *[r[2] for r in sample]]))
-    sample = [{"id": r[0], "y": r[1], "terms": np.searchsorted(vocabulary.terms, r[2]), "tf": r[3]} for r in sample]
+    sample = [{"id": r[0], "y": r[1], "terms": np.searchsorted(vocabulary.terms, r[2]).astype(np.int32), "tf": r[3]} for r in sample]
     return assemble(sample, vocabulary, vocabulary.weight(vocabulary.terms), rates, pos / n if n else 0.5, p)
 
 
@@ -364,7 +364,7 @@ def assemble(sample: list, vocabulary: Vocabulary, idf: np.ndarray, rates: list[
     for r in sorted(sample, key=lambda r: (r["id"] is None, str(r["id"]))):
         terms, weights = weigh(r["terms"], r["tf"], idf)
         own = np.eye(2)[r["y"]] / rates[r["y"]]
-        entry = merged.setdefault((tuple(terms.tolist()), np.round(weights, 9).tobytes()), [terms, weights, np.zeros(2), str(r["id"]), []])
+        entry = merged.setdefault((terms.tobytes(), np.round(weights, 9).tobytes()), [terms, weights, np.zeros(2), str(r["id"]), []])
         entry[2] = entry[2] + own
         entry[4].append(own)
     entries = sorted(merged.values(), key=lambda e: (int(e[0][np.argmax(e[1])]) if len(e[0]) else -1, e[3]))
