@@ -10,7 +10,11 @@ siblings that score near it or read like text of their own.
 
 Boilerplate elements (navigation, headers and footers of the page, sidebars,
 notices, adverts, forms, scripts, styles, comments of readers) go before the
-scoring, by element, role, or words in class and id.
+scoring, by element, role, or words in class and id.  Words that say what an
+element has or lacks ("has-sidebar", "no-comments") and elements with a class
+or id that is an article's word by itself don't count; and if nothing is left
+of a page, it is read once more without regard to such words, and text in
+paragraphs of 200 characters or more is taken.
 
 Edge cases: a null or empty page, or one without a scoring block, gives an
 empty text; broken markup is read as far as it goes; deep nesting is no
@@ -36,8 +40,15 @@ BLOCKS = set("address article aside blockquote body center dd details div dl dt
 SCORED = set("p pre td blockquote dd li h2 h3 figcaption".split())
 ENDS_P = BLOCKS - {"html", "body"}
 FURNITURE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|gdpr|masthead|menu|modal|nav\w*|newsletter|notices?|pagination|popup|promo\w*|related|replies|respond|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
+#: Tells of a state of the element, not what the element is.
+STATE = re.compile(r"(?:^|(?<=\s))(?:has|with|without|no|not|is|hide|show)[-_]\S+", re.I)
+WHOLE = re.compile(r"(?:^|\s)(?:article|body|content|entry|main|post|story)(?:$|\s)", re.I)
 LIKELY = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|page|post|story|text)(?:$|[\s_-])", re.I)
 BAD_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu", "menubar", "form"}
+IN_HEAD = set("base basefont bgsound head link meta noscript script style template title".split())
+#: Elements out of which an end tag reaches no element around them.
+SCOPE = set("button caption iframe math object select svg table td template th".split())
+LEAST = 200  # characters in paragraphs for which names are set aside
 #: Elements whose content is no markup.
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
 TOKEN = re.compile(
@@ -57,7 +68,7 @@ class Node:
         self.score = 0.0
         self.text = self.links = 0
 
-    def furniture(self) -> bool:
+    def furniture(self, by_name: bool = True) -> bool:
         if self.tag in DROPPED or "hidden" in self.attrs or self.attrs.get("role", "").lower() in BAD_ROLES:
             return True
         if self.tag == "header":
@@ -66,7 +77,8 @@ class Node:
             return False
         if re.search(r"display\s*:\s*none", self.attrs.get("style", "")):
             return True
-        return any(FURNITURE.search(self.attrs.get(k, "")) for k in ("class", "id"))
+        names = [STATE.sub("", self.attrs.get(k, "")) for k in ("class", "id")]
+        return by_name and any(map(FURNITURE.search, names)) and not any(map(WHOLE.search, names))
 
 
 def ancestors(node: Node) -> Iterator[Node]:
@@ -78,9 +90,10 @@ def ancestors(node: Node) -> Iterator[Node]:
 class TreeBuilder:
     """A tree of kept elements; what is dropped is skipped while reading."""
 
-    def __init__(self) -> None:
+    def __init__(self, by_name: bool = True) -> None:
+        self.by_name = by_name
         self.root = self.at = Node("#root", {}, None)
-        self.skipped: list[str] = []
+        self.skipped: list[str] = []  # open elements from the dropped one on
 
     def feed(self, page: str) -> None:
         i = 0
@@ -104,23 +117,25 @@ class TreeBuilder:
             self.at.children.append(unescape(page[i:]))
 
     def handle_starttag(self, tag: str, attrs: str) -> None:
-        if self.skipped:
-            if tag == self.skipped[0] and tag not in VOID:
-                self.skipped.append(tag)
-            return
-        if tag == "body" and any(n.tag == "body" for n in (self.at, *ancestors(self.at))):
+        if self.skipped and self.skipped[0] == "head" and tag not in IN_HEAD:
+            self.skipped = []
+        if tag == "body" and not self.skipped and any(n.tag == "body" for n in (self.at, *ancestors(self.at))):
             return
         if tag in ENDS_P:
             self.end("p", ENDS_P - {"p"})
         if tag in ("li", "dd", "dt", "tr", "td", "th", "option"):
             for t in ("dd", "dt") if tag in ("dd", "dt") else ("td", "th") if tag in ("td", "th") else (tag,):
                 self.end(t, {"ul", "ol", "dl", "table"} | ({"tr"} if tag in ("td", "th") else set()))
+        if self.skipped:
+            if tag not in VOID:
+                self.skipped.append(tag)
+            return
         found = {}
         if attrs:
             for name, a, b, c in ATTR.findall(attrs):
                 found.setdefault(name.lower(), unescape(a or b or c))
         node = Node(tag, found, self.at)
-        if node.furniture():
+        if node.furniture(self.by_name):
             if tag not in VOID:
                 self.skipped = [tag]
             else:
@@ -131,24 +146,32 @@ class TreeBuilder:
             self.at = node
 
     def end(self, tag: str, fence: set[str]) -> None:
+        """Close the nearest open ``tag``, unless an element of the fence is nearer."""
+        for i in range(len(self.skipped) - 1, -1, -1):
+            if self.skipped[i] == tag:
+                del self.skipped[i:]
+                return
+            if self.skipped[i] in fence:
+                return
         node = self.at
         while node.parent is not None and node.tag != tag:
             if node.tag in fence:
                 return
             node = node.parent
         if node.tag == tag:
-            self.at = node.parent
+            self.at, self.skipped = node.parent, []
 
     def handle_endtag(self, tag: str) -> None:
-        if self.skipped:
-            if tag == self.skipped[0]:
-                self.skipped.pop()
-            elif tag in ("body", "html"):
-                self.skipped = []
+        if tag in ("body", "html"):
+            self.skipped = []
+            return
+        if tag in VOID:
             return
-        if tag in VOID or tag in ("body", "html"):
+        if tag in self.skipped:
+            self.end(tag, set())
             return
-        self.end(tag, set() if tag in BLOCKS else BLOCKS)
+        fence = set() if tag in BLOCKS else BLOCKS
+        self.end(tag, fence | SCOPE | ({"ul", "ol"} if tag == "li" else set()) if self.skipped else fence)
 
 
 def in_order(root: Node) -> list[Node]:
@@ -258,14 +281,19 @@ def blocks(roots: list[Node]) -> list[str]:
 def main_text(html: str | None) -> str:
     if not html:
         return ""
-    builder = TreeBuilder()
-    builder.feed(html)
-    nodes = in_order(builder.root)
-    measure(nodes)
-    best, top = best_container(nodes)
-    if best is None:
-        return "\n".join(blocks([builder.root]))
-    return "\n".join(blocks(with_siblings(best, top)))
+    for by_name in (True, False):
+        builder = TreeBuilder(by_name)
+        builder.feed(html)
+        nodes = in_order(builder.root)
+        measure(nodes)
+        best, top = best_container(nodes)
+        if best is None and by_name:
+            left = "\n".join(blocks([builder.root]))
+            if left:
+                return left
+        elif best is not None and (by_name or sum(n.text for n in nodes if n.tag == "p") >= LEAST):
+            return "\n".join(blocks(with_siblings(best, top)))
+    return ""
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:

@@ -248,3 +248,18 @@ def test_toxicity_vectors_hold_all_words(spark):
         assert np.allclose(r.evidence_cosines, [-c for c, _ in want], atol=1e-6)
         assert [int(x) for x in r.evidence_ids] == [j for _, j in want]
     assert len({tuple(r.evidence_ids) for r in got.values() if r.doc_id % 3}) > 30
+
+
+def test_html_unclosed_furniture_and_state_words():
+    text = "A paragraph, of the article, with commas, that is long enough to be scored as such by the method."
+    body = f"<p>{text}</p><p>{text}</p>"
+    want = f"{text}\n{text}"
+    assert html_text.main_text(f"<body><p class=ad>Buy<p>{text}</p><p>{text}</p></body>") == want
+    assert html_text.main_text(f"<body><div><p class=ad>Buy</div><div>{body}</div></body>") == want
+    assert html_text.main_text(f"<body><p><span class=ad>Buy<div>{body}</div></body>") == want
+    assert html_text.main_text(f"<body><ul><li class=share>Share<li>Other</ul><div>{body}</div></body>") == want
+    assert html_text.main_text(f"<head><title>t</title><body>{body}</body>") == want
+    for name in ("content has-sidebar", "layout with-sidebar", "no-comments", "page-widget"):
+        assert html_text.main_text(f"<body><div class='{name}'>{body}<div class='sidebar'><p>{text[2:]}</p></div></div></body>").startswith(want)
+    assert html_text.main_text("<body><div class=menu><p>Home</p></div></body>") == ""
+    assert html_text.main_text(f"<body><aside><div><p>Side</aside><div>{body}</div></body>") == want
