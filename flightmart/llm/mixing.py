@@ -5,9 +5,13 @@ Documents are counted into cells, one per combination of the dimensions'
 categories; only cells go through the fitting.  Every step scales the cells'
 token weights so that one dimension's sums meet its targets, in turn, until
 all dimensions agree.  A document of cell c is then kept with probability
-weight(c) / tokens(c), scaled so that the largest is ``top_rate``, by a hash
-of its id and text: equal runs choose equal documents, and expected tokens
-meet the targets.
+budget * weight(c) / tokens(c), at most ``top_rate``, by a hash of its id and
+text: equal runs choose equal documents, and expected tokens meet the
+targets.  The budget of tokens is given, or is the largest at which cells
+with a share of at most ``saturated`` of all tokens come above the top rate,
+so that a few tiny cells can't set the rate of all others.  Such cells are
+held at the top rate, and the raking is repeated under these bounds, which
+lets the other cells make up for them.
 
 Token counts are partial before their shuffle, so a source with a third of
 all rows is spread; from there on the tables have a row per cell, as many as
@@ -17,8 +21,8 @@ Edge cases: a null category is a category of its own; a null or blank text
 counts as one token, so that it has a chance like any other; categories
 without a positive target get probability 0; targets of categories that do not occur are left
 out and the rest scaled to one; if targets can't all be met (empty cells),
-the last step's dimension is exact and the rest as near as the rounds
-brought them; an empty table gives an empty result.  Columns whose names
+the last step's dimension is exact, but for categories whose cells are all
+at the top rate, and the rest as near as the rounds brought them; an empty table gives an empty result.  Columns whose names
 start with ``__mix`` are reserved; ``keep_rate`` replaces a column of that
 name.
 """
@@ -60,11 +64,13 @@ def cells(docs: DataFrame, dims: list[str]) -> DataFrame:
     return docs.groupBy(*[F.col(f"__mix_{d}") for d in dims]).agg(F.sum("__mix_tokens").alias("tokens"))
 
 
-def rake(counted: DataFrame, dims: list[str], targets: Mapping[str, DataFrame], tolerance: float = 1e-6, max_rounds: int = 60, block: int = 4) -> DataFrame:
-    """``counted`` (a row per cell) with ``weight``, raked to the targets' shares.
+def rake(counted: DataFrame, dims: list[str], targets: Mapping[str, DataFrame], tolerance: float = 1e-6, max_rounds: int = 60, block: int = 4, budget: float | None = None) -> DataFrame:
+    """``counted`` (a row per cell) with ``weight``, raked to the targets' shares;
+    with a ``budget`` no weight of it passes the cell's tokens.
 
     Rounds run in blocks; each block is one job whose result is written to
-    the shared folder, and whose largest deviation decides on the next.
+    the shared folder, and whose largest deviation decides on the next: it
+    ends when that is small or, under a budget, no longer falls.
     """
     now = counted.withColumn("weight", F.col("tokens").cast("double"))
     goals = {}
@@ -75,27 +81,30 @@ def rake(counted: DataFrame, dims: list[str], targets: Mapping[str, DataFrame],
         goals[d] = stored(own.crossJoin(F.broadcast(total)).select(F.col("category").alias(f"__goal_{d}"), F.when(F.col("total") > 0, F.col("share") / F.col("total")).otherwise(0.0).alias(f"__share_{d}")), "mix-goal")
     for d in dims:
         now = now.join(goals[d], F.col(f"__mix_{d}").eqNullSafe(F.col(f"__goal_{d}"))).drop(f"__goal_{d}")
-    now = stored(now, "mix-cells")
+    now, before = stored(now, "mix-cells"), float("inf")
+    bound = F.lit(float("inf")) if budget is None else F.col("tokens") / F.lit(float(budget))
     for _ in range(0, max_rounds, block):
         for _ in range(block):
             for d in dims:
                 held = F.sum("weight").over(W.partitionBy(f"__mix_{d}"))
-                now = now.withColumn("weight", F.when(held > 0, F.col("weight") * F.col(f"__share_{d}") / held).otherwise(0.0))
+                now = now.withColumn("weight", F.when(held > 0, F.least(F.col("weight") * F.col(f"__share_{d}") / held, bound)).otherwise(0.0))
         now = stored(now, "mix-round")
         off = 0.0
         for d in dims:
             gap = now.groupBy(f"__mix_{d}").agg(F.abs(F.sum("weight") - F.first(f"__share_{d}")).alias("gap"))
             off = max(off, gap.agg(F.max("gap")).first()[0] or 0.0)
-        if off <= tolerance:
+        if off <= tolerance or (budget is not None and off >= 0.9 * before):
             break
+        before = off
     return now.drop(*[f"__share_{d}" for d in dims])
 
 
-def mix(docs: DataFrame, dims: Mapping[str, str | Column], targets: Mapping[str, DataFrame] | None = None, power: float = 0.9, top_rate: float = 1.0, id: str = "doc_id", text: str = "text", seed: int = 0) -> DataFrame:
+def mix(docs: DataFrame, dims: Mapping[str, str | Column], targets: Mapping[str, DataFrame] | None = None, power: float = 0.9, top_rate: float = 1.0, id: str = "doc_id", text: str = "text", seed: int = 0, budget: float | None = None, saturated: float = 0.05) -> DataFrame:
     """The sampled documents, with ``keep_rate``.
 
     ``dims``: name and column of each dimension; ``targets``: per dimension
-    (category, share), by default the tokens' own shares to ``power``.
+    (category, share), by default the tokens' own shares to ``power``;
+    ``budget``: expected tokens to keep, by default chosen by ``saturated``.
     """
     names = list(dims)
     frame = docs.drop("keep_rate")
@@ -110,11 +119,16 @@ def mix(docs: DataFrame, dims: Mapping[str, str | Column], targets: Mapping[str,
             sums = counted.groupBy(F.col(f"__mix_{d}").alias("category")).agg(F.sum("tokens").alias("tokens"))
             goals[d] = tempered(sums, power)
     raked = rake(counted, names, goals)
-    raw = raked.withColumn("__mix_raw", F.col("weight") / F.col("tokens"))
-    top = raw.agg(F.max("__mix_raw").alias("__mix_top"))
-    rates = raw.crossJoin(F.broadcast(top)).select(
+    raw = F.col("weight") / F.col("tokens")
+    # The rate below which cells with all but ``saturated`` of the tokens lie, and the largest.
+    own, most = raked.where("weight > 0").select(raw.alias("raw"), "tokens").agg(F.percentile("raw", F.lit(1 - saturated), F.col("tokens")), F.max("raw")).first()
+    if own:
+        budget = top_rate / own if budget is None else budget
+        if budget * most > top_rate * (1 + 1e-9):
+            raked = rake(counted, names, goals, budget=budget / top_rate)
+    rates = raked.select(
         *[F.col(f"__mix_{d}").alias(f"__cell_{d}") for d in names],
-        F.when(F.col("__mix_top") > 0, F.least(F.lit(1.0), F.col("__mix_raw") / F.col("__mix_top") * top_rate)).otherwise(0.0).alias("keep_rate"),
+        F.least(F.lit(float(top_rate)), F.lit(float(budget or 0.0)) * raw).alias("keep_rate"),
     )
     rates = stored(rates, "mix-rates")
     same = F.lit(True)

@@ -185,3 +185,23 @@ def test_bitmap_filter_keeps_every_wanted_id(spark):
     wanted = {r.id for r in ids.collect()}
     assert wanted <= got and len(got) < len(wanted) + 10
     assert near_dups._likely(docs, ids.limit(0)).count() == 0
+
+
+def test_mix_is_not_set_by_one_stray_row(spark):
+    docs = table(spark, SF_SMALL.replace("0.001", "0.01"), "documents").select("doc_id", "text", "lang", "source")
+    dims = {"source": "source", "lang": "lang"}
+    stray = docs.union(spark.createDataFrame([(-1, "x", "odd", "odd")], docs.schema))
+    plain, other = mixing.mix(docs, dims).collect(), mixing.mix(stray, dims).collect()
+    assert len(other) > 0.97 * len(plain)
+    assert all(r.keep_rate == pytest.approx(1) for r in other if r.lang == "odd")
+
+
+def test_raking_under_a_budget(spark):
+    cells = [("a", "x", 900), ("a", "y", 500), ("b", "x", 300), ("b", "y", 400), ("stray", "y", 1)]
+    counted = spark.createDataFrame(cells, "__mix_s string, __mix_l string, tokens long")
+    goal = lambda rows: spark.createDataFrame(rows, "category string, share double")
+    targets = {"s": goal([("a", 0.49), ("b", 0.49), ("stray", 0.02)]), "l": goal([("x", 0.5), ("y", 0.5)])}
+    got = {(r["__mix_s"], r["__mix_l"]): r.weight for r in mixing.rake(counted, ["s", "l"], targets, budget=1000.0).collect()}
+    assert all(got[s, l] <= n / 1000 + 1e-9 for s, l, n in cells) and got["stray", "y"] == pytest.approx(0.001)
+    assert got["a", "x"] + got["b", "x"] == pytest.approx(0.5, abs=1e-4)
+    assert sum(got.values()) == pytest.approx(1, abs=1e-4)
