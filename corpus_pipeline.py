@@ -59,7 +59,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("bpe", to_tokens),
 ]
 
-#: Neighbour votes, signatures and merges are beyond SQL; the tests hold the stages against brute force.
+#: Neighbour votes, signatures and merges are beyond SQL.  The tests hold the operators against plain versions; of the
+#: stages in a row they check counts, columns and empty tables only.
 ORACLE_SQL = None
 
 
