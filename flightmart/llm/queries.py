@@ -8,14 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, html_text, line_crf, lm_scoring, mixing, near_dups, order_minhash, site_lines, toxicity
+from . import bpe, chat, drift_clusters, html_text, line_crf, lm_scoring, mixing, near_dups, order_minhash, packing, site_lines, toxicity, whitening
 from ._common import table
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def held_out(id: str = "doc_id"):
@@ -115,6 +115,52 @@ def op10_near_dups(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"), "n_links")
 
 
+def op11_packing(spark: SparkSession, sf: str) -> DataFrame:
+    out = packing.pack(table(spark, sf, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return out.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op12_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op13_drift_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    return drift_clusters.with_inertia(drift_clusters.fit(table(spark, sf, "embeddings"))).withColumnRenamed("id", "vec_id")
+
+
+def _op13_sql(rounds: int = 5, k: int = 40, dimension: int = 64) -> str:
+    """Lloyd's rounds as a chain of common table expressions, without bounds."""
+    assign = """a{t} AS (
+  SELECT r, v, arg_min({{'c': c, 'd': d}}, {{'d': d, 'c': c}}) AS own FROM (
+    SELECT v.r, v.v, c.c, CAST(list_sum(list_transform(list_zip(v.v, c.m), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d
+    FROM v CROSS JOIN c{t} AS c) GROUP BY r, v
+)"""
+    move = """s{t} AS (
+  SELECT c, i, sum(x) AS s, count(*) AS n
+  FROM (SELECT own.c AS c, unnest(v) AS x, unnest(range(1, {e})) AS i FROM a{t}) GROUP BY c, i
+), m{t} AS (
+  SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS m FROM s{t} GROUP BY c
+), c{u} AS (SELECT c.c, coalesce(m{t}.m, c.m) AS m FROM c{t} AS c LEFT JOIN m{t} ON c.c = m{t}.c)"""
+    steps = []
+    for t in range(rounds):
+        steps += [assign.format(t=t), move.format(t=t, u=t + 1, e=dimension + 1)]
+    steps.append(assign.format(t=rounds))
+    return f"""WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, [CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT) for x in embedding] AS v
+  FROM embeddings WHERE len(embedding) = {dimension} AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, v AS m FROM v
+  QUALIFY row_number() OVER (ORDER BY sha256('2:' || vec_id)) <= {k}
+), {", ".join(steps)}, f AS (
+  SELECT v.vec_id, a.own.c AS c, a.own.d AS d FROM a{rounds} AS a JOIN v ON a.r = v.r
+)
+SELECT vec_id, CAST(f.c AS INTEGER) AS cluster, d AS distance,
+  CAST(sum(d) OVER (PARTITION BY f.c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM f JOIN c{rounds} AS c ON f.c = c.c
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_chat": op2_chat,
@@ -126,6 +172,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_order_minhash": op8_order_minhash,
     "op9_site_lines": op9_site_lines,
     "op10_near_dups": op10_near_dups,
+    "op11_packing": op11_packing,
+    "op12_whitening": op12_whitening,
+    "op13_drift_clusters": op13_drift_clusters,
 }
 
-ORACLE: dict[str, str] = {"op9_site_lines": OP9_SQL}
+ORACLE: dict[str, str] = {"op9_site_lines": OP9_SQL, "op13_drift_clusters": _op13_sql()}
