@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import sys
 import uuid
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,20 +25,28 @@ from flightmart.functions import is_missing  # noqa: E402
 from flightmart.operators import (  # noqa: E402
     assemble_date,
     cast_columns,
+    cast_with_rejects,
+    content_digest,
     drop_columns,
+    duplicate_keys,
     fill_const,
     fill_expr,
     fill_from,
     flag_counts,
     flag_missing,
     key_profile,
+    key_sketches,
     mapping_frame,
+    merge_audits,
+    merged_key_profile,
     missing_audit,
     nan_audit,
     non_null_count,
     override_by_key,
     parse_dates,
     peek,
+    reject_counts,
+    reject_ledger,
     relabel_missing,
     rename,
     require_not_null,
@@ -49,6 +58,7 @@ from flightmart.operators import (  # noqa: E402
     select_columns,
     step_counts,
     strip_non_ascii,
+    typed_rows,
 )
 from flightmart.plans import jobs  # noqa: E402
 from flightmart.plans.jobs import (  # noqa: E402
@@ -59,14 +69,24 @@ from flightmart.plans.jobs import (  # noqa: E402
     clean_variables,
 )
 from flightmart.session import shared_dir  # noqa: E402
-from flightmart.sinks import publish, stage_and_verify  # noqa: E402
+from flightmart.sinks import (  # noqa: E402
+    publish,
+    publish_increment,
+    publish_snapshot,
+    publish_zordered,
+    read_snapshot,
+    snapshot_versions,
+    stage_and_verify,
+)
 from flightmart.sources import (  # noqa: E402
     adapter_sql,
+    header_drift,
     raw_airports,
     raw_carriers,
     raw_flights,
     raw_planes,
     raw_variables,
+    read_csv_by_name,
     read_csv_inferred,
     read_csv_strings,
     read_stage,
@@ -74,7 +94,7 @@ from flightmart.sources import (  # noqa: E402
     year_paths,
     year_span,
 )
-from flightmart.streaming import land_incrementally  # noqa: E402
+from flightmart.streaming import land_incrementally, publish_incrementally  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 # The column names of the raw files.
@@ -251,6 +271,132 @@ def q_resolve_sources(spark: SparkSession, sf: str) -> DataFrame:
     return read_csv_strings(spark, present)
 
 
+def _planes_versions(spark: SparkSession, sf: str) -> str:
+    """A table with two versions: the planes as read, then cleaned."""
+    root = shared_dir(spark, "planes_versions")
+    publish_snapshot(raw_planes(spark, sf), root)
+    publish_snapshot(clean_planes(raw_planes(spark, sf)), root, cluster_by=["tailnum"], verify=True)
+    return root
+
+
+def q_snapshot_publish(spark: SparkSession, sf: str) -> DataFrame:
+    return read_snapshot(spark, _planes_versions(spark, sf))
+
+
+def q_snapshot_time_travel(spark: SparkSession, sf: str) -> DataFrame:
+    root = _planes_versions(spark, sf)
+    return read_snapshot(spark, root, snapshot_versions(spark, root)[0])
+
+
+def q_snapshot_after_failure(spark: SparkSession, sf: str) -> DataFrame:
+    """The planes after a publish that broke off while it was writing."""
+    root = _planes_versions(spark, sf)
+    stop = F.when(F.col("tailnum") == "N77", F.raise_error(F.lit("stopped while writing"))).otherwise(F.col("tailnum"))
+    try:
+        publish_snapshot(clean_planes(raw_planes(spark, sf)).withColumn("model", stop), root)
+    except Exception as exc:
+        if "stopped while writing" not in str(exc):
+            raise
+    return read_snapshot(spark, root)
+
+
+def q_incremental_publish(spark: SparkSession, sf: str) -> DataFrame:
+    """Two landings of yearly files whose months overlap, and one batch that is given twice."""
+    root, table, months = shared_dir(spark, "increments"), shared_dir(spark, "increments_table"), ["Year", "Month"]
+    raw = raw_flights(spark, sf)
+    part = F.coalesce(F.pmod(F.col("FlightNum").cast("int"), F.lit(10)), F.lit(0))
+    for name, rows in (("early", raw.where(part < 6)), ("late", raw.where(part.between(6, 8)))):
+        _flight_years(spark, rows, f"{root}/{name}", None)
+        publish_incrementally(spark, f"{root}/*/*/", FLIGHT_COLUMNS, table, partition_by=months)
+    last = clean_flights(drop_columns(raw, jobs.DROPPED_COLUMNS).where(part == 9))
+    for _ in range(2):
+        publish_increment(last, table, months, jobs.CLUSTER_COLUMNS, stream="last", batch=0, verify=True)
+    return read_snapshot(spark, table)
+
+
+def q_zordered_publish(spark: SparkSession, sf: str) -> DataFrame:
+    target = shared_dir(spark, "zordered_flights")
+    publish_zordered(clean_flights(staged_flights(spark, sf)), target, jobs.CLUSTER_COLUMNS, files=64)
+    return spark.read.parquet(target)
+
+
+def q_land_verified(spark: SparkSession, sf: str) -> DataFrame:
+    """Landing of bz2 files with every staged value verified."""
+    root = shared_dir(spark, "landing_verified")
+    span = _flight_years(spark, raw_flights(spark, sf), root, "bzip2")
+    paths = year_paths(root, *span, "source_year={year}")
+    staged, _ = jobs.land(spark, paths, shared_dir(spark, "stage_verified"), on_missing="skip", verify="content")
+    return staged
+
+
+def q_content_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Digests of the raw rows, of their stage, and of a stage with one kind of value changed."""
+    raw = drop_columns(raw_flights(spark, sf), jobs.DROPPED_COLUMNS)
+    other = staged_flights(spark, sf).withColumn("TaxiIn", F.when(F.col("TaxiIn") == "3", F.lit("4")).otherwise(F.col("TaxiIn")))
+    found = [content_digest(df) for df in (raw, staged_flights(spark, sf).select(*raw.columns), other.select(*raw.columns))]
+    one, two, three = (d.select(F.struct("*").alias(f"d{i}")) for i, d in enumerate(found))
+    rows = one.crossJoin(two).crossJoin(three)  # three single rows
+    return rows.select(
+        F.col("d0.rows").alias("rows"), (F.col("d0") == F.col("d1")).alias("stage_is_equal"), (F.col("d0") == F.col("d2")).alias("changed_is_equal"),
+        (F.col("d0.rows") == F.col("d2.rows")).alias("changed_has_all_rows"),
+    )
+
+
+#: Columns of the files whose header drifts: as published, turned round, and by name; one file group has no tail numbers.
+DRIFTED = [FLIGHT_COLUMNS, FLIGHT_COLUMNS[::-1], sorted(FLIGHT_COLUMNS, key=str.lower)]
+LACKING, WITHOUT = 4, "TailNum"
+
+
+def _drifting_files(spark: SparkSession, sf: str) -> list[str]:
+    """Nine groups of CSV files in three column orders, one group without a column; their folders."""
+    root = shared_dir(spark, "drifting_headers")
+    rows = raw_flights(spark, sf).withColumn("part", F.pmod(F.col("FlightNum").cast("int"), F.lit(9)))
+    layouts = [(f"order{k}", cols, (F.col("part") % 3 == k) & (F.col("part") != LACKING)) for k, cols in enumerate(DRIFTED)]
+    layouts.append(("lacking", [c for c in DRIFTED[LACKING % 3] if c != WITHOUT], F.col("part") == LACKING))
+    for name, cols, of in layouts:
+        rows.where(of).select(*cols, "part").write.partitionBy("part").option("header", True).csv(f"{root}/{name}")
+    return [f"{root}/{name}/*" for name, _, _ in layouts]
+
+
+def q_drifting_headers(spark: SparkSession, sf: str) -> DataFrame:
+    return read_csv_by_name(spark, _drifting_files(spark, sf), FLIGHT_COLUMNS)
+
+
+def q_header_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """The kinds of drift that the files' headers show."""
+    return header_drift(spark, _drifting_files(spark, sf), FLIGHT_COLUMNS).drop("file").distinct()
+
+
+def _flights_by_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Staged flights with the file each row came from."""
+    part = F.concat(F.lit("part-"), F.pmod(F.col("FlightNum").cast("int"), F.lit(5)).cast("string"))
+    return staged_flights(spark, sf).withColumn("source_file", part)
+
+
+def q_merged_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Audit states of five files, of which one landed damaged first; merged without another scan."""
+    root, rows = shared_dir(spark, "audit_states"), _flights_by_file(spark, sf)
+    damaged = rows.where("source_file = 'part-2'").withColumn("DepTime", F.lit("NA"))
+    jobs.refresh_audits(spark, rows.where("source_file IN ('part-0', 'part-1')").union(damaged), root, "source_file")
+    jobs.refresh_audits(spark, rows.where("source_file IN ('part-2', 'part-3', 'part-4')"), root, "source_file")
+    return merge_audits(read_snapshot(spark, root))
+
+
+def q_merged_key_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """Key profile of the carriers from sketches kept per file."""
+    parts = raw_carriers(spark, sf).withColumn("file", F.pmod(F.xxhash64("Description"), F.lit(7)))
+    root = shared_dir(spark, "key_sketches")
+    key_sketches(parts, "Code", ["file"]).write.parquet(root)
+    return merged_key_profile(spark.read.parquet(root))
+
+
+def _cast_planes(spark: SparkSession, sf: str) -> DataFrame:
+    """Planes cast in one pass, typed rows and rejects staged together."""
+    path = shared_dir(spark, "cast_planes")
+    cast_with_rejects(raw_planes(spark, sf), jobs.PLANE_INT_COLUMNS, jobs.PLANE_DATE_PATTERNS).write.parquet(path)
+    return read_stage(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # audits (F1 F7 A3 A4)
     "missing_audit": lambda s, sf: missing_audit(raw_flights(s, sf)),
@@ -359,6 +505,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "planes_job": lambda s, sf: _lookup_roundtrip(s, raw_planes(s, sf), clean_planes, "planes"),
     "variables_job": lambda s, sf: _lookup_roundtrip(s, raw_variables(s, sf), clean_variables, "variables"),
     "carriers_job": lambda s, sf: _lookup_roundtrip(s, raw_carriers(s, sf), clean_carriers, "carriers"),
+    # versions, increments and layout of published tables (K2 K3)
+    "snapshot_publish": q_snapshot_publish,
+    "snapshot_time_travel": q_snapshot_time_travel,
+    "snapshot_after_failure": q_snapshot_after_failure,
+    "incremental_publish": q_incremental_publish,
+    "zordered_publish": q_zordered_publish,
+    # contents verified (K5 J6), headers that drift (S1 S5)
+    "land_verified": q_land_verified,
+    "content_check": q_content_check,
+    "drifting_headers": q_drifting_headers,
+    "header_drift": q_header_drift,
+    # audits, key profiles and rejects that are kept and merged (A3-A7 C8 C9)
+    "merged_audit": q_merged_audit,
+    "merged_key_profile": q_merged_key_profile,
+    "duplicate_keys": lambda s, sf: duplicate_keys(raw_carriers(s, sf), "Code"),
+    "duplicate_flights": lambda s, sf: duplicate_keys(raw_flights(s, sf), ["UniqueCarrier", "FlightNum", "Year", "Month"]),
+    "reject_ledger": lambda s, sf: reject_ledger(_cast_planes(s, sf), ["tailnum"]),
+    "reject_counts": lambda s, sf: reject_counts(_cast_planes(s, sf)),
+    "typed_with_ledger": lambda s, sf: typed_rows(_cast_planes(s, sf)),
 }
 
 
@@ -545,6 +710,24 @@ _CLEAN_VARIABLES = (
     'SELECT "Variable descriptions", _c1 AS Name, _c2 AS Description FROM raw_variables '
     'WHERE "Variable descriptions" IS NOT NULL'
 )
+# What the casts of a plane cannot read; in these rows every such text is no number or date at all (reason 2).
+_REJECTED = f""", rejected AS (
+  SELECT tailnum, 'year' AS "column", year AS raw, 2 AS reason FROM raw_planes WHERE NOT {_m('year')} AND {_i('year')} IS NULL
+  UNION ALL
+  SELECT tailnum, 'issue_date', issue_date, 2 FROM raw_planes WHERE NOT {_m('issue_date')} AND ({_PLANE_DATE}) IS NULL
+)"""
+
+
+def _drift_sql() -> str:
+    """The drift of the second and third column order, and of the group that lacks a column."""
+    lacking = [c for c in DRIFTED[LACKING % 3] if c != WITHOUT]
+    rows = {(WITHOUT, "absent", FLIGHT_COLUMNS.index(WITHOUT), None)}
+    for own in (*DRIFTED[1:], lacking):
+        rows |= {(c, "moved", at, own.index(c)) for at, c in enumerate(FLIGHT_COLUMNS) if c in own and own.index(c) != at}
+    values = ", ".join(f"('{c}', '{d}', {at}, {'NULL' if i is None else i})" for c, d, at, i in sorted(rows, key=str))
+    return f'SELECT * FROM (VALUES {values}) AS t("column", drift, wanted_at, found_at)'
+
+
 _STAGED = f"SELECT * EXCLUDE ({_DROPPED}) FROM raw_flights"
 _ORDER_ALL = ", ".join(f"{c} ASC NULLS FIRST" for c in CLEAN_COLUMNS)
 
@@ -644,6 +827,31 @@ ORACLE: dict[str, str] = {
     "planes_job": _with("raw_planes") + _CLEAN_PLANES,
     "variables_job": _with("raw_variables") + _CLEAN_VARIABLES,
     "carriers_job": _with("raw_carriers") + "SELECT * FROM raw_carriers",
+    "snapshot_publish": _with("raw_planes") + _CLEAN_PLANES,
+    "snapshot_time_travel": _with("raw_planes") + "SELECT * FROM raw_planes",
+    "snapshot_after_failure": _with("raw_planes") + _CLEAN_PLANES,
+    "incremental_publish": _clean_flights_sql(),
+    "zordered_publish": _clean_flights_sql(),
+    "land_verified": _with("raw_flights") + _STAGED,
+    "content_check": _with("raw_flights")
+    + "SELECT count(*) AS \"rows\", true AS stage_is_equal, count(*) FILTER (WHERE TaxiIn = '3') = 0 AS changed_is_equal, "
+    "true AS changed_has_all_rows FROM raw_flights",
+    "drifting_headers": _with("raw_flights")
+    + f"SELECT * REPLACE (CASE WHEN CAST(FlightNum AS INTEGER) % 9 = {LACKING} THEN NULL ELSE {WITHOUT} END AS {WITHOUT}) FROM raw_flights",
+    "header_drift": _drift_sql(),
+    "merged_audit": _flights_trail_sql(),
+    "merged_key_profile": _with("raw_carriers")
+    + 'SELECT count(*) AS "rows", count(Code) AS non_null, count(DISTINCT Code) AS "distinct", '
+    "count(Code) - count(DISTINCT Code) AS duplicates FROM raw_carriers",
+    "duplicate_keys": _with("raw_carriers")
+    + 'SELECT Code, count(*) AS "rows" FROM raw_carriers WHERE Code IS NOT NULL GROUP BY Code HAVING count(*) > 1',
+    "duplicate_flights": _with("raw_flights")
+    + 'SELECT UniqueCarrier, FlightNum, Year, Month, count(*) AS "rows" FROM raw_flights GROUP BY ALL HAVING count(*) > 1',
+    "reject_ledger": _with("raw_planes") + _REJECTED + " SELECT * FROM rejected",
+    "reject_counts": _with("raw_planes")
+    + _REJECTED
+    + ' SELECT "column", reason, count(*) AS rejects FROM rejected GROUP BY ALL',
+    "typed_with_ledger": _with("raw_planes") + f"SELECT * REPLACE ({_PLANE_DATE} AS issue_date, {_i('year')} AS year) FROM raw_planes",
 }
 
 
@@ -651,8 +859,11 @@ try:  # an optional part: everything else works without it
     import corpus_pipeline
     from flightmart.llm import queries as llm_queries
 except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "flightmart.llm"):
+    # Absent, or a library that only this part needs is: the queries above still run.
+    if (missing.name or "").partition(".")[0] == "flightmart" and missing.name != "flightmart.llm":
         raise
+    if missing.name not in ("corpus_pipeline", "flightmart.llm"):
+        warnings.warn(f"without the optional queries: {missing}", stacklevel=1)
 else:
     QUERIES |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
     ORACLE |= llm_queries.ORACLE

@@ -8,6 +8,12 @@
     python -m flightmart variables --source FILE --target PATH_OR_TABLE [--table]
     python -m flightmart audit     --stage PATH          (one-pass audit trail, printed)
     python -m flightmart stream    --source GLOB --stage PATH --checkpoint PATH   (incremental landing)
+    python -m flightmart increment --source GLOB --target PATH                    (new files into the versioned fact)
+    python -m flightmart drift     --source GLOB                                  (files whose header differs)
+
+``flights --snapshots`` publishes the fact as the next version of a table (an
+unfinished run leaves the version before), ``--verify content`` compares all
+staged values, ``land --by-name`` binds columns by name in every file.
 
 The session comes from ``spark-submit`` / the environment (master, executors,
 ``spark.checkpoint.dir``); only the job defaults in ``session.DEFAULT_CONF``
@@ -22,7 +28,9 @@ import sys
 from .plans import jobs
 from .session import get_session
 from .sources.files import csv_header, read_stage, year_paths
+from .sources.headers import header_drift
 from .streaming.landing import land_incrementally
+from .streaming.publishing import publish_incrementally
 
 LOOKUPS = {
     "airports": jobs.clean_airports,
@@ -34,7 +42,7 @@ LOOKUPS = {
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="flightmart")
-    p.add_argument("job", choices=["land", "flights", "audit", "stream", *LOOKUPS])
+    p.add_argument("job", choices=["land", "flights", "audit", "stream", "increment", "drift", *LOOKUPS])
     p.add_argument("--source", help="yearly CSV folder (land, flights) or lookup CSV file")
     p.add_argument("--stage", help="Parquet staging folder")
     p.add_argument("--target", help="published table path, or catalog name with --table")
@@ -45,6 +53,9 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--on-missing", choices=["fail", "skip"], default="fail")
     p.add_argument("--reuse-stage", action="store_true", help="flights: resume from a stage of the same sources")
     p.add_argument("--partitions", type=int, help="flights: even the stage out to this many files")
+    p.add_argument("--snapshots", action="store_true", help="flights: publish a new version of the table at --target")
+    p.add_argument("--verify", choices=["rows", "content"], default="rows", help="land, flights: what of the stage is compared")
+    p.add_argument("--by-name", action="store_true", help="land: bind columns by name, file by file")
     p.add_argument("--checkpoint", help="stream: progress folder kept with the stage (shared storage)")
     return p
 
@@ -54,18 +65,24 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session(app=f"flightmart-{args.job}")
     if args.job == "land":
         paths = year_paths(args.source, args.first, args.last, args.pattern)
-        _, rows = jobs.land(spark, paths, args.stage, args.on_missing)
+        _, rows = jobs.land(spark, paths, args.stage, args.on_missing, verify=args.verify, by_name=args.by_name)
         print(f"staged {rows} rows at {args.stage}")
     elif args.job == "flights":
         rows = jobs.flights_job(
             spark, args.source, args.stage, args.target, args.first, args.last, args.pattern,
-            args.on_missing, args.table, args.reuse_stage, args.partitions,
+            args.on_missing, args.table, args.reuse_stage, args.partitions, args.snapshots, args.verify,
         )
         print(f"published {args.target} from {rows} staged rows")
     elif args.job == "stream":
         columns = csv_header(spark, args.source)
         land_incrementally(spark, args.source, columns, args.stage, args.checkpoint)
         print(f"stage {args.stage} is up to date with {args.source}")
+    elif args.job == "increment":
+        made = publish_incrementally(spark, args.source, csv_header(spark, args.source), args.target, args.checkpoint)
+        print(f"published {made} new versions of {args.target}")
+    elif args.job == "drift":
+        for r in header_drift(spark, args.source, csv_header(spark, args.source)).orderBy("file", "column").collect():
+            print(f"{r.file} {r.column} {r.drift} {r.wanted_at} {r.found_at}")
     elif args.job == "audit":
         for r in jobs.flights_audit_trail(read_stage(spark, args.stage)).collect():
             print(f"{r.stage:>18} {r.column:>18} {r.missing}")

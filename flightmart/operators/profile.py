@@ -40,6 +40,7 @@ def staged_audit(
     df: DataFrame,
     stages: Sequence[tuple[str, Column | str | None, Sequence[str], Mapping[str, str | Column] | None]],
     tokens: Sequence[str] = MISSING_TOKENS,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Missing counts at several steps of a pipeline, in one pass.
 
@@ -51,7 +52,9 @@ def staged_audit(
     column to the column (name or expression) holding its value at that
     stage (default: the column itself).
 
-    Returns long rows ``(stage, column, missing)``.
+    Returns long rows ``(stage, column, missing)``; with ``by`` columns, such
+    rows for each of their values (after these columns), which add up:
+    ``merge_audits`` over them is the audit of all rows.
 
     Plan: the rows are grouped by the distinct keep predicates (a handful
     of groups, pre-aggregated in every task before a tiny shuffle), each
@@ -83,13 +86,21 @@ def staged_audit(
                 else:
                     count_cols.append(F.count_if(is_missing(v, tokens)).alias(alias))
             cells.append((name, c, keep_alias, counts[key]))
-    groups = df.groupBy(*keep_cols).agg(*count_cols)
+    by = [ident(c) for c in by]
+    groups = df.groupBy(*map(F.expr, by), *keep_cols).agg(*count_cols)
     sums = [
         f"coalesce(sum({m if k is None else f'CASE WHEN {k} THEN {m} END'}), 0L) AS __cell{i}"
         for i, (_, _, k, m) in enumerate(cells)
     ]
     rows = ", ".join(f"{literal(st)}, {literal(c)}, __cell{i}" for i, (st, c, _, _) in enumerate(cells))
-    return groups.selectExpr(*sums).selectExpr(f"stack({len(cells)}, {rows}) AS (stage, `column`, missing)")
+    totals = groups.groupBy(*map(F.expr, by)).agg(*map(F.expr, sums)) if by else groups.selectExpr(*sums)
+    return totals.selectExpr(*by, f"stack({len(cells)}, {rows}) AS (stage, `column`, missing)")
+
+
+def merge_audits(states: DataFrame) -> DataFrame:
+    """``(stage, column, missing)`` of all rows, from the rows of a
+    ``staged_audit`` by file (or any part): sums, no look at the data."""
+    return states.groupBy("stage", "column").agg(F.sum("missing").alias("missing"))
 
 
 def nan_audit(df: DataFrame, cols: Iterable[str]) -> DataFrame:

@@ -40,7 +40,9 @@ from ..operators.override import override_by_key
 from ..operators.profile import staged_audit
 from ..operators.projection import drop_columns, rename
 from ..sinks.files import publish, stage_and_verify
+from ..sinks.snapshots import publish_increment, publish_snapshot
 from ..sources.files import (
+    csv_header,
     path_exists,
     read_csv_inferred,
     read_csv_strings,
@@ -49,6 +51,7 @@ from ..sources.files import (
     source_state,
     year_paths,
 )
+from ..sources.headers import read_csv_by_name
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the original jobs' for identical results.
@@ -128,7 +131,9 @@ def clean_flights(
     return assemble_date(df, DATE_NAME, "Year", "Month", "DayofMonth", skip_null_date_parts)
 
 
-def flights_audit_trail(df: DataFrame, tokens: Sequence[str] = MISSING_TOKENS) -> DataFrame:
+def flights_audit_trail(
+    df: DataFrame, tokens: Sequence[str] = MISSING_TOKENS, by: Sequence[str] = ()
+) -> DataFrame:
     """The fact job's missing-value audits, all in one pass over the raw rows.
 
     Four audits: the raw (staged) rows, after the taxi-time filter, after
@@ -136,12 +141,14 @@ def flights_audit_trail(df: DataFrame, tokens: Sequence[str] = MISSING_TOKENS) -
     the points where the interactive job stopped to look.  Each is
     computed on the same input rows through keep predicates and the
     values each column has at that point, so one scan replaces four.
-    Returns ``(stage, column, missing)`` rows.
+    Returns ``(stage, column, missing)`` rows; with ``by`` (columns that are
+    not audited, such as the file a row came from) these for each of their
+    values, to be kept and added up by ``merge_audits``.
     """
     base = drop_columns(canonical_names(df, FLIGHT_NAMES), DROPPED_COLUMNS)
-    cols = list(base.columns)
+    cols = [c for c in base.columns if c not in by]
     raw = {c: f"__raw_{c}" for c in cols}
-    work = base.select(*cols, *[F.col(c).alias(a) for c, a in raw.items()])
+    work = base.select(*base.columns, *[F.col(c).alias(a) for c, a in raw.items()])
     work = relabel_missing(work, TAIL_COLUMN, tokens=tokens)
     work = strip_non_ascii(work, TAIL_COLUMN)
     work = flag_missing(work, FLAG_NAME, FLAG_COLUMNS, tokens)
@@ -164,9 +171,22 @@ def flights_audit_trail(df: DataFrame, tokens: Sequence[str] = MISSING_TOKENS) -
             ("after_air_time", kept, later, aired),
         ],
         tokens,
+        by,
     )
 
 
+def refresh_audits(spark: SparkSession, raw: DataFrame, root: str, file_column: str) -> int:
+    """Bring the audit table at ``root`` up to date with the files that ``raw``
+    holds rows of; the version published.
+
+    The table has the audit trail of every file, a partition each.  A file
+    that landed again replaces its own state and no other is read, so the
+    audit of everything that ever landed (``merge_audits`` over the table)
+    costs a scan of the new files alone.
+    """
+    return publish_increment(flights_audit_trail(raw, by=[file_column]), root, [file_column], replace=True)
+
+
 def planes_audit_trail(df: DataFrame, tokens: Sequence[str] = MISSING_TOKENS) -> DataFrame:
     """Planes audit before and after the type filter, in one pass."""
     cols = list(df.columns)
@@ -208,11 +228,21 @@ def land(
     on_missing: str = "fail",
     partitions: int | None = None,
     columns: Sequence[str] | None = None,
+    verify: str = "rows",
+    by_name: bool = False,
 ) -> tuple[DataFrame, int]:
-    """Landing: existing yearly CSVs (plain or bz2) -> verified Parquet stage."""
+    """Landing: existing yearly CSVs (plain or bz2) -> verified Parquet stage.
+
+    ``verify="content"`` compares a digest of all values with the stage as
+    read back.  ``by_name`` binds ``columns`` (by default those of the first
+    file) by name in every file, for headers that drift.
+    """
     present = resolve_sources(spark, paths, on_missing)
-    raw = read_csv_strings(spark, present, columns=columns)
-    return stage_and_verify(drop_columns(raw, DROPPED_COLUMNS), stage_path, partitions)
+    if by_name:
+        raw = read_csv_by_name(spark, present, columns or csv_header(spark, present[0]))
+    else:
+        raw = read_csv_strings(spark, present, columns=columns)
+    return stage_and_verify(drop_columns(raw, DROPPED_COLUMNS), stage_path, partitions, verify)
 
 
 def _manifest_path(stage_path: str) -> str:
@@ -251,6 +281,8 @@ def flights_job(
     as_table: bool = False,
     reuse_stage: bool = False,
     partitions: int | None = None,
+    snapshots: bool = False,
+    verify: str = "rows",
 ) -> int:
     """Yearly CSVs -> staged Parquet -> cleaned fact, published by date.
 
@@ -260,7 +292,12 @@ def flights_job(
     sources (paths, sizes, times of their files) and dropped columns and
     whose rows are all there; any other stage is landed anew.
     ``partitions`` evens the stage out, for a year that cannot be split.
+    With ``snapshots`` the fact appears as the next version of the table at
+    ``target``, and a run that fails leaves the one before; ``verify="content"``
+    checks the stage, and such a version, by a digest of all values.
     """
+    if snapshots and as_table:
+        raise ValueError("snapshots are published to a path, not to a catalog table")
     paths = resolve_sources(spark, year_paths(source_root, first, last, pattern), on_missing)
     wanted = {"paths": paths, "files": source_state(spark, paths), "dropped": DROPPED_COLUMNS}
     staged, rows = None, 0
@@ -269,8 +306,11 @@ def flights_job(
     if staged is None:
         # No manifest while the stage is being written: a stage that broke off has none.
         write_manifest(spark, stage_path, {})
-        staged, rows = land(spark, paths, stage_path, partitions=partitions)
+        staged, rows = land(spark, paths, stage_path, partitions=partitions, verify=verify)
         write_manifest(spark, stage_path, wanted | {"rows": rows})
+    if snapshots:
+        publish_snapshot(clean_flights(staged), target, PARTITION_COLUMNS, CLUSTER_COLUMNS, verify=verify == "content")
+        return rows
     publish(
         clean_flights(staged),
         target,

@@ -1,5 +1,27 @@
 """Sinks: staging and publishing."""
 
-from .files import even_partitions, publish, stage_and_verify, write_stage
+from .files import even_partitions, publish, publish_zordered, stage_and_verify, write_stage
+from .snapshots import (
+    ConflictError,
+    expire_snapshots,
+    publish_increment,
+    publish_snapshot,
+    read_snapshot,
+    snapshot_record,
+    snapshot_versions,
+)
 
-__all__ = ["even_partitions", "publish", "stage_and_verify", "write_stage"]
+__all__ = [
+    "ConflictError",
+    "even_partitions",
+    "expire_snapshots",
+    "publish",
+    "publish_increment",
+    "publish_snapshot",
+    "publish_zordered",
+    "read_snapshot",
+    "snapshot_record",
+    "snapshot_versions",
+    "stage_and_verify",
+    "write_stage",
+]

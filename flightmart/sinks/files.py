@@ -13,6 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..operators.digest import digest_columns, digest_of, observed
+from ..operators.layout import cut_points, with_zorder_key
+
 
 def even_partitions(df: DataFrame, n: int) -> DataFrame:
     """Round-robin ``df`` into ``n`` equal partitions (a full shuffle).
@@ -30,26 +33,32 @@ def write_stage(df: DataFrame, path: str, n: int | None = None) -> None:
 
 
 def stage_and_verify(
-    df: DataFrame, path: str, n: int | None = None
+    df: DataFrame, path: str, n: int | None = None, verify: str = "rows"
 ) -> tuple[DataFrame, int]:
     """Stage ``df`` as Parquet, re-read it and check nothing was lost.
 
-    The row count is observed while writing (no extra pass: the metric
-    rides along the write job, in its final stage, so retried tasks are
-    counted once) and compared with the count of the staged files, which
-    Parquet answers from footers.  Returns the re-read frame, whose lineage
-    starts at the staged files, and the row count.
+    What is checked is observed while writing (no extra pass: the metrics
+    ride along the write job, in its final stage, so retried tasks are
+    counted once).  ``verify="rows"`` compares row counts, which Parquet
+    answers from footers; ``verify="content"`` compares digests of all values
+    too, for one scan of the stage, so a changed cell is found even if no row
+    is missing.  Returns the re-read frame, whose lineage starts at the staged
+    files, and the row count.
     """
+    if verify not in ("rows", "content"):
+        raise ValueError("verify must be 'rows' or 'content'")
     out = df if n is None else even_partitions(df, n)
     seen = Observation("stage_rows")
-    out = out.observe(seen, F.count(F.lit(1)).alias("rows"))
-    out.write.mode("overwrite").parquet(path)
-    written = seen.get["rows"]
+    checks = digest_columns(out) if verify == "content" else [F.count(F.lit(1)).alias("rows")]
+    out.observe(seen, *checks).write.mode("overwrite").parquet(path)
+    written = observed(seen, df)
     staged = df.sparkSession.read.parquet(path)
-    stored = staged.count()
-    if stored != written:
-        raise RuntimeError(f"staged {stored} rows at {path}, but {written} were written")
-    return staged, stored
+    stored = digest_of(staged.select(*out.columns)) if verify == "content" else {"rows": staged.count()}
+    if stored["rows"] != written["rows"]:
+        raise RuntimeError(f"staged {stored['rows']} rows at {path}, but {written['rows']} were written")
+    if verify == "content" and stored != written:
+        raise RuntimeError(f"the rows staged at {path} are not those that were written: {stored} for {written}")
+    return staged, stored["rows"]
 
 
 def publish(
@@ -84,3 +93,29 @@ def publish(
         writer.saveAsTable(target)
     else:
         writer.save(target)
+
+
+def publish_zordered(
+    df: DataFrame,
+    target: str,
+    cluster_by: Sequence[str],
+    files: int | None = None,
+    bits: int = 6,
+    sample_rows: int = 100_000,
+) -> None:
+    """Overwrite a published path, clustered by several columns across all files.
+
+    Rows are dealt to files by ranges of their Z-order key over ``cluster_by``
+    (one exchange), so that a filter on any one of these columns can skip most
+    files; ``files`` fixes their number, else adaptive execution sizes them.
+    Within a range, ties are split by a hash of the row, so one combination
+    of values that holds a third of all rows still goes to many tasks.  ``df``
+    is read more than once (sample, ranges, write): give it staged.
+    """
+    cluster_by = list(cluster_by)
+    keyed = with_zorder_key(df, cut_points(df, cluster_by, bits, sample_rows), "__zorder", bits)
+    spread = keyed.withColumn("__spread", F.xxhash64(*[F.expr(f"`{c}`") for c in df.columns]))
+    by = ["__zorder", "__spread"]
+    dealt = spread.repartitionByRange(files, *by) if files else spread.repartitionByRange(*by)
+    dealt = dealt.sortWithinPartitions("__zorder", *cluster_by).drop(*by)
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)

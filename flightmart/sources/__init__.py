@@ -20,11 +20,14 @@ from .files import (
     string_schema,
     year_paths,
 )
+from .headers import header_drift, header_map, read_csv_by_name
 
 __all__ = [
     "adapter",
     "adapter_sql",
     "csv_header",
+    "header_drift",
+    "header_map",
     "path_exists",
     "raw_airports",
     "raw_carriers",
@@ -32,6 +35,7 @@ __all__ = [
     "raw_planes",
     "raw_variables",
     "year_span",
+    "read_csv_by_name",
     "read_csv_inferred",
     "read_csv_strings",
     "read_stage",

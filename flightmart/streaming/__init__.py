@@ -1,5 +1,6 @@
-"""Structured Streaming form of the landing job."""
+"""Structured Streaming forms of the landing and publishing jobs."""
 
 from .landing import land_incrementally, landing_stream
+from .publishing import publish_incrementally
 
-__all__ = ["land_incrementally", "landing_stream"]
+__all__ = ["land_incrementally", "landing_stream", "publish_incrementally"]

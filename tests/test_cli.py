@@ -77,3 +77,27 @@ def test_cli_stream_lands_new_files_only(spark, capsys):
     staged = spark.read.parquet(f"{d}/stage")
     assert sorted(r.Year for r in staged.collect()) == ["2007", "2008"]
     assert "CarrierDelay" not in staged.columns
+
+
+def test_cli_increments_versions_and_drift(spark, capsys):
+    from flightmart.sinks import read_snapshot, snapshot_versions
+
+    d = tempfile.mkdtemp(prefix="flightmart-increment-")
+    row = "2007,1,2,3,900,900,1100,1105,AA,12,N1,100,120,85,3,3,SFO,LAX,337,5,10,0,,0,NA,NA,NA,NA,NA\n"
+    _write(f"{d}/in/2007_data.csv", HEADER + row)
+    args = ["increment", "--source", f"{d}/in/*.csv", "--target", f"{d}/fact"]
+    assert main(args) == 0 and main(args) == 0
+    _write(f"{d}/in/2008_data.csv", HEADER + row + row.replace("2007,", "2008,", 1))
+    assert main(args) == 0
+    fact = read_snapshot(spark, f"{d}/fact")
+    assert sorted(str(r.FlightDate) for r in fact.collect()) == ["2007-01-02", "2007-01-02", "2008-01-02"]
+    assert snapshot_versions(spark, f"{d}/fact") == [1, 2]
+    full = ["flights", "--source", f"{d}/in", "--stage", f"{d}/stage", "--target", f"{d}/fact", "--first", "2007", "--last", "2007", "--snapshots"]
+    assert main([*full, "--verify", "content"]) == 0
+    assert read_snapshot(spark, f"{d}/fact").count() == 1 and fact.count() == 3
+    names = HEADER.strip().split(",")
+    _write(f"{d}/in/2009_data.csv", ",".join(names[::-1]) + "\n" + ",".join(row.strip().split(",")[::-1]) + "\n")
+    assert main(["drift", "--source", f"{d}/in/*.csv"]) == 0
+    assert "2009_data.csv Year moved 0 28" in capsys.readouterr().out
+    assert main(["land", "--source", f"{d}/in", "--stage", f"{d}/all", "--first", "2007", "--last", "2009", "--by-name"]) == 0
+    assert sorted(r.Year for r in spark.read.parquet(f"{d}/all").collect()) == ["2007", "2007", "2007", "2008"]
