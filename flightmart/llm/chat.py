@@ -238,8 +238,9 @@ def as_records(turns: DataFrame, id: str = "conv_id") -> DataFrame:
     instruction records, others one of the three message layouts by id."""
     row = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     every = turns.groupBy(F.col(quoted(id)).alias("id")).agg(F.array_sort(F.collect_list(row)).alias("t"))
-    roles = F.array_join(F.transform("t", lambda x: x.role), ",")
-    text = lambda i: F.col("t")[i]["text"]
+    roles = F.transform("t", lambda x: x.role)
+    are = lambda *names: roles == F.array(*map(F.lit, names))
+    text = lambda i: F.get("t", F.lit(i))["text"]
     pick = F.pmod(F.xxhash64("id"), F.lit(3))
     pair = F.when(pick == 0, F.to_json(F.struct(text(0).alias("prompt"), text(1).alias("completion")))).otherwise(
         F.to_json(F.struct(text(0).alias("instruction"), text(1).alias("output")))
@@ -253,8 +254,8 @@ def as_records(turns: DataFrame, id: str = "conv_id") -> DataFrame:
     )
     plain = ~F.exists("t", lambda x: x.role.isin("human", "gpt"))
     record = (
-        F.when(roles == "user,assistant", pair)
-        .when(roles == "system,user,assistant", triple)
+        F.when(are("user", "assistant"), pair)
+        .when(are("system", "user", "assistant"), triple)
         .when(pick == 0, messages)
         .when((pick == 1) & plain, share)
         .otherwise(nested)
