@@ -3,8 +3,11 @@
 Each text is a sequence of lines; the field has two labels, boilerplate and
 content, emission weights over a line's surface features, and transition
 weights.  It is trained by the gradient of the log-likelihood (forward and
-backward sums) on a bounded sample of rows with a quality label, whose lines
-take the label of their row.  Viterbi decoding then labels the lines of
+backward sums) on a bounded sample of rows with a quality label.  A row's
+label says what most of its lines are, not what each one is: a first pass
+fits emissions alone, and a line that these place on the other side takes
+that label, as long as its row keeps the larger part on the row's side.  So
+the field sees labels change inside texts.  Viterbi decoding then labels the lines of
 every whole text, and the share of characters in content lines decides
 whether a text is kept.
 
@@ -30,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import quoted, text_or_empty
+from ._common import quoted, stored, text_or_empty
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
@@ -134,23 +137,46 @@ def gradient(crf: Crf, x: np.ndarray, sizes: np.ndarray, y: np.ndarray) -> tuple
     return emit, move, (truth[:, 0] - node[:, 0]).sum(0)
 
 
+def line_labels(crf: Crf, rows: np.ndarray, y: int) -> np.ndarray:
+    """Labels of the lines of a row of label ``y``: those that the emissions
+    give, but with more than half of the lines on the row's side (the
+    likeliest ones stay there)."""
+    odds = rows @ (crf.emit[:, y] - crf.emit[:, 1 - y])
+    most = (len(rows) - 1) // 2  # lines that may be on the other side
+    other = [i for i in np.argsort(odds, kind="stable")[:most] if odds[i] < 0]
+    out = np.full(len(rows), y)
+    out[other] = 1 - y
+    return out
+
+
 def train(sequences: list[np.ndarray], labels: list[int], p: Params, longest: int = 64) -> Crf:
-    """Adaptive gradient ascent; sequences are cut to ``longest`` lines each."""
+    """From rows with one label each; see ``line_labels``."""
+    own = [np.full(len(rows), y) for rows, y in zip(sequences, labels)]
+    lines = ascend([rows[k : k + 1] for rows in sequences for k in range(len(rows))], [y[k : k + 1] for y in own for k in range(len(y))], p)
+    lines.emit[0] += (lines.first - lines.first.mean())  # alone, a line's start weight is a bias
+    return ascend(sequences, [line_labels(lines, rows, y) if len(rows) else rows[:, 0].astype(int) for rows, y in zip(sequences, labels)], p, longest)
+
+
+def ascend(sequences: list[np.ndarray], labels: list[np.ndarray], p: Params, longest: int = 64) -> Crf:
+    """Adaptive gradient ascent over labelled lines; sequences are cut to ``longest`` lines each."""
     parts, ys = [], []
     for rows, y in zip(sequences, labels):
         for k in range(0, len(rows), longest):
             parts.append(rows[k : k + longest])
-            ys.append(y)
+            ys.append(y[k : k + longest])
     crf = Crf(np.zeros((N_FEATURES, 2)), np.zeros((2, 2)), np.zeros(2))
-    if not parts or len(set(ys)) < 2:
+    if not parts or len(np.unique(np.concatenate(ys))) < 2:
         crf.emit[0] = (-1.0, 1.0)
         return crf
     order = sorted(range(len(parts)), key=lambda i: len(parts[i]))
     batches = []
-    for k in range(0, len(order), 512):
-        pick = order[k : k + 512]
+    for k in range(0, len(order), 4096 if longest == 1 else 512):
+        pick = order[k : k + (4096 if longest == 1 else 512)]
         x, sizes = padded([parts[i] for i in pick])
-        batches.append((x, sizes, np.repeat(np.array([ys[i] for i in pick])[:, None], x.shape[1], 1)))
+        y = np.zeros(x.shape[:2], dtype=int)
+        for row, i in enumerate(pick):
+            y[row, : sizes[row]] = ys[i]
+        batches.append((x, sizes, y))
     sums = [np.zeros_like(w) for w in (crf.emit, crf.move, crf.first)]
     count = sum(int(b[1].sum()) for b in batches)
     for _ in range(p.rounds):
@@ -236,15 +262,21 @@ def base_counts(text: str) -> tuple[int, int, int, int, int, bool]:
     return len(words), len(text) - spaces, symbols, len(lines) - len(set(lines)), repeated, failed
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "quality", id: str = "doc_id", params: Params | None = None) -> Crf:
-    """Train on about ``max_train`` rows with label 0 or 1, chosen by a hash."""
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "quality", id: str = "doc_id", params: Params | None = None) -> Crf:
+    """Train on the ``docs`` of about ``max_train`` of the ``labels`` (id, label; a
+    row per id) that are 0 or 1, drawn by a hash of the id.
+
+    The draw reads the labels alone and is broadcast (``max_train`` ids, about),
+    so texts stay where they are.
+    """
     p = params or Params()
-    rows = labelled.select(F.col(quoted(id)).cast("string").alias("id"), text_or_empty(F.col(quoted(text))).alias("text"), F.col(quoted(label)).cast("int").alias("y")).where("y in (0, 1)")
-    n = rows.groupBy("y").count().collect()
-    rate = {r[0]: min(1.0, p.max_train / 2 / r[1]) for r in n}
-    # By the id alone, so that labels are thinned out before they meet the texts.
+    known = labels.select(F.col(quoted(id)).cast("string").alias("id"), F.col(quoted(label)).cast("int").alias("y")).where("id is not null and y in (0, 1)")
+    rate = {r[0]: min(1.0, p.max_train / 2 / r[1]) for r in known.groupBy("y").count().collect()}
     draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = rows.where(draw < F.when(F.col("y") == 1, F.lit(rate.get(1, 0.0))).otherwise(F.lit(rate.get(0, 0.0))))
+    drawn = known.where(draw < F.when(F.col("y") == 1, F.lit(rate.get(1, 0.0))).otherwise(F.lit(rate.get(0, 0.0))))
+    drawn = stored(drawn, "line-crf-labels")
+    rows = docs.select(F.col(quoted(id)).cast("string").alias("id"), text_or_empty(F.col(quoted(text))).alias("text"))
+    chosen = rows.join(F.broadcast(drawn), "id")
 
     def shaped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

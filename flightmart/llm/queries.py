@@ -51,7 +51,7 @@ def op2_chat(spark: SparkSession, sf: str) -> DataFrame:
 def op3_line_crf(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     labels = table(spark, sf, "labels").where(~held_out()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    crf = line_crf.fit(docs.join(labels.where("quality is not null"), "doc_id"))
+    crf = line_crf.fit(docs, labels.where("quality is not null"))
     return line_crf.judge(docs, crf).drop("text")
 
 
