@@ -1,13 +1,14 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
 Vectors hold every word of a text, weighed by (1 + ln tf) x idf x
-association.  IDF is counted over all documents, exactly; a word seen in one
-document or none counts as seen once.  The association of a word is 1 plus
+association.  IDF is counted over all documents, exactly, and is highest for
+words in a share of ``rare`` of them or less, which all weigh alike; so does a
+word seen in one document or none.  The association of a word is 1 plus
 the root of the log-likelihood ratio that ties its document counts among the
 labelled training rows to the toxic label, and 1 for all other words.  Words
-go by 64-bit hashes.  The weights' table is what grows with the corpus: it
-has a row of 12 bytes for each distinct word but those seen once that no
-toxic training row and no example holds.  The examples are a bounded,
+go by 64-bit hashes.  The table of weights holds the words above ``rare``, of
+which there can be no more than a text's distinct words (on average) over
+``rare``, whatever the corpus: 12 bytes each.  The examples are a bounded,
 stratified sample of training rows; equal vectors are merged and keep their
 class weights.
 
@@ -46,7 +47,8 @@ from ._common import quoted, stored, text_or_empty
 
 WORD = re.compile(r"\w+")
 PLACES, ID_BITS = 10**12, 22
-CHUNK = 128  # texts weighed and searched together
+CHUNK = 128  # texts weighed together
+TOGETHER = 32  # queries searched together
 SHARED = 1 / 8  # share of the examples from which a term's weights are a row of a matrix
 FIRST = 2  # blocks that are scored before bounds are compared
 COLUMNS = ["score", "predicted", "evidence_ids", "evidence_cosines", "evidence_labels"]
@@ -63,6 +65,7 @@ class Params:
     evidence: int = 5
     block: int = 256
     threshold: float = 0.3
+    rare: float = 1e-4  # share of all documents up to which words weigh alike
 
 
 def words(text: str | None) -> list[str]:
@@ -73,15 +76,19 @@ def hashed(found: list[str]) -> np.ndarray:
     return pd.util.hash_array(np.array(found, dtype=object), categorize=False).view(np.int64)
 
 
-def term_counts(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes and counts, text after text, and how many each text has."""
-    found, tf, sizes = [], [], []
-    for t in texts:
-        own = Counter(words(t))
-        found.extend(own)
-        tf.extend(own.values())
-        sizes.append(len(own))
-    return hashed(found), np.array(tf, dtype=np.int64), np.array(sizes, dtype=np.int64)
+def term_counts(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct words, then text after text the places of its
+    words among these and their counts, and how many each text has."""
+    found = [Counter(words(t)) for t in texts]
+    place: dict[str, int] = {}
+    for own in found:
+        for w in own:
+            place.setdefault(w, len(place))
+    sizes = np.array([len(own) for own in found], dtype=np.int64)
+    n = int(sizes.sum())
+    at = np.fromiter((place[w] for own in found for w in own), np.int64, n)
+    tf = np.fromiter((c for own in found for c in own.values()), np.int64, n)
+    return hashed(list(place)), at, tf, sizes
 
 
 def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -158,43 +165,49 @@ class BlockMaxIndex:
         top = np.zeros((len(queries), k), dtype=np.int64)
         if self.rows:
             self.postings = self.postings or self._build()
-            for at in range(0, len(queries), CHUNK):
-                self._search(queries[at : at + CHUNK], top[at : at + CHUNK])
+            for at in range(0, len(queries), TOGETHER):
+                self._search(queries[at : at + TOGETHER], top[at : at + TOGETHER])
         top = -np.sort(-top, axis=1)
         examples = np.where(top > 0, (1 << ID_BITS) - 1 - (top & ((1 << ID_BITS) - 1)), 0)
         return (top >> ID_BITS) / PLACES, examples
 
     def _search(self, queries: list[tuple[np.ndarray, np.ndarray]], top: np.ndarray) -> None:
-        p, n, k = self.postings, len(self.rows), top.shape[1]
+        """All queries at once: a pair, then a posting, goes by query and block."""
+        p, n, m, k = self.postings, len(self.rows), len(queries), top.shape[1]
         edges = np.arange(0, n, self.block)
-        q = np.zeros((len(queries), len(p.dense)))
-        rest = []
-        for i, (terms, weights) in enumerate(queries):
-            terms = np.asarray(terms, dtype=np.int64)
-            at = p.shared[terms]
-            q[i, at[at >= 0]] = weights[at >= 0]
-            rest.append((terms[at < 0], weights[at < 0]))
+        terms = np.concatenate([np.asarray(t, dtype=np.int64) for t, _ in queries])
+        weights = np.concatenate([w for _, w in queries])
+        who = np.repeat(np.arange(m), [len(t) for t, _ in queries])
+        at = p.shared[terms]
+        q = np.zeros((m, len(p.dense)))
+        q[who[at >= 0], at[at >= 0]] = weights[at >= 0]
         cosines = q @ p.dense
-        for i, (terms, weights) in enumerate(rest):
-            own = cosines[i]
-            sizes = p.pairs_of[terms + 1] - p.pairs_of[terms]
-            pairs, by = ranges(p.pairs_of[terms], sizes), np.repeat(weights, sizes)
-            blocks = p.block_of[pairs]
-            bound = np.maximum.reduceat(own, edges) + np.bincount(blocks, by * p.best[pairs], len(edges))
-            turn = np.zeros(len(edges), dtype=bool)
-            turn[np.argsort(-bound, kind="stable")[:FIRST]] = True
-            seen = turn
-            while turn.any():
-                go = turn[blocks]
-                held = p.first[pairs[go] + 1] - p.first[pairs[go]]
-                at = ranges(p.first[pairs[go]], held)
-                own += np.bincount(p.examples[at], np.repeat(by[go], held) * p.weights[at], n)
-                scored = np.flatnonzero(np.repeat(turn, self.block)[:n])
-                exact = np.rint(own[scored] * PLACES).astype(np.int64)
-                keys = np.where(exact > 0, (exact << ID_BITS) + (1 << ID_BITS) - 1 - scored, 0)
-                top[i] = np.partition(np.append(top[i], keys), -k)[-k:]
-                turn = ~seen & (bound > 0) & (bound >= (top[i].min() >> ID_BITS) / PLACES - 1e-9)
-                seen = seen | turn
+        terms, weights, who = terms[at < 0], weights[at < 0], who[at < 0]
+        sizes = p.pairs_of[terms + 1] - p.pairs_of[terms]
+        pairs, by, who = ranges(p.pairs_of[terms], sizes), np.repeat(weights, sizes), np.repeat(who, sizes)
+        cell = who * len(edges) + p.block_of[pairs]
+        bound = np.maximum.reduceat(cosines, edges, axis=1) + np.bincount(cell, by * p.best[pairs], m * len(edges)).reshape(m, -1)
+        turn = np.zeros(bound.shape, dtype=bool)
+        np.put_along_axis(turn, np.argsort(-bound, axis=1, kind="stable")[:, :FIRST], True, axis=1)
+        seen = turn
+        while turn.any():
+            go = turn.ravel()[cell]
+            first = p.first[pairs[go]]
+            held = p.first[pairs[go] + 1] - first
+            at = ranges(first, held)
+            to = np.repeat(who[go] * n, held) + p.examples[at]
+            cosines += np.bincount(to, np.repeat(by[go], held) * p.weights[at], m * n).reshape(m, n)
+            # What is not summed yet is missing from a cosine, so this is no more than the k-th best.
+            last = np.partition(cosines, max(0, n - k), axis=1)[:, max(0, n - k)] if n >= k else np.zeros(m)
+            turn = ~seen & (bound > 0) & (bound >= last[:, None] - 1e-9)
+            seen = seen | turn
+        row, example = np.nonzero((cosines > 0) & (cosines >= last[:, None] - 2 / PLACES))
+        exact = np.rint(cosines[row, example] * PLACES).astype(np.int64)
+        keys = np.where(exact > 0, (exact << ID_BITS) + (1 << ID_BITS) - 1 - example, 0)
+        order = np.lexsort((-keys, row))
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        best = place < k
+        top[row[best], place[best]] = keys[order][best]
 
 
 @dataclass
@@ -220,9 +233,9 @@ class Model:
     def vectors(self, texts: Iterable[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Terms and weights of each text.  Words that no example has count in
         the length and are left out, as no posting meets them."""
-        hashes, tf, sizes = term_counts(texts)
-        weights = (1 + np.log(tf)) * self.vocabulary.weight(hashes)
-        terms = found_at(self.vocabulary.terms, hashes)
+        hashes, places, tf, sizes = term_counts(texts)
+        weights = (1 + np.log(tf)) * self.vocabulary.weight(hashes)[places]
+        terms = found_at(self.vocabulary.terms, hashes)[places]
         out, at = [], 0
         for n in sizes.tolist():
             t, w = terms[at : at + n], weights[at : at + n]
@@ -280,9 +293,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
 
     Beyond ``max_train`` labels a sample of about so many is taken, by hash
     of the id; their ids and labels are broadcast, so texts stay where they
-    are.  Brought to the driver: the table of words' weights, which grows
-    with the distinct words, and at most about twice ``max_examples`` sparse
-    vectors.
+    are.  Brought to the driver: the table of words' weights (bounded by
+    ``rare``) and at most about twice ``max_examples`` sparse vectors.
     """
     p = params or Params()
     known = labels.select(F.col(id).cast("string").alias("id"), F.col(label).cast("int").alias("y"))
@@ -321,8 +333,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
 
     counts = stored(counted(docs.select(text_or_empty(text).alias("text"))), "toxicity-words")
     every = counts.where("not word_row").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    idf = lambda df: math.log((1 + every) / (1 + df)) + 1
-    counts = counts.where("word_row").select("word", F.col("n").alias("df"))
+    least = max(1.0, p.rare * every)
+    counts = counts.where("word_row").select("word", F.col("n").alias("df")).where(F.col("df") >= least)
     if 0 < pos < n:
         toxic = counted(rows.where("y = 1")).where("word_row").select("word", F.col("n").alias("pos"))
         clean = counted(rows.where("y = 0")).where("word_row").select("word", F.col("n").alias("neg"))
@@ -341,12 +353,13 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
     order = np.argsort(held["word"].to_numpy())
     df, tie = held["df"].to_numpy()[order], held["tie"].to_numpy()[order]
     weights = ((np.log((1 + every) / (1 + df)) + 1) * (1 + tie)).astype(np.float32)
-    vocabulary = Vocabulary(held["word"].to_numpy()[order], weights, float(np.float32(idf(1))), np.zeros(0, dtype=np.int64))
+    other = float(np.float32(math.log((1 + every) / (1 + least)) + 1))
+    vocabulary = Vocabulary(held["word"].to_numpy()[order], weights, other, np.zeros(0, dtype=np.int64))
 
     def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             own = [term_counts([t]) for t in b["text"]]
-            yield pd.DataFrame({"id": b["id"], "y": b["y"], "terms": [x[0].astype("<i8").tobytes() for x in own], "tf": [x[1].astype("<i4").tobytes() for x in own]})
+            yield pd.DataFrame({"id": b["id"], "y": b["y"], "terms": [x[0].astype("<i8").tobytes() for x in own], "tf": [x[2].astype("<i4").tobytes() for x in own]})
 
     neg, rates = n - pos, []
     for size_of in (neg, pos):
