@@ -143,7 +143,7 @@ def test_lm_scores_equal_plain_version(spark, odd, empty):
         p = []
         for a, b in zip("^" + text, text):
             share = min(1, two[a, b] / before[a]) if before[a] else 1 / size
-            p.append(0.3 / size + 0.2 * one[b] / total + 0.5 * share)
+            p.append(0.3 / size + 0.2 * (one[b] / total if total else 1 / size) + 0.5 * share)
         return -sum(map(math.log, p)) / len(p)
 
     texts = [t for _, t, _ in rows if t]
@@ -152,6 +152,12 @@ def test_lm_scores_equal_plain_version(spark, odd, empty):
         assert got[i].target_loss == pytest.approx(loss(t, texts[:1]), rel=1e-5)
         assert got[i].background_loss == pytest.approx(loss(t, texts), rel=1e-5)
     assert (got[4].n_tokens, got[5].score) == (0, None) and got[1].score < 0 < got[2].score
+    alone = {r.doc_id: r for r in lm_scoring.score(docs, model, counted="is_target").collect()}
+    for i in (1, 2, 3):
+        t = rows[i - 1][1]
+        rest = [x for x in texts if x != t]
+        assert alone[i].background_loss == pytest.approx(loss(t, rest), rel=1e-5)
+        assert alone[i].target_loss == pytest.approx(loss(t, texts[:1] if i > 1 else []), rel=1e-5)
     odd_got = lm_scoring.score(odd, model).collect()
     assert len(odd_got) == odd.count()
     nothing = lm_scoring.fit(empty.withColumn("is_target", F.lit(True)), "is_target")
@@ -175,7 +181,7 @@ def test_queries_are_registered(spark):
     import __spark_entry__
 
     assert {*queries.QUERIES, "pipeline"} <= __spark_entry__.queries().keys()
-    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 14))
 
 
 def test_bitmap_filter_keeps_every_wanted_id(spark):

@@ -1,5 +1,6 @@
 """Tokens, chat, HTML, line labels and toxicity against plain versions."""
 
+import hashlib
 import json
 import random
 
@@ -69,6 +70,16 @@ def test_chat_layouts_and_edges(spark):
     assert chat.canonical(rows.limit(0)).count() == 0
 
 
+def test_chat_roles_that_look_like_several(spark):
+    rows = [(1, 0, "user,assistant", "a"), (2, 0, "system,user,assistant", None), (3, 0, "user", "b"), (3, 1, "assistant", "c"), (4, 0, None, ""), (None, 0, "user", "d")]
+    turns = spark.createDataFrame([(*r, "mine") for r in rows], "conv_id long, turn long, role string, text string, id string")
+    got = {r.id: r for r in chat.digests(chat.formatted(chat.canonical(chat.as_records(turns)))).collect()}
+    want = {}
+    for i, _, role, text in rows:
+        want[i] = want.get(i, "") + f"{role or ''}\n{text or ''}\n"
+    assert {i: r.turns_sha256 for i, r in got.items()} == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in want.items()}
+
+
 def test_chat_query_against_rows(spark):
     turns = {}
     for r in table(spark, SF_SMALL, "conversations").collect():
@@ -145,6 +156,34 @@ def test_crf_gradient_and_viterbi():
         w[at] -= 1e-5
 
 
+def test_lines_of_one_text_get_labels_of_their_own(spark):
+    """Rows carry one label each; a text half boilerplate, half content comes out near one half."""
+    r = np.random.default_rng(4)
+    content = lambda: " ".join(r.choice(["walking", "river", "the", "evening", "of", "quiet", "letters"], 18)).capitalize() + "."
+    menu = lambda: " | ".join(r.choice(["HOME", "LOGIN", "SHARE", "MENU"], 3))
+    texts, labels = [], []
+    for k in range(300):
+        good = k % 2
+        own = [content() if good else menu() for _ in range(8)]
+        for at in range(2):  # every row has some lines of the other kind
+            own[3 * at + k % 3] = menu() if good else content()
+        texts.append("\n".join(own))
+        labels.append(good)
+    crf = line_crf.train([line_crf.features(t)[0] for t in texts], labels, line_crf.Params())
+    half = "\n".join([menu() for _ in range(20)] + [content() for _ in range(20)])
+    (found,) = line_crf.viterbi(crf, [line_crf.features(half)[0]])
+    assert found.tolist() == [0] * 20 + [1] * 20
+    docs = spark.createDataFrame([(1, half), (2, content()), (3, menu())], "doc_id long, text string")
+    share = {x.doc_id: x.content_share for x in line_crf.judge(docs, crf).collect()}
+    assert share[2] == 1 and share[3] == 0 and 0.5 < share[1] < 0.95
+    # the row's side keeps more than half of its lines, whatever the emissions say
+    rows = line_crf.features(half)[0]
+    for y in (0, 1):
+        for n in range(1, 8):
+            own = line_crf.line_labels(crf, rows[:n], y)
+            assert (own == y).sum() > n / 2
+
+
 def test_line_verdict_held_out(spark):
     sf = SF_SMALL.replace("0.001", "0.01")
     labels = table(spark, sf, "labels").where(queries.held_out()).select("doc_id", "quality")
