@@ -355,6 +355,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
     weights = ((np.log((1 + every) / (1 + df)) + 1) * (1 + tie)).astype(np.float32)
     other = float(np.float32(math.log((1 + every) / (1 + least)) + 1))
     vocabulary = Vocabulary(held["word"].to_numpy()[order], weights, other, np.zeros(0, dtype=np.int64))
+    del held, order, df, tie
 
     def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -399,6 +400,7 @@ def assemble(sample: list, vocabulary: Vocabulary, idf: np.ndarray, rates: list[
             votes += model.votes(near, without)[has].tolist()
             labels += [y] * int(has.sum())
             weights += [sum(o[y] for o in e[4]) for e, h in zip(entries, has) if h]
+    index.postings = None  # the driver has no further use for them
     if votes:
         model.steps = isotonic(np.array(votes), np.array(labels, dtype=float), np.array(weights))
     return model
