@@ -6,15 +6,19 @@ halved, to its grandparent: one for being there, one per comma, one per
 hundred characters up to three.  A container's points are then discounted by
 its link density; names of classes and ids that tell of articles or of
 furniture add or take away points.  The best container is kept with those
-siblings that score near it or read like text of their own.
+siblings that score near it or read like text of their own, whatever their
+element or length: all between the first and the last of them (link lists
+apart), and blocks of text that follow on directly.  Cells of a layout table
+are siblings across its rows.
 
 Boilerplate elements (navigation, headers and footers of the page, sidebars,
 notices, adverts, forms, scripts, styles, comments of readers) go before the
 scoring, by element, role, or words in class and id.  Words that say what an
 element has or lacks ("has-sidebar", "no-comments") and elements with a class
-or id that is an article's word by itself don't count; and if nothing is left
-of a page, it is read once more without regard to such words, and text in
-paragraphs of 200 characters or more is taken.
+or id that is an article's word by itself don't count.  If nothing is left of a
+page, it is read again: first names that hold an article's word beside one of
+furniture ("promo-story") don't count, then no name does, and text is taken
+if two of its blocks at least are sentences.
 
 Edge cases: a null or empty page, or one without a scoring block, gives an
 empty text; broken markup is read as far as it goes; deep nesting is no
@@ -48,7 +52,12 @@ BAD_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "
 IN_HEAD = set("base basefont bgsound head link meta noscript script style template title".split())
 #: Elements out of which an end tag reaches no element around them.
 SCOPE = set("button caption iframe math object select svg table td template th".split())
-LEAST = 200  # characters in paragraphs for which names are set aside
+#: Elements that carry text beside a container.
+BESIDE = set("p blockquote pre ul ol dl figure table".split())
+CELLS = {"td", "th"}
+ROWS = {"tr", "tbody", "thead", "tfoot"}
+#: Which names tell of furniture: all, those without an article's word, none.
+EVERY_NAME, PLAIN_NAMES, NO_NAME = range(3)
 #: Elements whose content is no markup.
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
 TOKEN = re.compile(
@@ -68,7 +77,7 @@ class Node:
         self.score = 0.0
         self.text = self.links = 0
 
-    def furniture(self, by_name: bool = True) -> bool:
+    def furniture(self, by_name: int = EVERY_NAME) -> bool:
         if self.tag in DROPPED or "hidden" in self.attrs or self.attrs.get("role", "").lower() in BAD_ROLES:
             return True
         if self.tag == "header":
@@ -78,7 +87,9 @@ class Node:
         if re.search(r"display\s*:\s*none", self.attrs.get("style", "")):
             return True
         names = [STATE.sub("", self.attrs.get(k, "")) for k in ("class", "id")]
-        return by_name and any(map(FURNITURE.search, names)) and not any(map(WHOLE.search, names))
+        if by_name == NO_NAME or not any(map(FURNITURE.search, names)) or any(map(WHOLE.search, names)):
+            return False
+        return by_name == EVERY_NAME or not any(map(LIKELY.search, names))
 
 
 def ancestors(node: Node) -> Iterator[Node]:
@@ -90,7 +101,7 @@ def ancestors(node: Node) -> Iterator[Node]:
 class TreeBuilder:
     """A tree of kept elements; what is dropped is skipped while reading."""
 
-    def __init__(self, by_name: bool = True) -> None:
+    def __init__(self, by_name: int = EVERY_NAME) -> None:
         self.by_name = by_name
         self.root = self.at = Node("#root", {}, None)
         self.skipped: list[str] = []  # open elements from the dropped one on
@@ -231,24 +242,50 @@ def best_container(nodes: list[Node]) -> tuple[Node | None, float]:
     return best, top
 
 
-def with_siblings(best: Node, top: float) -> list[Node]:
+def beside(best: Node) -> list[Node | str]:
+    """The container's siblings and itself; of a cell all cells of its table."""
+    if best.tag not in CELLS:
+        return best.parent.children
+    top = best
+    while top.parent is not None and top.tag in CELLS | ROWS:
+        top = top.parent
+    out, stack = [], list(reversed(top.children))
+    while stack:
+        c = stack.pop()
+        if isinstance(c, Node) and c.tag in ROWS:
+            stack += reversed(c.children)
+        else:
+            out.append(c)
+    return out
+
+
+def with_siblings(best: Node, top: float) -> list[Node | str]:
     """The container and those siblings that belong to its text."""
     if best.parent is None or best.tag in ("body", "main", "html"):
         return [best]
-    kept = []
-    for s in best.parent.children:
-        if s is best or (
-            isinstance(s, Node)
-            and (
-                s.tag == best.tag and s.score >= max(10, 0.2 * top) and density(s) < 0.3
-                or s.tag == "p" and s.text > 80 and density(s) < 0.25
-            )
-        ):
-            kept.append(s)
-    return kept
-
-
-def blocks(roots: list[Node]) -> list[str]:
+    every = beside(best)
+
+    def own(s: Node | str) -> bool:
+        if s is best:
+            return True
+        if isinstance(s, str) or density(s) >= 0.3:
+            return False
+        return s.tag == best.tag and s.score >= max(10, 0.2 * top) or s.tag in BESIDE and s.text > 80
+
+    at = [i for i, s in enumerate(every) if own(s)]
+    first, last = at[0], at[-1]
+
+    def follows(s: Node | str) -> bool:
+        return isinstance(s, str) and not s.strip() or isinstance(s, Node) and s.tag in BESIDE and density(s) < 0.3
+
+    while first > 0 and follows(every[first - 1]):
+        first -= 1
+    while last + 1 < len(every) and follows(every[last + 1]):
+        last += 1
+    return [s for s in every[first : last + 1] if isinstance(s, str) or density(s) < 0.5 or s is best]
+
+
+def blocks(roots: list[Node | str]) -> list[str]:
     """Texts of blocks in page order, white space as one space."""
     out: list[str] = []
     run: list[str] = []
@@ -278,20 +315,26 @@ def blocks(roots: list[Node]) -> list[str]:
     return out
 
 
+def sentences(nodes: list[Node]) -> int:
+    """Blocks that read like sentences."""
+    found = (own_text(n) for n in nodes if n.tag in SCORED and density(n) < 0.3)
+    return sum(len(t.split()) >= 8 and t[-1] in ".?!…\"'”’)" for t in found)
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
-    for by_name in (True, False):
+    for by_name in (EVERY_NAME, PLAIN_NAMES, NO_NAME):
         builder = TreeBuilder(by_name)
         builder.feed(html)
         nodes = in_order(builder.root)
         measure(nodes)
         best, top = best_container(nodes)
-        if best is None and by_name:
+        if best is None and by_name == EVERY_NAME:
             left = "\n".join(blocks([builder.root]))
             if left:
                 return left
-        elif best is not None and (by_name or sum(n.text for n in nodes if n.tag == "p") >= LEAST):
+        elif best is not None and (by_name != NO_NAME or sentences(nodes) > 1):
             return "\n".join(blocks(with_siblings(best, top)))
     return ""
 

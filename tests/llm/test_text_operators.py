@@ -302,3 +302,21 @@ def test_html_unclosed_furniture_and_state_words():
         assert html_text.main_text(f"<body><div class='{name}'>{body}<div class='sidebar'><p>{text[2:]}</p></div></div></body>").startswith(want)
     assert html_text.main_text("<body><div class=menu><p>Home</p></div></body>") == ""
     assert html_text.main_text(f"<body><aside><div><p>Side</aside><div>{body}</div></body>") == want
+
+
+def test_html_keeps_the_article_whole():
+    text = "A paragraph, of the article, with commas, that is long enough to be scored as such by the method."
+    body = f"<p>{text}</p>"
+    lines = lambda page: html_text.main_text(page).split("\n")
+    # a container of a furniture-like name that also holds an article's word, and one of a furniture name alone
+    assert lines(f"<body><div class='promo-story'>{body * 2}</div></body>") == [text] * 2
+    assert lines(f"<body><div class='menu'>{body * 2}</div></body>") == [text] * 2
+    assert lines("<body><div class=menu><p>Home</p></div></body>") == [""]
+    # short siblings of any element beside the best container, and what stands between
+    page = f"<body><div>{body * 3}</div><blockquote>Short quote.</blockquote><ul><li>item</ul><p>The end.</p><div><a href=/>more</a></div></body>"
+    assert lines(page) == [text] * 3 + ["Short quote.", "item", "The end."]
+    page = f"<body><ul><li><a href=/>link</a></ul><p>Lead.</p><div>{body * 3}</div>between<span> two</span><div><a href=/a>all links</a></div><div>{body * 3}</div></body>"
+    assert lines(page) == ["Lead."] + [text] * 3 + ["between two"] + [text] * 3
+    # an article in two rows of a layout table, without the cell of links
+    page = f"<body><table><tr><td><a href=/>home</a></td><td>{body * 3}</td></tr><tr><td>{body * 3}</td></tr></table></body>"
+    assert lines(page) == [text] * 6
