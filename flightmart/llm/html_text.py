@@ -54,6 +54,8 @@ IN_HEAD = set("base basefont bgsound head link meta noscript script style templa
 SCOPE = set("button caption iframe math object select svg table td template th".split())
 #: Elements that carry text beside a container.
 BESIDE = set("p blockquote pre ul ol dl figure table".split())
+#: Those that do so ahead of one, where lists are menus.
+LEADING = {"p", "blockquote", "pre"}
 CELLS = {"td", "th"}
 ROWS = {"tr", "tbody", "thead", "tfoot"}
 #: Which names tell of furniture: all, those without an article's word, none.
@@ -275,14 +277,15 @@ def with_siblings(best: Node, top: float) -> list[Node | str]:
     at = [i for i, s in enumerate(every) if own(s)]
     first, last = at[0], at[-1]
 
-    def follows(s: Node | str) -> bool:
-        return isinstance(s, str) and not s.strip() or isinstance(s, Node) and s.tag in BESIDE and density(s) < 0.3
+    def joins(s: Node | str, tags: set[str]) -> bool:
+        return isinstance(s, str) and not s.strip() or isinstance(s, Node) and s.tag in tags and density(s) < 0.3
 
-    while first > 0 and follows(every[first - 1]):
+    while first > 0 and joins(every[first - 1], LEADING):
         first -= 1
-    while last + 1 < len(every) and follows(every[last + 1]):
+    while last + 1 < len(every) and joins(every[last + 1], BESIDE):
         last += 1
-    return [s for s in every[first : last + 1] if isinstance(s, str) or density(s) < 0.5 or s is best]
+    gap = Node("div", {}, None)  # what is left out still parts the blocks around it
+    return [s if isinstance(s, str) or density(s) < 0.5 or s is best else gap for s in every[first : last + 1]]
 
 
 def blocks(roots: list[Node | str]) -> list[str]:
@@ -298,7 +301,7 @@ def blocks(roots: list[Node | str]) -> list[str]:
 
     stack: list[Node | str | None] = []
     for r in reversed(roots):
-        stack += [None, r, None]
+        stack += [r] if isinstance(r, str) or r.tag not in BLOCKS and r.tag != "#root" else [None, r, None]
     while stack:
         c = stack.pop()
         if c is None:
