@@ -15,7 +15,10 @@ candidate buckets; a bucket never lists all its pairs:
 
 Both steps compare signatures batch by batch and drop a pair as soon as the
 posterior probability that its similarity reaches the threshold falls below
-the miss probability (uniform prior); survivors are confirmed on full sets,
+the miss probability (uniform prior).  Of a crossing the parity of the number
+of shingles in each of at least four slots per shingle then bounds the sets'
+difference from below, which drops a pair below the threshold for certain
+(a few that lie just under it stay).  Survivors are confirmed on full sets,
 100 * |A and B| >= percent * |A or B|.
 
 With 32 bands of 4 hashes a pair at similarity 0.8 has no bucket in common
@@ -44,6 +47,8 @@ from .components import components
 N_HASHES, BAND = 128, 4
 BATCH = 16
 BLOCK = 256
+#: Slots of a set's parities are a power of two in this range; sets of more than a quarter of the upper end are pruned less.
+LEAST_SLOTS, MOST_SLOTS = 64, 1 << 16
 FILTER_BITS, PAGE_BITS = 1 << 26, 1 << 15
 MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 TO_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -86,6 +91,44 @@ def signature(hashes: np.ndarray, by: np.ndarray) -> np.ndarray:
     return (low >> np.uint64(32)).astype(np.uint32)
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """One bit per slot: whether an odd number of the hashes falls into it."""
+    slots = min(max(LEAST_SLOTS, 1 << (4 * len(hashes) - 1).bit_length()), MOST_SLOTS)
+    odd = np.bincount((hashes & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
+def folded(rows: list[np.ndarray], width: int) -> np.ndarray:
+    """Parities of ``width`` words: halves are added until they fit, as slots
+    are the low bits of a hash.  Rows with fewer words are left zero."""
+    out = np.zeros((len(rows), width), dtype=np.uint64)
+    for at, r in enumerate(rows):
+        if len(r) >= width:
+            out[at] = np.bitwise_xor.reduce(r.reshape(-1, width), axis=0)
+    return out
+
+
+def near_enough(
+    a: list[np.ndarray], b: list[np.ndarray], sizes: tuple[np.ndarray, np.ndarray], percent: int, pairs: tuple[np.ndarray, np.ndarray]
+) -> np.ndarray:
+    """Which pairs (rows of a, rows of b) can reach the threshold: slots of
+    different parity are at most the shingles that only one set holds."""
+    i, j = pairs
+    ok = np.ones(len(i), dtype=bool)
+    if not len(i):
+        return ok
+    width = np.minimum(np.array([len(r) for r in a])[i], np.array([len(r) for r in b])[j])
+    most = (sizes[0][i] + sizes[1][j]) * (100 - percent)
+    for w in np.unique(width).tolist():
+        x, y, of = folded(a, w), folded(b, w), np.nonzero(width == w)[0]
+        step = max(1, (1 << 20) // w)
+        for at in range(0, len(of), step):
+            some = of[at : at + step]
+            differ = np.bitwise_count(x[i[some]] ^ y[j[some]]).sum(axis=1, dtype=np.int64)
+            ok[some] = differ * (100 + percent) <= most[some]
+    return ok
+
+
 def least_matches(percent: int, miss: float) -> list[int]:
     """Per batch: the fewest equal hashes so far with which a pair goes on,
     P(similarity >= threshold | matches) >= miss under a uniform prior."""
@@ -119,13 +162,14 @@ def _signatures(percent: int, size: int):
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache: dict[bytes, int] = {}
         for b in batches:
-            n, fp, sig = [], [], []
+            n, fp, sig, odd = [], [], [], []
             for t in b["text"]:
                 s = shingle_set(t, size, cache)
                 n.append(len(s))
                 fp.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 sig.append(signature(s, by).tobytes() if len(s) else None)
-            yield pd.DataFrame({"id": b["id"], "n": n, "fp": fp, "sig": sig})
+                odd.append(parities(s).tobytes() if len(s) else None)
+            yield pd.DataFrame({"id": b["id"], "n": n, "fp": fp, "sig": sig, "odd": odd})
 
     return of
 
@@ -167,7 +211,8 @@ def _pruned_pairs(least: list[int]):
 
 def _pruned_blocks(least: list[int], percent: int):
     """Per pair of blocks the pairs in different components, near enough in
-    size, that pass the batches and meet in no earlier band."""
+    size, that pass the batches, meet in no earlier band and can reach the
+    threshold by their parities."""
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -180,9 +225,10 @@ def _pruned_blocks(least: list[int], percent: int):
                             np.array([r["n"] for r in side], dtype=np.int64),
                             np.array([r["comp"] for r in side]),
                             np.array([np.frombuffer(r["sig"], np.uint32) for r in side]),
+                            [np.frombuffer(r["odd"], np.uint64) for r in side],
                         )
                     )
-                (ia, na, ca, sa), (ib, nb, cb, sb) = cols
+                (ia, na, ca, sa, oa), (ib, nb, cb, sb, ob) = cols
                 got = []
                 for at in range(0, len(ia), 64):
                     cut = slice(at, at + 64)
@@ -194,7 +240,10 @@ def _pruned_blocks(least: list[int], percent: int):
                     if len(i):
                         shared = (sa[cut][i] == sb[j]).reshape(len(i), -1, BAND).all(axis=2)
                         first = shared.argmax(axis=1) == k
-                        got.append((ia[cut][i][first], ib[j][first], ca[cut][i][first], cb[j][first]))
+                        i, j = i[first], j[first]
+                        near = near_enough(oa[cut], ob, (na[cut], nb), percent, (i, j))
+                        i, j = i[near], j[near]
+                        got.append((ia[cut][i], ib[j], ca[cut][i], cb[j]))
                 if got and sum(len(g[0]) for g in got):
                     yield pd.DataFrame({"key": [key], **{c: [np.concatenate([g[x] for g in got])] for x, c in enumerate(("a", "b", "ca", "cb"))}})
 
@@ -272,11 +321,12 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
     least = least_matches(percent, miss)
     rows = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     known = rows.where("id is not null")
-    prints = stored(rows.mapInPandas(_signatures(percent, size), "id long, n long, fp binary, sig binary"), "near-signatures")
+    prints = stored(rows.mapInPandas(_signatures(percent, size), "id long, n long, fp binary, sig binary, odd binary"), "near-signatures")
     full = prints.where("fp is not null and id is not null")
     twins = full.groupBy("id").agg(F.min("fp").alias("own"), F.count("*").alias("k")).where("k > 1").select("id", "own")
     full = full.join(twins, "id", "left").where("own is null or own = fp")
-    classes = stored(full.groupBy("fp").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig")), "near-classes")
+    classes = full.groupBy("fp").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("odd").alias("odd"))
+    classes = stored(classes, "near-classes")
 
     bands = _bands(classes)
     buckets = bands.groupBy("band").agg(F.min(F.struct("id", "n")).alias("hub"), F.count("*").alias("size")).where("size > 1")
@@ -292,7 +342,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
     stars = components(links)
 
     labelled = classes.join(stars.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id"))
-    labelled = stored(labelled.select("id", "n", "sig", "comp"), "near-labelled")
+    labelled = stored(labelled.select("id", "n", "sig", "odd", "comp"), "near-labelled")
     where = _bands(labelled.select("id", "n", "sig")).join(buckets.select("band", "size", F.col("hub.id").alias("hub")), "band")
     where = where.join(labelled.select("id", "comp"), "id").select("band", "k", "id", "comp", "hub", "size")
     mixed = where.groupBy("band").agg(
@@ -302,8 +352,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
     members = where.drop("hub", "size").join(mixed.select("band", "main", "size"), "band")
     members = members.withColumn("minor", F.col("comp") != F.col("main"))
     members = members.withColumn("block", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / BLOCK)))
-    members = members.join(labelled.select("id", "n", "sig"), "id")
-    blocks = members.groupBy("band", "minor", "block").agg(F.first("k").alias("k"), F.collect_list(F.struct("id", "n", "comp", "sig")).alias("rows"))
+    members = members.join(labelled.select("id", "n", "sig", "odd"), "id")
+    blocks = members.groupBy("band", "minor", "block").agg(F.first("k").alias("k"), F.collect_list(F.struct("id", "n", "comp", "sig", "odd")).alias("rows"))
     blocks = stored(blocks, "near-blocks")
     left = blocks.where("minor").select("band", F.col("block").alias("at"), F.col("rows").alias("left"))
     cross = left.join(blocks, "band").where("not minor or at <= block").withColumn("key", F.struct("band", "at", "minor", "block"))

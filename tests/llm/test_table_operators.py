@@ -46,6 +46,46 @@ def test_near_duplicates_equal_brute_force(spark, size):
     assert {r.id: (r.n_shingles, r.component_id) for r in got} == want
 
 
+def test_parities_never_drop_a_link():
+    """Sets of all widths, among them more shingles than the most slots hold."""
+    rng = np.random.default_rng(3)
+    left, right = [], []
+    for n in [1, 2, 15, 16, 17, 60, 400, 5_000, 40_000]:
+        for share in (0.0, 0.5, 0.7, 0.79, 0.8, 0.81, 0.9, 1.0):
+            both = round(n * share)
+            own = rng.integers(0, 2**63, 2 * n - both, dtype=np.uint64)
+            left.append(np.unique(own[:n]))
+            right.append(np.unique(np.concatenate([own[:both], own[n:]]))[: max(1, n - n // 9)])
+    a, b = [near_dups.parities(x) for x in left], [near_dups.parities(x) for x in right]
+    assert {len(x) for x in a} > {1, 4, 32, 1024}
+    i, j = (x.ravel() for x in np.indices((len(a), len(b))))
+    sizes = (np.array([len(x) for x in left]), np.array([len(x) for x in right]))
+    got = near_dups.near_enough(a, b, sizes, 80, (i, j))
+    meet = np.array([len(np.intersect1d(left[x], right[y], assume_unique=True)) for x, y in zip(i, j)])
+    linked = 100 * meet >= 80 * (sizes[0][i] + sizes[1][j] - meet)
+    assert linked.any() and not (linked & ~got).any()
+    # Of the pairs under 0.7 whose sizes and slots allow a verdict none stays.
+    like = np.minimum(sizes[0][i], sizes[1][j]) >= 0.8 * np.maximum(sizes[0][i], sizes[1][j])
+    low = like & (meet < 0.7 * (sizes[0][i] + sizes[1][j] - meet)) & (sizes[0][i] > 50) & (sizes[0][i] < 10_000)
+    assert low.any() and not got[low].any()
+
+
+def test_near_duplicates_of_a_large_group(spark):
+    """A group whose pairs lie about the threshold: thousands of pairs pass the signatures, few are links."""
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(80)]
+    docs = []
+    for k in range(900):
+        words = list(base)
+        for at in rng.choice(80, rng.integers(3, 8), replace=False):
+            words[at] = f"x{rng.integers(0, 10_000)}"
+        docs.append((k, " ".join(words)))
+    want = brute_components(docs, 2)
+    got = near_dups.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), size=2).collect()
+    assert {r.id: (r.n_shingles, r.component_id) for r in got} == want
+    assert 1 < len({c for _, c in want.values()}) < 900
+
+
 def test_near_duplicates_edges(spark, odd, empty):
     got = {r.id: r for r in near_dups.near_duplicates(odd, size=2).collect()}
     assert got[4].component_id == got[5].component_id == 4 and got[6].component_id == got[7].component_id == 6
