@@ -1,6 +1,7 @@
 """Near duplicates, fingerprints, site lines, mixing, LM scores, pipeline."""
 
 import math
+import warnings
 from collections import Counter
 
 import numpy as np
@@ -86,6 +87,35 @@ def test_near_duplicates_of_a_large_group(spark):
     assert 1 < len({c for _, c in want.values()}) < 900
 
 
+@pytest.mark.parametrize("budget", [None, 30_000.0])
+def test_rake_equals_plain_loop(spark, budget):
+    rng = np.random.default_rng(11)
+    tokens = {(f"s{a}", f"l{b}"): int(rng.integers(1, 5_000)) for a in range(6) for b in range(4) if (a, b) != (5, 3)}
+    goals = [{f"s{a}": 1 / 6 for a in range(6)}, {"l0": 0.4, "l1": 0.3, "l2": 0.2, "l3": 0.1}]
+    weight, before = {c: float(n) for c, n in tokens.items()}, math.inf
+    for _ in range(15):
+        for _ in range(4):
+            for d, goal in enumerate(goals):
+                held = Counter()
+                for c, w in weight.items():
+                    held[c[d]] += w
+                weight = {c: w * goal[c[d]] / held[c[d]] for c, w in weight.items()}
+                if budget:
+                    weight = {c: min(w, tokens[c] / budget) for c, w in weight.items()}
+        off = max(abs(sum(w for c, w in weight.items() if c[d] == k) - share) for d, goal in enumerate(goals) for k, share in goal.items())
+        if off <= 1e-6 or (budget and off >= 0.9 * before):
+            break
+        before = off
+    cells = spark.createDataFrame([(*c, n) for c, n in tokens.items()], "__mix_source string, __mix_lang string, tokens long")
+    targets = {d: spark.createDataFrame(list(g.items()), "category string, share double") for d, g in zip(("source", "lang"), goals)}
+    with warnings.catch_warnings(record=True) as told:
+        warnings.simplefilter("always")
+        got = {(r[0], r[1]): r.weight for r in mixing.rake(cells, ["source", "lang"], targets, budget=budget).select("__mix_source", "__mix_lang", "weight").collect()}
+    assert got.keys() == weight.keys() and all(math.isclose(got[c], weight[c], rel_tol=1e-9) for c in got)
+    assert any(f"raking ends {off:.2g}" in str(w.message) for w in told) == (off > 1e-6)
+    assert (off > 1e-6) == bool(budget)
+
+
 def test_near_duplicates_edges(spark, odd, empty):
     got = {r.id: r for r in near_dups.near_duplicates(odd, size=2).collect()}
     assert got[4].component_id == got[5].component_id == 4 and got[6].component_id == got[7].component_id == 6
