@@ -28,22 +28,17 @@ def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
     return toxicity.fit(docs, known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
 
 
-#: Labelled target rows that the target model is counted on, about; their ids are broadcast.
-MAX_TARGET = 400_000
-
-
-def target_ids(labels: DataFrame, most: int = MAX_TARGET) -> DataFrame:
-    """(doc_id, is_target): documents labelled as of good quality and not toxic;
-    beyond ``most`` of them about so many, by a hash of the id."""
-    good = stored(labels.where("quality = 1 and toxic = 0 and doc_id is not null").select("doc_id").distinct(), "lm-target")
-    share = most / max(most, good.count())
-    return good.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * (1 << 30)).withColumn("is_target", F.lit(True))
+def target_ids(labels: DataFrame) -> DataFrame:
+    """(doc_id, is_target): all documents labelled as of good quality and not toxic."""
+    good = labels.where("quality = 1 and toxic = 0 and doc_id is not null").select("doc_id").distinct()
+    return good.withColumn("is_target", F.lit(True))
 
 
 def op1_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
-    """Target: documents labelled as of good quality and not toxic."""
+    """Target: documents labelled as of good quality and not toxic.  The marked
+    documents are stored, as they are read three times: one join serves all."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    docs = docs.join(F.broadcast(target_ids(table(spark, sf, "labels"))), "doc_id", "left")
+    docs = stored(docs.join(target_ids(table(spark, sf, "labels")), "doc_id", "left"), "lm-documents")
     out = lm_scoring.score(docs, lm_scoring.fit(docs, "is_target"), counted="is_target")
     return out.select("doc_id", "n_tokens", "target_loss", "background_loss", "score", (F.col("score") <= 0).alias("selected"))
 

@@ -234,6 +234,15 @@ def test_lm_scores_equal_plain_version(spark, odd, empty):
     assert lm_scoring.score(empty, nothing).count() == 0
 
 
+def test_target_ids_are_all_of_them(spark):
+    n = 450_000
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    odd = spark.createDataFrame([(0, 1, 0), (None, 1, 0), (n, 0, 0), (n + 1, 1, 1), (n + 2, None, 0)], "doc_id long, quality int, toxic int")
+    got = queries.target_ids(labels.union(odd))
+    assert got.agg(F.count("*"), F.countDistinct("doc_id"), F.max("doc_id")).first() == (n, n, n - 1)
+    assert got.columns == ["doc_id", "is_target"]
+
+
 def test_pipeline_stages(spark):
     docs = table(spark, SF_SMALL, "documents")
     for name, stage in corpus_pipeline.STAGES:
