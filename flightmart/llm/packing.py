@@ -33,7 +33,7 @@ import json
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -64,11 +64,13 @@ class Encoder:
     """
 
     #: Texts are cut in groups of about so many characters.
-    GROUP = 1 << 23
+    GROUP = 1 << 22
+    #: New units that are encoded together.
+    TOGETHER = 1 << 13
     #: Marks a text's first unit, which has no space before it (no simple text holds it).
     FIRST = "\x01"
 
-    def __init__(self, path: str, memory: int = 500_000) -> None:
+    def __init__(self, path: str, memory: int = 300_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -99,53 +101,61 @@ class Encoder:
         loose = text.endswith(" ") or "  " in text or any(f" {c}" in text for c in "\t\n\v\f\r")
         return self.by_units and not loose and SIMPLE.fullmatch(text) is not None and not any(m in text for m in self.marks)
 
-    def learn(self, units: list[str]) -> None:
-        """Encode units that are not known yet."""
+    def learn(self, units: list[str]) -> list[bytes]:
+        """The ids of units that are not known yet."""
         texts = [u[1:] if u[:1] == self.FIRST else " " + u for u in units]
         found = [PARTS.findall(t) for t in texts]
-        new = list({p for ps in found for p in ps}.difference(self.parts))
+        wanted = {p for ps in found for p in ps}
+        new = list(wanted.difference(self.parts))
         if len(self.parts) + len(new) > self.memory:
-            self.parts.clear()
-            new = list({p for ps in found for p in ps})
+            self.parts = {p: self.parts[p] for p in wanted.difference(new)}
         tokenize, parts = self.tokenizer.model.tokenize, self.parts
         # As the tokeniser writes bytes; no part holds the mark, which keeps the parts apart.
         written = codecs.charmap_decode(self.FIRST.join(new).encode(), "strict", WRITTEN)[0].split(chr(BYTE_CHARS[1]))
         for p, w in zip(new, written):
             parts[p] = array("I", [t.id for t in tokenize(w)]).tobytes()
-        for u, ps in zip(units, found):
-            self.units[u] = parts[ps[0]] if len(ps) == 1 else b"".join([parts[p] for p in ps])
+        return [parts[ps[0]] if len(ps) == 1 else b"".join([parts[p] for p in ps]) for ps in found]
 
     def from_units(self, texts: list[str]) -> list[bytes]:
         cut = pc.split_pattern(pa.array([self.FIRST + t for t in texts], pa.large_string()), " ")
         coded = cut.flatten().dictionary_encode()
         names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         known = list(map(self.units.get, names))
-        new = [n for n, k in zip(names, known) if k is None]
-        if new:
-            if len(self.units) + len(new) > self.memory:
-                self.units.clear()
-                new = names
-            self.learn(new)
-            known = [self.units[n] for n in names]
-        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        new = [k for k, ids in enumerate(known) if ids is None]
+        for at in range(0, len(new), self.TOGETHER):
+            some = new[at : at + self.TOGETHER]
+            for k, ids in zip(some, self.learn([names[k] for k in some])):
+                known[k] = ids
+        if len(self.units) + len(new) > self.memory:
+            self.units = dict(zip(names, known))  # the units of this group alone
+        else:
+            self.units.update((names[k], known[k]) for k in new)
+        size = np.fromiter(map(len, known), np.int32, len(known)) // 4
         pool = np.frombuffer(b"".join(known), dtype="<u4")
         begin = np.cumsum(size) - size
         unit = coded.indices.to_numpy(zero_copy_only=False)
         width = size[unit]
         end = np.cumsum(width)
-        ids = pool[np.repeat(begin[unit] - (end - width), width) + np.arange(len(end) and end[-1])]
+        whole = len(end) and int(end[-1])
+        small = np.int32 if max(whole, len(pool)) < 1 << 31 else np.int64
+        at = np.repeat((begin[unit] - (end - width)).astype(small), width)
+        at += np.arange(whole, dtype=small)
+        ids = pool[at]
         edge = np.concatenate([[0], end])[cut.offsets.to_numpy()]
+        del cut, coded, at
+        pa.default_memory_pool().release_unused()
         return [ids[a:b].tobytes() for a, b in zip(edge, edge[1:])]
 
-    def ids(self, texts: list[str]) -> Iterator[bytes]:
+    def ids(self, texts: Iterable[str]) -> Iterator[bytes]:
         """Per text its little-endian unsigned 32-bit ids, without a template's special tokens."""
-        at = 0
-        while at < len(texts):
+        texts, group = iter(texts), [""]
+        while group:
             group, chars = [], 0
-            while at < len(texts) and (not group or chars < self.GROUP):
-                group.append(texts[at])
-                chars += len(texts[at])
-                at += 1
+            for t in texts:
+                group.append(t)
+                chars += len(t)
+                if chars >= self.GROUP:
+                    break
             whole = [self.has_units(t) for t in group]
             quick = iter(self.from_units([t for t, w in zip(group, whole) if w]) if any(whole) else [])
             for t, w in zip(group, whole):
@@ -168,7 +178,7 @@ def pieces(docs: DataFrame, path: str, window: int = 2048, end_id: int = 0, id:
         encoder, end = Encoder.of_worker(path), np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             found = []
-            for k, own in enumerate(encoder.ids([t or "" for t in batch.column(1).to_pylist()])):
+            for k, own in enumerate(encoder.ids(t.as_py() or "" for t in batch.column(1))):
                 ids = own + end
                 at = cuts(len(ids) // 4, window)
                 found += [(k, p, a, b - a, zlib.crc32(ids[4 * a : 4 * b])) for p, (a, b) in enumerate(zip(at, at[1:]))]
