@@ -39,6 +39,7 @@ from ..operators.filters import require_not_null, require_present
 from ..operators.override import override_by_key
 from ..operators.profile import staged_audit
 from ..operators.projection import drop_columns, rename
+from ..session import compile_wide_stages
 from ..sinks.files import publish, stage_and_verify
 from ..sinks.snapshots import publish_increment, publish_snapshot
 from ..sources.files import (
@@ -118,6 +119,7 @@ def clean_flights(
     df: DataFrame, tokens: Sequence[str] = MISSING_TOKENS, skip_null_date_parts: bool = False
 ) -> DataFrame:
     """Raw (all-string) flight rows -> the 25-column typed fact."""
+    compile_wide_stages(df.sparkSession)
     df = canonical_names(df, FLIGHT_NAMES)
     df = drop_columns(df, DROPPED_COLUMNS)
     df = require_present(df, REQUIRED_TAXI, tokens)
@@ -145,6 +147,7 @@ def flights_audit_trail(
     not audited, such as the file a row came from) these for each of their
     values, to be kept and added up by ``merge_audits``.
     """
+    compile_wide_stages(df.sparkSession)
     base = drop_columns(canonical_names(df, FLIGHT_NAMES), DROPPED_COLUMNS)
     cols = [c for c in base.columns if c not in by]
     raw = {c: f"__raw_{c}" for c in cols}
@@ -291,7 +294,8 @@ def flights_job(
     source file.  That holds only for a stage whose manifest names the same
     sources (paths, sizes, times of their files) and dropped columns and
     whose rows are all there; any other stage is landed anew.
-    ``partitions`` evens the stage out, for a year that cannot be split.
+    ``partitions`` evens the stage out to so many files at least, for a year
+    that cannot be split.
     With ``snapshots`` the fact appears as the next version of the table at
     ``target``, and a run that fails leaves the one before; ``verify="content"``
     checks the stage, and such a version, by a digest of all values.

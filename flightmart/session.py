@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -50,6 +52,27 @@ def get_session(
     return builder.getOrCreate()
 
 
+@contextmanager
+def settings(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """``conf`` for what runs inside, then the session's own values again."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def compile_wide_stages(spark: SparkSession) -> None:
+    """Hold the session to the default above for generated methods, if its own
+    limit is higher.  It stays set, as the frames run after the call returns."""
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(limit)) > int(DEFAULT_CONF[limit]):
+        spark.conf.set(limit, DEFAULT_CONF[limit])
+
+
 def _checkpoint_base(spark: SparkSession) -> str | None:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:

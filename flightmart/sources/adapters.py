@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import compile_wide_stages
+
 RAW_FLIGHTS_SQL = """
 SELECT CAST(year(l_shipdate) AS STRING) AS Year, CAST(month(l_shipdate) AS STRING) AS Month,
   CAST(dayofmonth(l_shipdate) AS STRING) AS DayofMonth, CAST(l_orderkey % 7 + 1 AS STRING) AS DayOfWeek,
@@ -99,6 +101,7 @@ ADAPTERS: dict[str, tuple[str, str]] = {
 
 def adapter(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The dirty table ``name`` over the benchmark tables in ``sf_dir``."""
+    compile_wide_stages(spark)
     text, table = ADAPTERS[name]
     source = spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
     return spark.sql(text, **{table: source})
