@@ -15,21 +15,38 @@ from pyspark.sql import functions as F
 
 from ..operators.digest import digest_columns, digest_of, observed
 from ..operators.layout import cut_points, with_zorder_key
+from ..session import settings
+
+
+#: About so many estimated bytes of a frame go to one partition when it is evened out.
+EVEN_BYTES = 128 << 20
+#: Rows are dealt out as they come, without a sort (and its spill) of every
+#: partition first; over files, whose order is fixed, a retried task deals alike,
+#: and over a shuffle Spark then runs the whole stage again.
+DEAL = {"spark.sql.execution.sortBeforeRepartition": "false"}
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of a frame's size, from its files' sizes; 0 if it has none."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 60 else 0
 
 
 def even_partitions(df: DataFrame, n: int) -> DataFrame:
-    """Round-robin ``df`` into ``n`` equal partitions (a full shuffle).
+    """Round-robin ``df`` into ``n`` equal partitions (a full shuffle), or more if
+    these would hold more than ``EVEN_BYTES`` each, so that no task grows with the input.
 
     Only worth it when the input splits are badly uneven (e.g. one
     unsplittable compressed file); a splittable scan is already balanced.
     """
-    return df.repartition(n)
+    return df.repartition(max(n, min(-(-estimated_bytes(df) // EVEN_BYTES), 10_000)))
 
 
 def write_stage(df: DataFrame, path: str, n: int | None = None) -> None:
-    """Overwrite a Parquet staging folder, optionally evened to ``n`` files."""
+    """Overwrite a Parquet staging folder, optionally evened to ``n`` files or more."""
     out = df if n is None else even_partitions(df, n)
-    out.write.mode("overwrite").parquet(path)
+    with settings(df.sparkSession, DEAL):
+        out.write.mode("overwrite").parquet(path)
 
 
 def stage_and_verify(
@@ -50,7 +67,8 @@ def stage_and_verify(
     out = df if n is None else even_partitions(df, n)
     seen = Observation("stage_rows")
     checks = digest_columns(out) if verify == "content" else [F.count(F.lit(1)).alias("rows")]
-    out.observe(seen, *checks).write.mode("overwrite").parquet(path)
+    with settings(df.sparkSession, DEAL):
+        out.observe(seen, *checks).write.mode("overwrite").parquet(path)
     written = observed(seen, df)
     staged = df.sparkSession.read.parquet(path)
     stored = digest_of(staged.select(*out.columns)) if verify == "content" else {"rows": staged.count()}

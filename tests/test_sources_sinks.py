@@ -3,11 +3,12 @@ import os
 import tempfile
 
 import pytest
+from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 from flightmart.plans import plan_text
 from flightmart.session import shared_dir
-from flightmart.sinks import publish, stage_and_verify, write_stage
+from flightmart.sinks import files, publish, stage_and_verify, write_stage
 from flightmart.sources import (
     read_csv_inferred,
     read_csv_strings,
@@ -79,6 +80,31 @@ def test_resolve_sources_policies(spark, tmp):
         resolve_sources(spark, paths[:1], "skip")
 
 
+def test_even_partitions_grow_with_the_input(spark, tmp, monkeypatch):
+    df = spark.range(20_000).select(F.col("id").cast("string").alias("s"), F.lit("same").alias("t"))
+    write_stage(df, f"{tmp}/in")
+    back = spark.read.parquet(f"{tmp}/in")
+    assert files.even_partitions(back, 3).rdd.getNumPartitions() == 3
+    monkeypatch.setattr(files, "EVEN_BYTES", files.estimated_bytes(back) // 10)
+    staged, n = stage_and_verify(back, f"{tmp}/even", 3)
+    sizes = [r["count"] for r in staged.groupBy(F.input_file_name()).count().collect()]
+    assert n == 20_000 and 10 <= len(sizes) <= 12 and max(sizes) < 2_200
+    assert staged.exceptAll(back).count() == 0
+
+
+def test_wide_stages_are_compiled_whatever_the_session(spark):
+    from flightmart.plans.jobs import clean_flights
+    from flightmart.session import settings
+    from flightmart.sources import raw_flights
+
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    for held, after in (("65535", "8000"), ("4000", "4000")):
+        with settings(spark, {limit: held, "spark.sql.maxConcurrentOutputFileWriters": "7"}):
+            clean_flights(raw_flights(spark, SF_SMALL))
+            assert spark.conf.get(limit) == after
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
 def test_stage_and_verify(spark, tmp):
     df = spark.range(1000).withColumn("s", F.col("id").cast("string"))
     staged, n = stage_and_verify(df, f"{tmp}/stage", 4)
