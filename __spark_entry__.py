@@ -68,7 +68,7 @@ from flightmart.plans.jobs import (  # noqa: E402
     clean_planes,
     clean_variables,
 )
-from flightmart.session import shared_dir  # noqa: E402
+from flightmart.session import settings, shared_dir  # noqa: E402
 from flightmart.sinks import (  # noqa: E402
     publish,
     publish_increment,
@@ -146,7 +146,9 @@ def _flight_years(spark: SparkSession, raw: DataFrame, root: str, compression: s
     )
     if compression:
         writer = writer.option("compression", compression)
-    writer.csv(root)
+    # A file per year is open in each task, so no task sorts (and spills) its rows by year.
+    with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": "64"}):
+        writer.csv(root)
     return span
 
 
