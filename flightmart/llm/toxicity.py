@@ -31,6 +31,7 @@ Added columns replace columns of the same name.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -39,6 +40,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -49,6 +51,7 @@ WORD = re.compile(r"\w+")
 PLACES, ID_BITS = 10**12, 22
 CHUNK = 128  # texts weighed together
 TOGETHER = 32  # queries searched together
+FEW = 8  # examples searched together on the driver, whose memory is short
 SHARED = 1 / 8  # share of the examples from which a term's weights are a row of a matrix
 FIRST = 2  # blocks that are scored before bounds are compared
 COLUMNS = ["score", "predicted", "evidence_ids", "evidence_cosines", "evidence_labels"]
@@ -158,15 +161,15 @@ class BlockMaxIndex:
         pairs_of = np.searchsorted(pair[first], np.arange(self.n_terms + 1) * blocks)
         return Postings(shared, dense, pairs_of, pair[first] % blocks, best, np.append(first, len(terms)), examples, weights)
 
-    def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, together: int = TOGETHER) -> tuple[np.ndarray, np.ndarray]:
         """Query x k best cosines and their examples, best first; cosine 0 is no
         neighbour.  Cosines count to twelve places, ties go to the lower example."""
         # One integer per neighbour: the cosine, then the example counted down.
         top = np.zeros((len(queries), k), dtype=np.int64)
         if self.rows:
             self.postings = self.postings or self._build()
-            for at in range(0, len(queries), TOGETHER):
-                self._search(queries[at : at + TOGETHER], top[at : at + TOGETHER])
+            for at in range(0, len(queries), together):
+                self._search(queries[at : at + together], top[at : at + together])
         top = -np.sort(-top, axis=1)
         examples = np.where(top > 0, (1 << ID_BITS) - 1 - (top & ((1 << ID_BITS) - 1)), 0)
         return (top >> ID_BITS) / PLACES, examples
@@ -366,19 +369,22 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
     for size_of in (neg, pos):
         rates.append(min(1.0, p.max_examples / size_of) if size_of else 1.0)
     chosen = rows.where(share < F.when(F.col("y") == 1, F.lit(rates[1])).otherwise(F.lit(rates[0])))
-    sample = [(r["id"], r["y"], np.frombuffer(r["terms"], "<i8"), np.frombuffer(r["tf"], "<i4")) for r in chosen.mapInPandas(bags, "id string, y int, terms binary, tf binary").collect()]
+    drawn = chosen.mapInPandas(bags, "id string, y int, terms binary, tf binary").toArrow()
+    sample = [(i.as_py(), y.as_py(), np.frombuffer(t.as_buffer(), "<i8"), np.frombuffer(c.as_buffer(), "<i4")) for i, y, t, c in zip(*drawn.columns)]
     vocabulary.terms = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *[r[2] for r in sample]]))
-    sample = [{"id": r[0], "y": r[1], "terms": np.searchsorted(vocabulary.terms, r[2]).astype(np.int32), "tf": r[3]} for r in sample]
+    sample = [{"id": r[0], "y": r[1], "terms": np.searchsorted(vocabulary.terms, r[2]).astype(np.int32), "tf": r[3].astype(np.int32)} for r in sample]
+    del drawn  # the sample holds copies now
+    pa.default_memory_pool().release_unused()
     return assemble(sample, vocabulary, vocabulary.weight(vocabulary.terms), rates, pos / n if n else 0.5, p)
 
 
 def assemble(sample: list, vocabulary: Vocabulary, idf: np.ndarray, rates: list[float], prior: float, p: Params) -> Model:
     """Index the sampled examples and calibrate on their leave-one-out votes."""
-    merged: dict[tuple, list] = {}
+    merged: dict[bytes, list] = {}
     for r in sorted(sample, key=lambda r: (r["id"] is None, str(r["id"]))):
         terms, weights = weigh(r["terms"], r["tf"], idf)
         own = np.eye(2)[r["y"]] / rates[r["y"]]
-        entry = merged.setdefault((terms.tobytes(), np.round(weights, 9).tobytes()), [terms, weights, np.zeros(2), str(r["id"]), []])
+        entry = merged.setdefault(hashlib.sha256(terms.tobytes() + np.round(weights, 9).tobytes()).digest(), [terms, weights, np.zeros(2), str(r["id"]), []])
         entry[2] = entry[2] + own
         entry[4].append(own)
     entries = sorted(merged.values(), key=lambda e: (int(e[0][np.argmax(e[1])]) if len(e[0]) else -1, e[3]))
@@ -387,7 +393,7 @@ def assemble(sample: list, vocabulary: Vocabulary, idf: np.ndarray, rates: list[
     model = Model(vocabulary, index, prior, (np.zeros(0), np.zeros(0)), p)
     votes, labels, weights = [], [], []
     if entries:
-        cosines, examples = index.search([(e[0], e[1]) for e in entries], p.neighbours + 1)
+        cosines, examples = index.search(index.rows, p.neighbours + 1, FEW)
         self_at = (examples == np.arange(len(entries))[:, None]) & (cosines > 0)
         # An example of one row leaves its list; of several rows, one row's weight leaves.
         drop = self_at & np.array([len(e[4]) == 1 for e in entries])[:, None]
