@@ -49,10 +49,15 @@ def quantile_rank(c: Column, cuts: Sequence[Any], least: int = 0) -> Column:
 
 
 def with_zorder_key(df: DataFrame, cuts: Mapping[str, Sequence[Any]], name: str = "__zorder", bits: int = 6) -> DataFrame:
-    """Add the interleaved ranks of the columns of ``cuts`` as one bigint."""
+    """Add the interleaved ranks of the columns of ``cuts`` as one bigint.
+
+    The ranks of a column with few values are spread over all its bits, so
+    that its first bits, which weigh most, cut it into even parts too.
+    """
     if len(cuts) * bits > 62:
         raise ValueError(f"{len(cuts)} columns of {bits} bits do not fit one key")
-    ranks = {f"{name}_{i}": quantile_rank(F.expr(ident(c)), list(own)) for i, (c, own) in enumerate(cuts.items())}
+    spread = lambda own: F.lit(2**bits).cast("long") / F.lit(len(own) + 1)
+    ranks = {f"{name}_{i}": F.floor(quantile_rank(F.expr(ident(c)), list(own)) * spread(own)).cast("int") for i, (c, own) in enumerate(cuts.items())}
     k = len(ranks)
     key = F.lit(0).cast("long")
     for i, rank in enumerate(ranks):
