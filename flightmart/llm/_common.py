@@ -9,6 +9,8 @@ from ..session import shared_dir
 
 #: Words are maximal runs of characters other than these six ASCII spaces.
 NOT_SPACE = "[^\\x20\\x09-\\x0D]+"
+#: Bits of a bitmap of ids, in all and per page.
+FILTER_BITS, PAGE_BITS = 1 << 26, 1 << 15
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +25,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def likely(rows: DataFrame, ids: DataFrame, id: str, name: str) -> DataFrame:
+    """``rows`` with boolean ``name``: true if ``id`` is in ``ids``, and for a few
+    others.  A bitmap of hashed ids is broadcast, at ``FILTER_BITS`` bits at most
+    whatever the number of ids; the rows are not shuffled."""
+    bit = F.pmod(F.xxhash64(quoted(id)), F.lit(FILTER_BITS))
+    page, at = F.floor(bit / PAGE_BITS).alias("__page"), (bit % PAGE_BITS).alias("__at")
+    pages = ids.select(page, at).groupBy("__page").agg(F.bitmap_construct_agg("__at").alias("__bits"))
+    held = F.expr("getbit(cast(conv(hex(substring(__bits, cast(__at div 8 as int) + 1, 1)), 16, 10) as int), cast(__at % 8 as int)) = 1")
+    found = rows.select("*", page, at).join(F.broadcast(pages), "__page", "left")
+    return found.select(*[F.col(quoted(c)) for c in rows.columns], F.coalesce(held, F.lit(False)).alias(name))
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -41,7 +41,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import stored
+from ..session import settings
+from ._common import likely, stored
 from .components import components
 
 N_HASHES, BAND = 128, 4
@@ -49,7 +50,10 @@ BATCH = 16
 BLOCK = 256
 #: Slots of a set's parities are a power of two in this range; sets of more than a quarter of the upper end are pruned less.
 LEAST_SLOTS, MOST_SLOTS = 64, 1 << 16
-FILTER_BITS, PAGE_BITS = 1 << 26, 1 << 15
+#: Words whose hashes a worker keeps at a time.
+CACHED = 1 << 17
+#: What a worker gets at a time: a pair of full blocks alone has some 400 kB, which Python's objects multiply.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 TO_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -57,7 +61,7 @@ TO_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrst
 def shingle_set(text: str | None, size: int, cache: dict[bytes, int]) -> np.ndarray:
     """Sorted distinct hashes of the text's word shingles (A-Z lower-cased)."""
     found = (text or "").encode("utf-8", "surrogatepass").translate(TO_LOWER).split()
-    if len(cache) > 1_000_000:
+    if len(cache) > CACHED:
         cache.clear()
     hashes = np.empty(len(found), dtype=np.uint64)
     for i, w in enumerate(found):
@@ -286,13 +290,8 @@ def _bands(classes: DataFrame) -> DataFrame:
 
 
 def _likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without most rows whose id is not in ``ids``, by a bitmap of hashed
-    ids: broadcast at ``FILTER_BITS`` bits at most, whatever the number of ids."""
-    bit = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
-    page, at = F.floor(bit / PAGE_BITS).alias("page"), (bit % PAGE_BITS).alias("at")
-    pages = ids.select(page, at).groupBy("page").agg(F.bitmap_construct_agg("at").alias("bits"))
-    held = F.expr("getbit(cast(conv(hex(substring(bits, cast(at div 8 as int) + 1, 1)), 16, 10) as int), cast(at % 8 as int)) = 1")
-    return docs.select("id", "text", page, at).join(F.broadcast(pages), "page").where(held).select("id", "text")
+    """``docs`` without most rows whose id is not in ``ids``."""
+    return likely(docs.select("id", "text"), ids, "id", "__held").where("__held").drop("__held")
 
 
 def _sets_of(ids: DataFrame, docs: DataFrame, size: int) -> DataFrame:
@@ -318,6 +317,11 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
     of the class that the search needed; ``component_id``: smallest id that
     links can reach.
     """
+    with settings(docs.sparkSession, BATCHES):  # every step that runs Python is stored in here
+        return _near_duplicates(docs, id, text, size, percent, miss)
+
+
+def _near_duplicates(docs: DataFrame, id: str, text: str, size: int, percent: int, miss: float) -> DataFrame:
     least = least_matches(percent, miss)
     rows = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     known = rows.where("id is not null")

@@ -290,3 +290,45 @@ def test_raking_under_a_budget(spark):
     assert all(got[s, l] <= n / 1000 + 1e-9 for s, l, n in cells) and got["stray", "y"] == pytest.approx(0.001)
     assert got["a", "x"] + got["b", "x"] == pytest.approx(0.5, abs=1e-4)
     assert sum(got.values()) == pytest.approx(1, abs=1e-4)
+
+
+def test_target_marks_shuffle_no_other_texts(spark):
+    docs = spark.createDataFrame([(k, str(k)) for k in (1, 2, 2, 3, None, -4)] + [(5, None)], "doc_id long, text string")
+    targets = queries.target_ids(spark.createDataFrame([(2, 1, 0), (5, 1, 0), (9, 1, 0), (3, 1, 1)], "doc_id long, quality int, toxic int"))
+    out = queries.marked(docs, targets)
+    got = sorted(((r.doc_id, r.text, r.is_target) for r in out.collect()), key=str)
+    wanted = [(1, "1", None), (2, "2", True), (2, "2", True), (3, "3", None), (None, "None", None), (-4, "-4", None), (5, None, True)]
+    assert got == sorted(wanted, key=str)
+    assert queries.marked(docs, targets.limit(0)).where("is_target is null").count() == 7
+    # A join that shuffles gets the few rows whose ids the bitmap lets through.
+    many = spark.range(20_000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 500).alias("text")).localCheckpoint()
+    few = targets.union(spark.range(100, 200).select("id", F.lit(True)))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = queries.marked(many, few)
+        assert plan.where("is_target").count() == 103
+        text = plan._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    join = text.split("Join LeftOuter, (doc_id")[1]
+    assert "Filter" in join.split("\n")[1] + join.split("\n")[2], text
+
+
+def test_near_copy_workers_get_small_batches(spark, monkeypatch):
+    docs = spark.range(3_000).selectExpr("id", "concat('the same words ', id div 2, ' make a copy') as text").coalesce(1)
+    of = near_dups._signatures(80, 2)
+
+    def checked(batches):
+        def small():
+            for b in batches:
+                assert len(b) <= 1000
+                yield b
+
+        return of(small())
+
+    monkeypatch.setattr(near_dups, "_signatures", lambda percent, size: checked)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    found = near_dups.near_duplicates(docs, "id", size=2)
+    assert found.count() == 3_000 and found.where("component_id <> id").count() >= 1_500
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
