@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat, drift_clusters, html_text, line_crf, lm_scoring, mixing, near_dups, order_minhash, packing, site_lines, toxicity, whitening
-from ._common import stored, table
+from ._common import likely, stored, table
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -34,11 +34,19 @@ def target_ids(labels: DataFrame) -> DataFrame:
     return good.withColumn("is_target", F.lit(True))
 
 
+def marked(docs: DataFrame, targets: DataFrame) -> DataFrame:
+    """``docs`` with is_target, null for other rows.  Only texts that can be
+    targets meet ``targets`` in a join; the others are never shuffled."""
+    seen = likely(docs, targets.select("doc_id"), "doc_id", "__may")
+    rest = seen.where("not __may").drop("__may").withColumn("is_target", F.lit(None).cast("boolean"))
+    return rest.union(seen.where("__may").drop("__may").join(targets, "doc_id", "left").select(*docs.columns, "is_target"))
+
+
 def op1_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
     """Target: documents labelled as of good quality and not toxic.  The marked
-    documents are stored, as they are read three times: one join serves all."""
+    documents are stored, as they are read three times."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    docs = stored(docs.join(target_ids(table(spark, sf, "labels")), "doc_id", "left"), "lm-documents")
+    docs = stored(marked(docs, target_ids(table(spark, sf, "labels"))), "lm-documents")
     out = lm_scoring.score(docs, lm_scoring.fit(docs, "is_target"), counted="is_target")
     return out.select("doc_id", "n_tokens", "target_loss", "background_loss", "score", (F.col("score") <= 0).alias("selected"))
 
