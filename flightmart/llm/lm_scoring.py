@@ -84,19 +84,23 @@ def _probability(counts: list[np.ndarray], before: list[np.ndarray], total: floa
     return p
 
 
-def losses(text: str, model: Model, counted: bool | None = None) -> tuple[int, float, float] | None:
+def losses(text: str, model: Model, counted: bool | None = None, own: np.ndarray | None = None) -> tuple[int, float, float] | None:
     """Tokens, mean target loss and mean background loss (natural logarithm).
 
     ``counted`` tells of a text that the models were counted on whether it
     was a target; its own counts are then left out.  None: it was not counted.
+    ``own``: zeros for every slot, and zeros again afterwards.
     """
     s = symbols_of(text, model.symbols)
     if not len(s):
         return None
     slots = slots_of(s, len(model.weights), len(model.target) - 2)
     if counted is not None:
-        _, at, n = np.unique(np.concatenate(slots), return_inverse=True, return_counts=True)
-        mine = n[at].astype(np.float32).reshape(len(slots), -1)
+        own = np.zeros(len(model.target), dtype=np.float32) if own is None else own
+        every = np.concatenate(slots)
+        np.add.at(own, every, np.float32(1))
+        mine = own[every].reshape(len(slots), -1)
+        own[every] = 0
     out = []
     for table, without in ((model.target, counted is True), (model.background, counted is not None)):
         counts = [table[x] - mine[k] if without else table[x] for k, x in enumerate(slots)]
@@ -157,8 +161,9 @@ def score(docs: DataFrame, model: Model, text: str = "text", counted: str | None
 
     @F.pandas_udf("n_tokens long, target_loss double, background_loss double, score double")
     def scored(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        own = np.zeros(len(model.target), dtype=np.float32)
         for texts, marks in batches:
-            got = [losses(t, model, None if counted is None else bool(m)) for t, m in zip(texts, marks)]
+            got = [losses(t, model, None if counted is None else bool(m), own) for t, m in zip(texts, marks)]
             yield pd.DataFrame([(0, None, None, None) if g is None else (*g, g[1] - g[2]) for g in got], columns=names)
 
     mark = F.lit(False) if counted is None else F.coalesce(F.col(quoted(counted)), F.lit(False))

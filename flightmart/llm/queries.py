@@ -35,11 +35,16 @@ def target_ids(labels: DataFrame) -> DataFrame:
 
 
 def marked(docs: DataFrame, targets: DataFrame) -> DataFrame:
-    """``docs`` with is_target, null for other rows.  Only texts that can be
-    targets meet ``targets`` in a join; the others are never shuffled."""
+    """``docs`` with is_target, null for other rows.  One bitmap holds the
+    targets, a second the ids that pass the first by chance: ids alone are
+    shuffled to find these.  Only texts that are in both meet ``targets`` in a join."""
     seen = likely(docs, targets.select("doc_id"), "doc_id", "__may")
-    rest = seen.where("not __may").drop("__may").withColumn("is_target", F.lit(None).cast("boolean"))
-    return rest.union(seen.where("__may").drop("__may").join(targets, "doc_id", "left").select(*docs.columns, "is_target"))
+    # A left join: an anti join would be pushed below the filter, with every id in its shuffle.
+    strays = seen.where("__may").select("doc_id").distinct().join(targets, "doc_id", "left").where("is_target is null")
+    seen = likely(seen, stored(strays.select("doc_id"), "lm-strays"), "doc_id", "__doubt")
+    sure = seen.where("not (__may and __doubt)").select(*docs.columns, F.when(F.col("__may"), F.lit(True)).alias("is_target"))
+    doubt = seen.where("__may and __doubt").join(targets, "doc_id", "left")
+    return sure.union(doubt.select(*docs.columns, "is_target"))
 
 
 def op1_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:

@@ -11,7 +11,7 @@ from odd_rows import empty, odd  # noqa: F401
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from flightmart.llm import components, lm_scoring, mixing, near_dups, order_minhash, queries, site_lines
+from flightmart.llm import _common, components, lm_scoring, mixing, near_dups, order_minhash, queries, site_lines
 from flightmart.llm._common import table
 
 
@@ -292,7 +292,7 @@ def test_raking_under_a_budget(spark):
     assert sum(got.values()) == pytest.approx(1, abs=1e-4)
 
 
-def test_target_marks_shuffle_no_other_texts(spark):
+def test_target_marks_shuffle_no_other_texts(spark, monkeypatch):
     docs = spark.createDataFrame([(k, str(k)) for k in (1, 2, 2, 3, None, -4)] + [(5, None)], "doc_id long, text string")
     targets = queries.target_ids(spark.createDataFrame([(2, 1, 0), (5, 1, 0), (9, 1, 0), (3, 1, 1)], "doc_id long, quality int, toxic int"))
     out = queries.marked(docs, targets)
@@ -300,7 +300,11 @@ def test_target_marks_shuffle_no_other_texts(spark):
     wanted = [(1, "1", None), (2, "2", True), (2, "2", True), (3, "3", None), (None, "None", None), (-4, "-4", None), (5, None, True)]
     assert got == sorted(wanted, key=str)
     assert queries.marked(docs, targets.limit(0)).where("is_target is null").count() == 7
-    # A join that shuffles gets the few rows whose ids the bitmap lets through.
+    # With hardly any bits most ids are in doubt; the join then tells them apart.
+    monkeypatch.setattr(_common, "FILTER_BITS", 2)
+    assert sorted(((r.doc_id, r.text, r.is_target) for r in queries.marked(docs, targets).collect()), key=str) == got
+    monkeypatch.undo()
+    # A join that shuffles texts gets the few rows whose ids both bitmaps let through.
     many = spark.range(20_000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 500).alias("text")).localCheckpoint()
     few = targets.union(spark.range(100, 200).select("id", F.lit(True)))
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
@@ -312,7 +316,17 @@ def test_target_marks_shuffle_no_other_texts(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     join = text.split("Join LeftOuter, (doc_id")[1]
-    assert "Filter" in join.split("\n")[1] + join.split("\n")[2], text
+    assert "getbit" in join.split("\n")[1] + join.split("\n")[2], text
+    assert plan.where("is_target").agg(F.min("doc_id"), F.max("doc_id")).first() == (2, 199)
+
+
+def test_losses_leave_the_scratch_counts_at_zero(spark):
+    docs = spark.createDataFrame([(1, "abab abab", True), (2, "xyxy", False)], "doc_id long, text string, is_target boolean")
+    model = lm_scoring.fit(docs, "is_target", min_count=1, slots=64)
+    own = np.zeros(len(model.target), dtype=np.float32)
+    for text, counted in (("abab abab", True), ("xyxy", False), ("abab abab", True)):
+        assert lm_scoring.losses(text, model, counted, own) == lm_scoring.losses(text, model, counted)
+        assert not own.any()
 
 
 def test_near_copy_workers_get_small_batches(spark, monkeypatch):
