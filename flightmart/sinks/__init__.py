@@ -1,6 +1,6 @@
 """Sinks: staging and publishing."""
 
-from .files import even_partitions, publish, publish_zordered, stage_and_verify, write_stage
+from .files import DEAL, even_partitions, publish, publish_zordered, stage_and_verify, write_stage
 from .snapshots import (
     ConflictError,
     expire_snapshots,
@@ -12,6 +12,7 @@ from .snapshots import (
 )
 
 __all__ = [
+    "DEAL",
     "ConflictError",
     "even_partitions",
     "expire_snapshots",

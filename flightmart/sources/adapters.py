@@ -12,6 +12,8 @@ a table that grows with the scale factor, one output row per input row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,12 +101,13 @@ ADAPTERS: dict[str, tuple[str, str]] = {
 }
 
 
-def adapter(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The dirty table ``name`` over the benchmark tables in ``sf_dir``."""
+def adapter(spark: SparkSession, sf_dir: str, name: str, deal: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The dirty table ``name`` over the benchmark tables in ``sf_dir``, whose rows
+    ``deal`` may partition anew before they are widened."""
     compile_wide_stages(spark)
     text, table = ADAPTERS[name]
     source = spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
-    return spark.sql(text, **{table: source})
+    return spark.sql(text, **{table: deal(source) if deal else source})
 
 
 def adapter_sql(name: str) -> str:
@@ -122,8 +125,8 @@ def year_span(raw: DataFrame, year: str = "Year") -> tuple[int, int]:
     return first, last
 
 
-def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adapter(spark, sf_dir, "raw_flights")
+def raw_flights(spark: SparkSession, sf_dir: str, deal: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    return adapter(spark, sf_dir, "raw_flights", deal)
 
 
 def raw_airports(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,6 +70,23 @@ def test_bz2_roundtrip(spark, tmp):
     assert sorted(tuple(r) for r in back.collect()) == [("2000", "7"), ("2000", "NA")]
 
 
+def test_bz2_files_are_even_whatever_the_row_groups(spark, tmp):
+    import __spark_entry__ as entry
+
+    rows = spark.range(0, 30_000, 1, 1).select(
+        F.col("id").alias("l_orderkey"), (F.col("id") % 500).alias("l_partkey"), (F.col("id") % 70).alias("l_suppkey"),
+        (F.col("id") % 4).cast("int").alias("l_linenumber"), F.lit(datetime.date(1995, 3, 1)).alias("l_shipdate"),
+    )
+    for name, some in (("rows", rows), ("none", rows.where("l_orderkey < 0"))):
+        some.write.parquet(f"{tmp}/{name}/lineitem.parquet")
+        back, raw = entry.q_bz2_roundtrip(spark, f"{tmp}/{name}"), entry.raw_flights(spark, f"{tmp}/{name}")
+        assert back.columns == raw.columns
+        assert back.exceptAll(raw).count() == raw.exceptAll(back).count() == 0
+        sizes = [r["count"] for r in back.groupBy(F.input_file_name()).count().collect()]
+        n = 3 * spark.sparkContext.defaultParallelism if name == "rows" else 0
+        assert len(sizes) == n and all(abs(x - 30_000 / n) <= 2 for x in sizes)
+
+
 def test_resolve_sources_policies(spark, tmp):
     _write(f"{tmp}/2001_data.csv", "a\n1\n")
     paths = year_paths(tmp, 2000, 2001)
