@@ -37,6 +37,15 @@ def likely(rows: DataFrame, ids: DataFrame, id: str, name: str) -> DataFrame:
     return found.select(*[F.col(quoted(c)) for c in rows.columns], F.coalesce(held, F.lit(False)).alias(name))
 
 
+def matched(rows: DataFrame, few: DataFrame, id: str) -> DataFrame:
+    """``rows`` left joined with ``few`` by ``id``; rows that a bitmap of ``few``'s
+    ids keeps out are not shuffled.  ``few`` is read twice: give it stored."""
+    seen = likely(rows, few.select(id), id, "__may")
+    more = [c for c in few.columns if c != id]
+    sure = seen.where("not __may").select(*rows.columns, *[F.lit(None).cast(few.schema[c].dataType).alias(c) for c in more])
+    return sure.union(seen.where("__may").join(few, id, "left").select(*rows.columns, *more))
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row."""
     return F.element_at(F.transform(F.array(value), body), 1)

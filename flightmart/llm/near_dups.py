@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settings
-from ._common import likely, stored
+from ._common import likely, matched, quoted, stored
 from .components import components
 
 N_HASHES, BAND = 128, 4
@@ -291,13 +291,13 @@ def _bands(classes: DataFrame) -> DataFrame:
 
 def _likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """``docs`` without most rows whose id is not in ``ids``."""
-    return likely(docs.select("id", "text"), ids, "id", "__held").where("__held").drop("__held")
+    return likely(docs, ids, "id", "__held").where("__held").drop("__held")
 
 
 def _sets_of(ids: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     """(id, set) of the texts with these ids; of the others hardly any is shuffled."""
     # An inner join: a semi join would be pushed below the filter, with every text in its shuffle.
-    some = _likely(docs, ids).join(ids.distinct(), "id")
+    some = _likely(docs.select("id", "text"), ids).join(ids.distinct(), "id")
     sets = some.mapInPandas(_sets(size), "id long, fp binary, set binary")
     return stored(sets.groupBy("id").agg(F.min(F.struct("fp", "set")).alias("own")).select("id", "own.set"), "near-sets")
 
@@ -327,10 +327,14 @@ def _near_duplicates(docs: DataFrame, id: str, text: str, size: int, percent: in
     known = rows.where("id is not null")
     prints = stored(rows.mapInPandas(_signatures(percent, size), "id long, n long, fp binary, sig binary, odd binary"), "near-signatures")
     full = prints.where("fp is not null and id is not null")
+    # Ids and fingerprints alone are shuffled to find which come more than once; of all other rows
+    # no signature leaves its place.
     twins = full.groupBy("id").agg(F.min("fp").alias("own"), F.count("*").alias("k")).where("k > 1").select("id", "own")
-    full = full.join(twins, "id", "left").where("own is null or own = fp")
-    classes = full.groupBy("fp").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("odd").alias("odd"))
-    classes = stored(classes, "near-classes")
+    full = matched(full, stored(twins, "near-twins"), "id").where("own is null or own = fp").drop("own")
+    repeated = stored(full.groupBy("fp").agg(F.count("*").alias("k")).where("k > 1").select("fp"), "near-repeated")
+    seen = likely(full, repeated, "fp", "__may")
+    several = seen.where("__may").groupBy("fp").agg(*[f(c).alias(c) for f, c in ((F.min, "id"), (F.first, "n"), (F.first, "sig"), (F.first, "odd"))])
+    classes = stored(seen.where("not __may").select(several.columns).union(several), "near-classes")
 
     bands = _bands(classes)
     buckets = bands.groupBy("band").agg(F.min(F.struct("id", "n")).alias("hub"), F.count("*").alias("size")).where("size > 1")
@@ -338,14 +342,15 @@ def _near_duplicates(docs: DataFrame, id: str, text: str, size: int, percent: in
     met = bands.join(buckets, "band").where("id <> hub.id and 100 * least(n, hub.n) >= %d * greatest(n, hub.n)" % percent)
     met = met.groupBy("id", F.col("hub.id").alias("hub")).agg(F.count("*").alias("bands"))
     best = met.groupBy(F.col("id").alias("b")).agg(F.max_by("hub", F.struct("bands", -F.col("hub"))).alias("a"))
-    sigs = classes.select("id", "sig")
+    best = stored(best, "near-best")
+    sigs = _likely(classes.select("id", "sig"), best.select(F.explode(F.array("a", "b")).alias("id")))
     pairs = best.join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a")
     pairs = pairs.join(sigs.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b")
     pairs = stored(pairs.mapInPandas(_pruned_pairs(least), "a long, b long"), "near-hubs")
     links = _confirm(pairs, known, percent, size)
-    stars = components(links)
+    stars = stored(components(links).withColumnRenamed("node", "id"), "near-stars")
 
-    labelled = classes.join(stars.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id"))
+    labelled = matched(classes, stars, "id").withColumn("comp", F.coalesce("component", "id"))
     labelled = stored(labelled.select("id", "n", "sig", "odd", "comp"), "near-labelled")
     where = _bands(labelled.select("id", "n", "sig")).join(buckets.select("band", "size", F.col("hub.id").alias("hub")), "band")
     where = where.join(labelled.select("id", "comp"), "id").select("band", "k", "id", "comp", "hub", "size")
@@ -356,7 +361,8 @@ def _near_duplicates(docs: DataFrame, id: str, text: str, size: int, percent: in
     members = where.drop("hub", "size").join(mixed.select("band", "main", "size"), "band")
     members = members.withColumn("minor", F.col("comp") != F.col("main"))
     members = members.withColumn("block", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / BLOCK)))
-    members = members.join(labelled.select("id", "n", "sig", "odd"), "id")
+    members = stored(members, "near-members")
+    members = members.join(_likely(labelled.select("id", "n", "sig", "odd"), members.select("id")), "id")
     blocks = members.groupBy("band", "minor", "block").agg(F.first("k").alias("k"), F.collect_list(F.struct("id", "n", "comp", "sig", "odd")).alias("rows"))
     blocks = stored(blocks, "near-blocks")
     left = blocks.where("minor").select("band", F.col("block").alias("at"), F.col("rows").alias("left"))
@@ -389,10 +395,12 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int
     """``docs`` with one document of each group: the smallest id of each
     component; of rows with one id, one; rows without an id stay."""
     found = near_duplicates(docs, id, text, size, percent).where("id is not null")
-    kept = found.groupBy("id").agg(F.min("component_id").alias("low"), F.count("*").alias("__copies"))
-    kept = kept.where("id = low").select(F.col("id").alias("__id"), "__copies")
-    at = F.col(f"`{id}`").cast("long")
-    joined = docs.join(kept, at == F.col("__id"), "left")
-    once = joined.where((F.col("__copies") == 1) | at.isNull())
-    again = joined.where(F.col("__copies") > 1).dropDuplicates(["__id"])
-    return once.union(again).drop("__id", "__copies")
+    kept = found.groupBy("id").agg(F.min("component_id").alias("low"), F.count("*").alias("copies"))
+    others = kept.where("id <> low or copies > 1").select(F.col("id").alias("__id"), (F.col("id") == F.col("low")).alias("__kept"))
+    others = stored(others, "near-others")
+    # Texts are shuffled only where their id may be among those that go or come more than once.
+    seen = likely(docs.withColumn("__id", F.col(f"`{id}`").cast("long")), others.select("__id"), "__id", "__may")
+    seen = seen.withColumn("__may", F.col("__may") & F.col("__id").isNotNull())
+    some = seen.where("__may").join(others, "__id", "left").where("coalesce(__kept, true)").dropDuplicates(["__id"])
+    columns = [F.col(quoted(c)) for c in docs.columns]
+    return seen.where("not __may").select(columns).union(some.select(columns))

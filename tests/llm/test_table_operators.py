@@ -125,6 +125,30 @@ def test_near_duplicates_edges(spark, odd, empty):
     assert near_dups.near_duplicates(empty).count() == 0 and near_dups.keep_one(empty).count() == 0
 
 
+def test_keep_one_shuffles_no_text_that_stays(spark):
+    body = "concat_ws(' ', transform(sequence(1, 30), x -> concat('w', g * 100 + x)))"
+    docs = spark.range(400).selectExpr("id as doc_id", "if(id % 10 = 9, id - 1, id) as g").selectExpr("doc_id", f"{body} as text")
+    again = spark.createDataFrame([(7, "other text of the same id"), (8, None), (8, None), (None, "no id"), (None, "no id")], "doc_id long, text string")
+    out = near_dups.keep_one(docs.union(again), size=2)
+    got = Counter(r.doc_id for r in out.collect())
+    assert got == Counter([*[i for i in range(400) if i % 10 != 9], None, None])
+    plan = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    joins = [i for i, line in enumerate(plan) if "Join LeftOuter, (__id#" in line]
+    assert joins
+    for i in joins:
+        deep = len(plan[i]) - len(plan[i].lstrip(" :+-"))
+        side = [j for j in range(i + 1, len(plan)) if len(plan[j]) - len(plan[j].lstrip(" :+-")) <= deep + 3]
+        assert any("getbit" in line for line in plan[side[0] : side[1]])
+
+
+def test_matched_is_a_left_join(spark):
+    rows = spark.createDataFrame([(i if i % 9 else None, str(i)) for i in range(300)], "id long, s string")
+    few = spark.createDataFrame([(3, 6.0), (3, 7.0), (7, None), (500, 1.0)], "id long, x double")
+    got = _common.matched(rows, few, "id")
+    assert got.columns == ["id", "s", "x"]
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, rows.join(few, "id", "left").collect()))
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     got = components.components(edges.union(spark.createDataFrame([(900, 901)], "a long, b long"))).collect()
