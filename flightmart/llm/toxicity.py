@@ -35,13 +35,13 @@ import hashlib
 import math
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -51,7 +51,8 @@ WORD = re.compile(r"\w+")
 PLACES, ID_BITS = 10**12, 22
 CHUNK = 128  # texts weighed together
 TOGETHER = 32  # queries searched together
-FEW = 8  # examples searched together on the driver, whose memory is short
+FEW = 8  # examples searched together for their calibration
+OWN = 256  # examples that a task gets at a time
 SHARED = 1 / 8  # share of the examples from which a term's weights are a row of a matrix
 FIRST = 2  # blocks that are scored before bounds are compared
 COLUMNS = ["score", "predicted", "evidence_ids", "evidence_cosines", "evidence_labels"]
@@ -375,11 +376,35 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
     sample = [{"id": r[0], "y": r[1], "terms": np.searchsorted(vocabulary.terms, r[2]).astype(np.int32), "tf": r[3].astype(np.int32)} for r in sample]
     del drawn  # the sample holds copies now
     pa.default_memory_pool().release_unused()
-    return assemble(sample, vocabulary, vocabulary.weight(vocabulary.terms), rates, pos / n if n else 0.5, p)
+    idf = vocabulary.weight(vocabulary.terms)
+    return assemble(sample, vocabulary, idf, rates, pos / n if n else 0.5, p, lambda index, k: search_in_tasks(docs.sparkSession, index, k))
 
 
-def assemble(sample: list, vocabulary: Vocabulary, idf: np.ndarray, rates: list[float], prior: float, p: Params) -> Model:
-    """Index the sampled examples and calibrate on their leave-one-out votes."""
+def search_own(index: BlockMaxIndex, k: int) -> tuple[np.ndarray, np.ndarray]:
+    return index.search(index.rows, k, FEW)
+
+
+def search_in_tasks(spark: SparkSession, index: BlockMaxIndex, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """``search_own`` with the examples dealt over tasks, so that the driver builds no postings."""
+    held = spark.sparkContext.broadcast(index)
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for at in b["id"].tolist():
+                cosines, examples = held.value.search(held.value.rows[at : at + OWN], k, FEW)
+                yield pd.DataFrame({"at": [at], "cosines": [cosines.tobytes()], "examples": [examples.astype("<i8").tobytes()]})
+
+    found = spark.range(0, len(index.rows), OWN).mapInPandas(search, "at long, cosines binary, examples binary").toArrow()
+    parts = sorted(zip(*(found[c].to_pylist() for c in ("at", "cosines", "examples"))))
+    held.destroy()
+    return tuple(np.frombuffer(b"".join(x[at] for x in parts), kind).reshape(-1, k) for at, kind in ((1, "<f8"), (2, "<i8")))
+
+
+def assemble(
+    sample: list, vocabulary: Vocabulary, idf: np.ndarray, rates: list[float], prior: float, p: Params,
+    search: Callable[[BlockMaxIndex, int], tuple[np.ndarray, np.ndarray]] = search_own,
+) -> Model:
+    """Index the sampled examples and calibrate on their leave-one-out votes, which ``search`` finds."""
     merged: dict[bytes, list] = {}
     for r in sorted(sample, key=lambda r: (r["id"] is None, str(r["id"]))):
         terms, weights = weigh(r["terms"], r["tf"], idf)
@@ -393,7 +418,7 @@ def assemble(sample: list, vocabulary: Vocabulary, idf: np.ndarray, rates: list[
     model = Model(vocabulary, index, prior, (np.zeros(0), np.zeros(0)), p)
     votes, labels, weights = [], [], []
     if entries:
-        cosines, examples = index.search(index.rows, p.neighbours + 1, FEW)
+        cosines, examples = search(index, p.neighbours + 1)
         self_at = (examples == np.arange(len(entries))[:, None]) & (cosines > 0)
         # An example of one row leaves its list; of several rows, one row's weight leaves.
         drop = self_at & np.array([len(e[4]) == 1 for e in entries])[:, None]

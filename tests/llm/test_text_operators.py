@@ -215,6 +215,23 @@ def test_block_max_search_is_exact():
     assert none.search(queries_[:0], 3)[0].shape == (0, 3) and not none.search([rows[0]], 3)[0].any()
 
 
+def test_examples_are_searched_in_tasks(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(np.sort(rng.choice(40, 5, replace=False)), np.full(5, 0.2**0.5)) for _ in range(600)]
+    index = toxicity.BlockMaxIndex(40, 32, [str(i) for i in range(600)], np.ones((600, 2)), rows)
+    want = toxicity.search_own(index, 7)
+    got = toxicity.search_in_tasks(spark, index, 7)
+    assert all(np.array_equal(a, b) for a, b in zip(got, want))
+
+    def on_the_driver(self):
+        raise AssertionError("postings on the driver")
+
+    monkeypatch.setattr(toxicity.BlockMaxIndex, "_build", on_the_driver)
+    docs = spark.createDataFrame([(i, f"word{i % 7} other{i % 5}") for i in range(40)], "doc_id long, text string")
+    model = toxicity.fit(docs, docs.selectExpr("doc_id", "cast(doc_id % 7 = 0 as int) as toxic"))
+    assert len(model.index.rows) == 35 and len(model.steps[0])
+
+
 def test_leave_one_out_calibration_by_loop():
     rng, p = np.random.default_rng(6), toxicity.Params(neighbours=3, block=8)
     sample = []
