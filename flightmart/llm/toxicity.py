@@ -34,9 +34,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from itertools import chain, count
 
 import numpy as np
 import pandas as pd
@@ -48,8 +49,11 @@ from pyspark.sql.functions import pandas_udf
 from ._common import quoted, stored, text_or_empty
 
 WORD = re.compile(r"\w+")
+#: Latin-1 characters, with spaces for those that are in no word.
+LATIN = "".join(c if WORD.match(c) else " " for c in map(chr, range(256))).encode("latin-1")
 PLACES, ID_BITS = 10**12, 22
 CHUNK = 128  # texts weighed together
+COUNTED = 1 << 16  # words that are counted before they are hashed
 TOGETHER = 32  # queries searched together
 FEW = 8  # examples searched together for their calibration
 OWN = 256  # examples that a task gets at a time
@@ -73,7 +77,11 @@ class Params:
 
 
 def words(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    low = (text or "").lower()
+    try:
+        return low.encode("latin-1").translate(LATIN).decode("latin-1").split()  # the same words, sooner
+    except UnicodeEncodeError:
+        return WORD.findall(low)
 
 
 def hashed(found: list[str]) -> np.ndarray:
@@ -84,14 +92,11 @@ def term_counts(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray, np
     """Hashes of the distinct words, then text after text the places of its
     words among these and their counts, and how many each text has."""
     found = [Counter(words(t)) for t in texts]
-    place: dict[str, int] = {}
-    for own in found:
-        for w in own:
-            place.setdefault(w, len(place))
+    place: defaultdict[str, int] = defaultdict(count().__next__)
     sizes = np.array([len(own) for own in found], dtype=np.int64)
     n = int(sizes.sum())
-    at = np.fromiter((place[w] for own in found for w in own), np.int64, n)
-    tf = np.fromiter((c for own in found for c in own.values()), np.int64, n)
+    at = np.fromiter(map(place.__getitem__, chain.from_iterable(found)), np.int64, n)
+    tf = np.fromiter(chain.from_iterable(own.values() for own in found), np.int64, n)
     return hashed(list(place)), at, tf, sizes
 
 
@@ -176,7 +181,8 @@ class BlockMaxIndex:
         return (top >> ID_BITS) / PLACES, examples
 
     def _search(self, queries: list[tuple[np.ndarray, np.ndarray]], top: np.ndarray) -> None:
-        """All queries at once: a pair, then a posting, goes by query and block."""
+        """Bounds of all queries at once, where a pair goes by query and block; then
+        postings query by query, as their arrays stay in the processor's cache."""
         p, n, m, k = self.postings, len(self.rows), len(queries), top.shape[1]
         edges = np.arange(0, n, self.block)
         terms = np.concatenate([np.asarray(t, dtype=np.int64) for t, _ in queries])
@@ -188,19 +194,24 @@ class BlockMaxIndex:
         cosines = q @ p.dense
         terms, weights, who = terms[at < 0], weights[at < 0], who[at < 0]
         sizes = p.pairs_of[terms + 1] - p.pairs_of[terms]
-        pairs, by, who = ranges(p.pairs_of[terms], sizes), np.repeat(weights, sizes), np.repeat(who, sizes)
-        cell = who * len(edges) + p.block_of[pairs]
-        bound = np.maximum.reduceat(cosines, edges, axis=1) + np.bincount(cell, by * p.best[pairs], m * len(edges)).reshape(m, -1)
+        pairs, own = ranges(p.pairs_of[terms], sizes), np.repeat(np.arange(len(terms)), sizes)
+        cell = np.repeat(who * len(edges), sizes) + p.block_of[pairs]
+        bound = np.maximum.reduceat(cosines, edges, axis=1) + np.bincount(cell, weights[own] * p.best[pairs], m * len(edges)).reshape(m, -1)
         turn = np.zeros(bound.shape, dtype=bool)
         np.put_along_axis(turn, np.argsort(-bound, axis=1, kind="stable")[:, :FIRST], True, axis=1)
         seen = turn
         while turn.any():
-            go = turn.ravel()[cell]
-            first = p.first[pairs[go]]
-            held = p.first[pairs[go] + 1] - first
-            at = ranges(first, held)
-            to = np.repeat(who[go] * n, held) + p.examples[at]
-            cosines += np.bincount(to, np.repeat(by[go], held) * p.weights[at], m * n).reshape(m, n)
+            go = np.flatnonzero(turn.ravel()[cell])
+            # A term's pairs one after the other are one run of postings.
+            starts = np.flatnonzero((np.diff(pairs[go], prepend=-2) != 1) | (np.diff(own[go], prepend=-1) != 0))
+            first = p.first[pairs[go[starts]]]
+            held = p.first[pairs[go[np.append(starts, len(go))[1:] - 1]] + 1] - first
+            term = own[go[starts]]
+            ends = np.searchsorted(who[term], np.arange(m + 1)).tolist()
+            for i in range(m):
+                cut = slice(ends[i], ends[i + 1])
+                at = ranges(first[cut], held[cut])
+                cosines[i] += np.bincount(p.examples[at], np.repeat(weights[term[cut]], held[cut]) * p.weights[at], n)
             # What is not summed yet is missing from a cosine, so this is no more than the k-th best.
             last = np.partition(cosines, max(0, n - k), axis=1)[:, max(0, n - k)] if n >= k else np.zeros(m)
             turn = ~seen & (bound > 0) & (bound >= last[:, None] - 1e-9)
@@ -291,6 +302,35 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return np.array(at), np.array([p[0] / p[1] for p in pools for _ in (0, 1)])
 
 
+def count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Documents by word; the row without the mark counts all documents."""
+    held, parts, size, every = Counter(), [], 0, 0
+
+    def hashes() -> tuple[np.ndarray, np.ndarray]:
+        return hashed(list(held)), np.fromiter(held.values(), np.int64, len(held))
+
+    def taken() -> pd.DataFrame:
+        words, at = np.unique(np.concatenate([w for w, _ in parts]), return_inverse=True)
+        return pd.DataFrame({"word": words, "n": np.bincount(at, np.concatenate([c for _, c in parts]), len(words)).astype(np.int64), "word_row": True})
+
+    for b in batches:
+        every += len(b)
+        for t in b["text"]:
+            held.update(set(words(t)))
+            if len(held) > COUNTED:
+                parts.append(hashes())
+                size += len(held)
+                held.clear()
+        if size > 4_000_000:
+            yield taken()
+            parts, size = [], 0
+    if held:
+        parts.append(hashes())
+    if parts:
+        yield taken()
+    yield pd.DataFrame({"word": [0], "n": [every], "word_row": [False]})
+
+
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", id: str = "doc_id", params: Params | None = None) -> Model:
     """Learn from the ``docs`` that ``labels`` (id, label; a row per id) names;
     IDF comes from all ``docs``.
@@ -311,26 +351,6 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
     share = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / float(1 << 30)
     n, pos = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
 
-    def count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Documents by word; the row without the mark counts all documents."""
-        parts, size, every = [], 0, 0
-
-        def taken() -> pd.DataFrame:
-            words, at = np.unique(np.concatenate([w for w, _ in parts]), return_inverse=True)
-            return pd.DataFrame({"word": words, "n": np.bincount(at, np.concatenate([c for _, c in parts]), len(words)).astype(np.int64), "word_row": True})
-
-        for b in batches:
-            every += len(b)
-            for k in range(0, len(b), CHUNK):
-                parts.append(np.unique(hashed([w for t in b["text"].iloc[k : k + CHUNK] for w in set(words(t))]), return_counts=True))
-                size += len(parts[-1][0])
-            if size > 4_000_000:
-                yield taken()
-                parts, size = [], 0
-        if size:
-            yield taken()
-        yield pd.DataFrame({"word": [0], "n": [every], "word_row": [False]})
-
     def counted(texts: DataFrame) -> DataFrame:
         found = texts.select("text").mapInPandas(count_words, "word long, n long, word_row boolean")
         return found.groupBy("word", "word_row").agg(F.sum("n").alias("n"))

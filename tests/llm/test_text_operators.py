@@ -5,6 +5,7 @@ import json
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import SF_SMALL
 from odd_rows import empty, odd  # noqa: F401
@@ -215,6 +216,48 @@ def test_block_max_search_is_exact():
     assert none.search(queries_[:0], 3)[0].shape == (0, 3) and not none.search([rows[0]], 3)[0].any()
 
 
+def test_search_expands_one_query_at_a_time(monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = []
+    for _ in range(400):
+        w = rng.random(6)
+        rows.append((np.sort(rng.choice(90, 6, replace=False)), w / np.linalg.norm(w)))
+    index = toxicity.BlockMaxIndex(90, 16, [str(i) for i in range(400)], np.ones((400, 2)), rows)
+    want, sizes = index.search(rows[:64], 8, 1), []
+    ranges = toxicity.ranges
+    monkeypatch.setattr(toxicity, "ranges", lambda starts, n: sizes.append((len(n), int(n.sum()))) or ranges(starts, n))
+    got = index.search(rows[:64], 8, 64)
+    assert all(np.array_equal(a, b) for a, b in zip(got, want))
+    runs, postings = (np.array(x) for x in zip(*sizes[1:]))  # the first expands terms to pairs
+    held = np.bincount(np.concatenate([t for t, _ in rows]), minlength=90)
+    assert postings.max() <= max(int(held[t].sum()) for t, _ in rows[:64])
+    assert runs.sum() < sizes[0][1] / 2  # a term's blocks go together
+
+
+def test_words_without_a_pattern():
+    every = [chr(c) for c in range(0x3000)] + ["\ud800", "\U0001f600", "\U00010400"]
+    for c in every:
+        text = f"A{c}b {c}{c} \xc9t\xe9_1"
+        assert toxicity.words(text) == toxicity.WORD.findall(text.lower())
+    assert toxicity.words(None) == toxicity.words("") == []
+
+
+def test_words_are_hashed_once_for_many_texts(monkeypatch):
+    texts = [f"one two two three w{i % 3}" for i in range(1000)] + ["", None]
+    seen, hashed = [], toxicity.hashed
+    monkeypatch.setattr(toxicity, "hashed", lambda found: seen.extend(found) or hashed(found))
+    batches = [pd.DataFrame({"text": texts[:600]}), pd.DataFrame({"text": texts[600:]})]
+    out = pd.concat(toxicity.count_words(iter(batches)))
+    assert sorted(seen) == ["one", "three", "two", "w0", "w1", "w2"]
+    assert out.loc[~out["word_row"], "n"].tolist() == [1002]
+    want = {"one": 1000, "two": 1000, "three": 1000, "w0": 334, "w1": 333, "w2": 333}
+    assert dict(zip(out["word"], out["n"])) | {0: 0} == {int(hashed([w])[0]): n for w, n in want.items()} | {0: 0}
+    monkeypatch.setattr(toxicity, "COUNTED", 2)
+    again = pd.concat(toxicity.count_words(iter(batches)))
+    assert again.sort_values("word").values.tolist() == out.sort_values("word").values.tolist()
+    assert pd.concat(toxicity.count_words(iter([])))["n"].tolist() == [0]
+
+
 def test_examples_are_searched_in_tasks(spark, monkeypatch):
     rng = np.random.default_rng(8)
     rows = [(np.sort(rng.choice(40, 5, replace=False)), np.full(5, 0.2**0.5)) for _ in range(600)]
