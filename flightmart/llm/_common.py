@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +31,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Freed memory goes back to the machine, which the C library and Arrow put off."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim:
+        trim(0)
+
+
+def giving_back(of: Callable[[Iterable], Iterator[pd.DataFrame]]) -> Callable[[Iterable], Iterator[pd.DataFrame]]:
+    """``of`` for a worker that serves many stages: what earlier ones let go of, such
+    as a broadcast, goes back before ``of`` begins, and its own when it ends."""
+
+    @wraps(of)
+    def run(batches: Iterable) -> Iterator[pd.DataFrame]:
+        give_back()
+        try:
+            yield from of(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def likely(rows: DataFrame, ids: DataFrame, id: str, name: str) -> DataFrame:
     """``rows`` with boolean ``name``: true if ``id`` is in ``ids``, and for a few
     others.  A bitmap of hashed ids is broadcast, at ``FILTER_BITS`` bits at most

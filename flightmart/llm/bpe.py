@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import quoted, text_or_empty
+from ._common import giving_back, quoted, text_or_empty
 
 LONG = 512
 FIRST_WINDOW, GUARD = 64, 16
@@ -235,6 +235,7 @@ def _digests(ids: bytes, strings: np.ndarray) -> tuple[int, bytes, str]:
 
 
 def _whole(path: str):
+    @giving_back
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(path)
         strings = encoder.strings()
@@ -248,6 +249,7 @@ def _whole(path: str):
 
 
 def _leaves(path: str):
+    @giving_back
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(path)
         for b in batches:

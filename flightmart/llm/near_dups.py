@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settings
-from ._common import likely, matched, quoted, stored
+from ._common import giving_back, likely, matched, quoted, stored
 from .components import components
 
 N_HASHES, BAND = 128, 4
@@ -163,6 +163,7 @@ def survivors(a: np.ndarray, b: np.ndarray, least: list[int], pairs: tuple[np.nd
 def _signatures(percent: int, size: int):
     by = multipliers()
 
+    @giving_back
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache: dict[bytes, int] = {}
         for b in batches:
@@ -179,6 +180,7 @@ def _signatures(percent: int, size: int):
 
 
 def _sets(size: int):
+    @giving_back
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache: dict[bytes, int] = {}
         for b in batches:
@@ -189,6 +191,7 @@ def _sets(size: int):
 
 
 def _confirmed(percent: int):
+    @giving_back
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             ok = []
@@ -202,6 +205,7 @@ def _confirmed(percent: int):
 
 
 def _pruned_pairs(least: list[int]):
+    @giving_back
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             x = np.array([np.frombuffer(s, np.uint32) for s in b["sig_a"]]).reshape(-1, N_HASHES)
@@ -218,6 +222,7 @@ def _pruned_blocks(least: list[int], percent: int):
     size, that pass the batches, meet in no earlier band and can reach the
     threshold by their parities."""
 
+    @giving_back
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for left, right, same, k, key in zip(b["left"], b["right"], b["same"], b["k"], b["key"]):
@@ -258,6 +263,7 @@ def _confirmed_blocks(percent: int):
     """Links of a block pair that join components: a pair whose components
     an earlier one has joined needs no look at its sets."""
 
+    @giving_back
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             links = []

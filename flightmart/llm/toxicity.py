@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ._common import quoted, stored, text_or_empty
+from ._common import give_back, giving_back, quoted, stored, text_or_empty
 
 WORD = re.compile(r"\w+")
 #: Latin-1 characters, with spaces for those that are in no word.
@@ -173,7 +173,9 @@ class BlockMaxIndex:
         # One integer per neighbour: the cosine, then the example counted down.
         top = np.zeros((len(queries), k), dtype=np.int64)
         if self.rows:
-            self.postings = self.postings or self._build()
+            if self.postings is None:
+                self.postings = self._build()
+                give_back()  # building takes more than what it leaves
             for at in range(0, len(queries), together):
                 self._search(queries[at : at + together], top[at : at + together])
         top = -np.sort(-top, axis=1)
@@ -302,6 +304,7 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return np.array(at), np.array([p[0] / p[1] for p in pools for _ in (0, 1)])
 
 
+@giving_back
 def count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Documents by word; the row without the mark counts all documents."""
     held, parts, size, every = Counter(), [], 0, 0
@@ -381,6 +384,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
     vocabulary = Vocabulary(held["word"].to_numpy()[order], weights, other, np.zeros(0, dtype=np.int64))
     del held, order, df, tie
 
+    @giving_back
     def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             own = [term_counts([t]) for t in b["text"]]
@@ -408,6 +412,7 @@ def search_in_tasks(spark: SparkSession, index: BlockMaxIndex, k: int) -> tuple[
     """``search_own`` with the examples dealt over tasks, so that the driver builds no postings."""
     held = spark.sparkContext.broadcast(index)
 
+    @giving_back
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for at in b["id"].tolist():
@@ -465,11 +470,15 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
 
-    @pandas_udf(RESULT)
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @giving_back
+    def rows_of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             rows = [r for at in range(0, len(texts), CHUNK) for r in held.value.score(texts.iloc[at : at + CHUNK])]
             yield pd.DataFrame(rows, columns=COLUMNS)
 
+    @pandas_udf(RESULT)
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        yield from rows_of(batches)
+
     kept = [F.col(quoted(c)) for c in docs.columns if c.lower() not in COLUMNS]
     return docs.select(*kept, scored.asNondeterministic()(text_or_empty(text)).alias("__toxicity")).select(*kept, "__toxicity.*")

@@ -11,8 +11,8 @@ from odd_rows import empty, odd  # noqa: F401
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from flightmart.llm import _common, components, lm_scoring, mixing, near_dups, order_minhash, queries, site_lines
-from flightmart.llm._common import table
+from flightmart.llm import _common, bpe, components, lm_scoring, mixing, near_dups, order_minhash, queries, site_lines, toxicity
+from flightmart.llm._common import giving_back, table
 
 
 def brute_components(rows, size):
@@ -370,3 +370,26 @@ def test_near_copy_workers_get_small_batches(spark, monkeypatch):
     found = near_dups.near_duplicates(docs, "id", size=2)
     assert found.count() == 3_000 and found.where("component_id <> id").count() >= 1_500
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_workers_give_freed_memory_back():
+    def resident():
+        return int(open("/proc/self/statm").read().split()[1]) * 4096 / 1e6
+
+    kept = []
+
+    @giving_back
+    def of(batches):
+        rows = [np.zeros(120) for _ in range(100_000)]
+        kept.append(np.zeros(120))  # lies above the rows, so that the heap can't shrink by itself
+        yield resident() + 0 * len(rows)
+
+    start = resident()
+    (most,) = of([])
+    assert most > start + 90 and resident() < start + 30
+    path = queries.tokenizer_path()
+    for step in (
+        near_dups._signatures(80, 5), near_dups._sets(5), near_dups._pruned_pairs([]), near_dups._confirmed(80), near_dups._pruned_blocks([], 80),
+        near_dups._confirmed_blocks(80), bpe._whole(path), bpe._leaves(path), toxicity.count_words,
+    ):
+        assert step.__wrapped__ is not step
