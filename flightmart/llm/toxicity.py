@@ -149,23 +149,31 @@ class BlockMaxIndex:
     def _build(self) -> Postings:
         n = len(self.rows)
         blocks = -(-n // self.block)
-        terms = np.concatenate([t for t, _ in self.rows]).astype(np.int32)
+        terms = np.concatenate([t for t, _ in self.rows]).astype(np.int32, copy=False)
         weights = np.concatenate([w for _, w in self.rows])
         examples = np.repeat(np.arange(n, dtype=np.int32), [len(t) for t, _ in self.rows])
-        held = np.bincount(terms, minlength=self.n_terms)
-        many = np.flatnonzero(held >= max(2, n * SHARED))
+        common = np.bincount(terms, minlength=self.n_terms) >= max(2, n * SHARED)
+        many = np.flatnonzero(common)
         shared = np.full(self.n_terms, -1)
         shared[many] = np.arange(len(many))
         dense = np.zeros((len(many), n))
-        own = shared[terms] >= 0
+        own = common[terms]
         dense[shared[terms[own]], examples[own]] = weights[own]
-        order = np.flatnonzero(~own)[np.argsort(terms[~own], kind="stable")]
+        # Arrays as long as the postings are let go of as soon as they can.
+        terms, weights, examples = terms[~own], weights[~own], examples[~own]
+        order = np.argsort(terms, kind="stable")
         terms, weights, examples = terms[order], weights[order], examples[order]
-        pair = terms.astype(np.int64) * blocks + examples // self.block
-        first = np.flatnonzero(np.diff(pair, prepend=-1))
+        del own, order
+        pair = terms * np.int64(blocks)
+        pair += examples // self.block
+        del terms
+        new = np.ones(len(pair), dtype=bool)
+        np.not_equal(pair[1:], pair[:-1], out=new[1:])
+        first = np.flatnonzero(new)
+        pair = pair[first]
         best = np.maximum.reduceat(weights, first) if len(first) else np.zeros(0)
-        pairs_of = np.searchsorted(pair[first], np.arange(self.n_terms + 1) * blocks)
-        return Postings(shared, dense, pairs_of, pair[first] % blocks, best, np.append(first, len(terms)), examples, weights)
+        pairs_of = np.searchsorted(pair, np.arange(self.n_terms + 1) * blocks)
+        return Postings(shared, dense, pairs_of, (pair % blocks).astype(np.int32), best, np.append(first, len(weights)), examples, weights)
 
     def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, together: int = TOGETHER) -> tuple[np.ndarray, np.ndarray]:
         """Query x k best cosines and their examples, best first; cosine 0 is no
