@@ -2,7 +2,9 @@
 
 The vocabulary file's normaliser and pre-tokeniser never join characters
 across ASCII white space, so a run without any is encoded on its own, and
-each task keeps the runs it has met (frequent ones are encoded once).
+each task keeps the short runs it has met (frequent ones are encoded once),
+up to a number of them.  A task holds one small batch of rows and the
+pieces of one row at a time, whatever the size of its partition.
 
 Long unsplit text goes by halves: a run above ``LONG`` characters is cut in
 the middle again and again, the pieces are encoded, and two neighbours are
@@ -28,13 +30,18 @@ from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import hold_arrow_batches
 from ._common import giving_back, quoted, text_or_empty
 
 LONG = 512
+#: Runs and parts above so many characters are not kept from text to text.
+KEPT = 32
+#: Bytes of an Arrow batch that a worker gets, about; rows that it returns at once, of whole texts and of leaves.
+BATCH_BYTES, TOGETHER, LEAVES_TOGETHER = 4 << 20, 256, 64
 FIRST_WINDOW, GUARD = 64, 16
 RUN = re.compile(r"[^\x20\x09-\x0d]+")
 #: Letters that normal form C leaves alone and that lower-case one by one.
@@ -52,7 +59,7 @@ BYTE_CHARS = {b: 0x100 + k for k, b in enumerate(b for b in range(256) if b not
 class Encoder:
     """A tokeniser file with whole texts, pieces of texts and decoding."""
 
-    def __init__(self, path: str, memory: int = 400_000) -> None:
+    def __init__(self, path: str, memory: int = 300_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -81,19 +88,28 @@ class Encoder:
         pattern = cut["pattern"]["Regex"].replace(r"\p{L}", LETTERS).replace(r"\p{N}", "0-9")
         return None if r"\p" in pattern else re.compile(pattern).findall
 
-    def simple(self, text: str) -> bytes:
-        """Ids of a simple text, from those of the parts that the pattern finds."""
-        found, parts = self.split(text.lower()), self.parts
+    def make_room(self) -> None:
+        """Between texts, all that is kept goes once it is too much."""
+        every = (self.known, self.parts, self.runs)
+        if sum(map(len, every)) > self.memory:
+            for kept in every:
+                kept.clear()
+
+    def of_parts(self, found: list[str]) -> list[bytes]:
+        """Ids of each part of a simple text."""
+        parts = self.parts
         try:
-            return b"".join([parts[p] for p in found])
+            return [parts[p] for p in found]
         except KeyError:
-            if len(parts) > self.memory:
-                parts.clear()
-            tokenize = self.tokenizer.model.tokenize
+            tokenize, large = self.tokenizer.model.tokenize, {}
             for p in {*found}.difference(parts):
                 mapped = p if p.isascii() else p.encode().decode("latin-1").translate(BYTE_CHARS)
-                parts[p] = array("I", [t.id for t in tokenize(mapped)]).tobytes()
-        return b"".join([parts[p] for p in found])
+                (parts if len(p) <= KEPT else large)[p] = array("I", [t.id for t in tokenize(mapped)]).tobytes()
+        return [large[p] if p in large else parts[p] for p in found] if large else [parts[p] for p in found]
+
+    def simple(self, text: str) -> bytes:
+        """Ids of a simple text, from those of the parts that the pattern finds."""
+        return b"".join(self.of_parts(self.split(text.lower())))
 
     def is_simple(self, text: str) -> bool:
         return self.split is not None and SIMPLE.fullmatch(text) is not None and not any(m in text for m in self.marks)
@@ -101,31 +117,52 @@ class Encoder:
     def plain(self, text: str):
         return self.tokenizer.encode(text, add_special_tokens=False)
 
-    def learn(self, runs: set[bytes]) -> None:
-        """Encode runs that are not known yet."""
-        if len(self.known) + len(runs) > self.memory:
-            self.known.clear()
+    def learn(self, runs: set[bytes]) -> dict[bytes, bytes]:
+        """Encode runs that are not known yet; those too long to be kept are returned."""
         new = {r: r.decode() for r in runs if r not in self.known}
         short = [r for r, t in new.items() if len(t) <= LONG]
         done = self.tokenizer.encode_batch_fast([new[r] for r in short], add_special_tokens=False)
+        large: dict[bytes, bytes] = {}
         for r, e in zip(short, done):
-            self.known[r] = np.array(e.ids, dtype="<u4").tobytes()
+            (self.known if len(new[r]) <= KEPT else large)[r] = np.array(e.ids, dtype="<u4").tobytes()
         for r, t in new.items():
             if len(t) > LONG:
-                self.known[r] = np.array([i for p in self.tree(t, 0) for i in p[2]], dtype="<u4").tobytes()
+                large[r] = np.array([i for p in self.tree(t, 0) for i in p[2]], dtype="<u4").tobytes()
+        return large
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Token ids of each whole text as little-endian 32-bit integers."""
         out: list[bytes] = []
         for text in texts:
+            self.make_room()
             if self.is_simple(text) and max(map(len, text.split()), default=0) <= LONG:
                 out.append(self.simple(text))
                 continue
             runs = text.encode().split()
-            self.learn({*runs})
-            out.append(b"".join([self.known[r] for r in runs]))
+            large, known = self.learn({*runs}), self.known
+            out.append(b"".join([large[r] if r in large else known[r] for r in runs]))
         return out
 
+    def leaf(self, text: str, start: int) -> bytes:
+        """``packed`` pieces of a part of a text; those of a simple one are not made one by one."""
+        self.make_room()
+        low = text.lower() if self.is_simple(text) else ""
+        runs = low.split()
+        found = self.split(low) if runs and max(map(len, runs)) <= LONG else []
+        if not runs or "".join(found) != "".join(runs):  # else each part lies in one run
+            return packed(self.pieces(text, start), start)
+        ids = self.of_parts(found)
+        chars = np.frombuffer(low.encode("utf-32-le"), "<u4")
+        inside = np.zeros(len(chars) + 2, np.int8)
+        inside[1:-1] = (chars != 0x20) & ((chars < 0x09) | (chars > 0x0D))
+        steps = np.diff(inside)
+        begin, end = np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
+        first = np.searchsorted(np.cumsum([len(p) for p in found]), np.cumsum(end - begin) - (end - begin), "right")
+        counts = np.add.reduceat(np.fromiter(map(len, ids), np.int64, len(ids)) // 4, first)
+        begin, end, counts = (x[counts > 0] for x in (begin, end, counts))
+        head = np.stack([begin - np.concatenate([[0], end[:-1]]), end - begin, counts], axis=1)
+        return _squeezed(len(head), head.astype(np.uint32).tobytes() + b"".join(ids))
+
     def strings(self) -> np.ndarray:
         """Every token's text, by id, as the tokeniser joins them when decoding."""
         size = max(self.tokenizer.get_vocab().values()) + 1
@@ -146,8 +183,7 @@ class Encoder:
     def pieces(self, text: str, base: int) -> list[Piece]:
         out: list[Piece] = []
         known = self.runs
-        if len(known) > self.memory:
-            known.clear()
+        self.make_room()
         for m in RUN.finditer(text):
             run = m.group()
             ids = known.get(run)
@@ -155,7 +191,9 @@ class Encoder:
                 if len(run) > LONG:
                     out += self.tree(run, base + m.start())
                     continue
-                ids = known[run] = self._run(run)
+                ids = self._run(run)
+                if len(run) <= KEPT:
+                    known[run] = ids
             if ids:
                 out.append((base + m.start(), base + m.end(), ids))
         return out
@@ -234,32 +272,39 @@ def _digests(ids: bytes, strings: np.ndarray) -> tuple[int, bytes, str]:
     return len(found), ids, " ".join(strings[found].tolist())
 
 
+def _opened(path: str) -> tuple[Encoder, np.ndarray]:
+    encoder = Encoder(path)
+    return encoder, encoder.strings()
+
+
+def _tokens(ids: pa.Array, found: list[tuple[int, bytes, str]]) -> pa.RecordBatch:
+    n, tokens, decoded = zip(*found)
+    columns = [ids, pa.array(n, pa.int64()), pa.array(tokens, pa.binary()), pa.array(decoded, pa.string())]
+    return pa.RecordBatch.from_arrays(columns, names=["id", "n_tokens", "ids", "decoded"])
+
+
 def _whole(path: str):
     @giving_back
-    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(path)
-        strings = encoder.strings()
-        for b in batches:
-            for at in range(0, len(b), 256):
-                part = b.iloc[at : at + 256]
-                got = [_digests(i, strings) for i in encoder.ids(part["text"].tolist())]
-                yield pd.DataFrame({"id": part["id"].values, "n_tokens": [g[0] for g in got], "ids": [g[1] for g in got], "decoded": [g[2] for g in got]})
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, strings = _opened(path)
+        for batch in batches:
+            for at in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(at, TOGETHER)
+                yield _tokens(part.column(0), [_digests(i, strings) for i in encoder.ids(part.column(1).to_pylist())])
 
     return of
 
 
 def _leaves(path: str):
     @giving_back
-    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(path)
-        for b in batches:
-            rows = [encoder.pieces(t, int(s)) for t, s in zip(b["part"], b["start"])]
-            yield pd.DataFrame(
-                {
-                    "id": b["id"], "key": b["key"], "leaf": b["leaf"], "start": b["start"], "part": b["part"],
-                    "pieces": [packed(r, int(s)) for r, s in zip(rows, b["start"])],
-                }
-            )
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, _ = _opened(path)
+        for batch in batches:
+            for at in range(0, batch.num_rows, LEAVES_TOGETHER):
+                rows = batch.slice(at, LEAVES_TOGETHER)
+                start, part = (rows.column(c).to_pylist() for c in (3, 4))
+                pieces = pa.array([encoder.leaf(t, s) for t, s in zip(part, start)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*rows.columns, pieces], names=["id", "key", "leaf", "start", "part", "pieces"])
 
     return of
 
@@ -270,7 +315,11 @@ def packed(pieces: list[Piece], start: int) -> bytes:
     for a, b, ids in pieces:
         head += (a - at, b - a, len(ids))
         at = b
-    return zlib.compress(array("I", [len(pieces), *head, *(i for p in pieces for i in p[2])]).tobytes(), 1)
+    return _squeezed(len(pieces), array("I", [*head, *(i for p in pieces for i in p[2])]).tobytes())
+
+
+def _squeezed(n: int, rest: bytes) -> bytes:
+    return zlib.compress(array("I", [n]).tobytes() + rest, 1)
 
 
 def unpacked(data: bytes, start: int) -> list[Piece]:
@@ -287,17 +336,23 @@ def unpacked(data: bytes, start: int) -> list[Piece]:
 def _joined(path: str):
     held: list = []
 
-    def of(rows: pd.DataFrame) -> pd.DataFrame:
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not held:
-            encoder = Encoder(path)
-            held.extend((encoder, encoder.strings()))
-        copies = int((rows["leaf"] == 0).sum())
-        rows = rows.drop_duplicates("leaf").sort_values("leaf")
-        text = "".join(rows["part"])
-        edges = [*rows["start"].astype(int).tolist(), len(text)]
-        got = join_leaves(text, edges, [unpacked(p, int(s)) for p, s in zip(rows["pieces"], rows["start"])], held[0])
-        n, ids, decoded = _digests(np.array([i for p in got for i in p[2]], dtype="<u4").tobytes(), held[1])
-        return pd.DataFrame({"id": [rows["id"].iloc[0]] * copies, "n_tokens": n, "ids": [ids] * copies, "decoded": [decoded] * copies})
+            held.extend(_opened(path))
+        leaves: dict[int, tuple[int, str, bytes]] = {}
+        copies, own = 0, None
+        for rows in batches:
+            own = rows.column(0).slice(0, 1) if own is None and rows.num_rows else own
+            for k, leaf in enumerate(rows.column(2).to_pylist()):
+                copies += leaf == 0
+                if leaf not in leaves:
+                    leaves[leaf] = tuple(rows.column(c)[k].as_py() for c in (3, 4, 5))
+        starts, parts, pieces = zip(*(leaves[k] for k in sorted(leaves)))
+        text = "".join(parts)
+        got = join_leaves(text, [*starts, len(text)], [unpacked(p, s) for p, s in zip(pieces, starts)], held[0])
+        found = _digests(np.array([i for p in got for i in p[2]], dtype="<u4").tobytes(), held[1])
+        for _ in range(copies):
+            yield _tokens(own, [found])
 
     return of
 
@@ -305,11 +360,13 @@ def _joined(path: str):
 def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", leaf: int = 16384) -> DataFrame:
     """(id, n_tokens, ids, decoded) per row: ``ids`` as little-endian 32-bit
     integers in one binary, ``decoded`` as the file's own decoder gives it.
-    ``path``: the tokeniser file, at the same place on every machine."""
+    ``path``: the tokeniser file, at the same place on every machine.
+    Holds the session's Arrow batches to ``BATCH_BYTES``."""
+    hold_arrow_batches(docs.sparkSession, BATCH_BYTES)
     kind = docs.select(F.col(quoted(id))).dtypes[0][1]
     rows = docs.select(F.col(quoted(id)).alias("id"), text_or_empty(F.col(quoted(text))).alias("text"))
     schema = f"id {kind}, n_tokens long, ids binary, decoded string"
-    short = rows.where(F.length("text") <= leaf).mapInPandas(_whole(path), schema)
+    short = rows.where(F.length("text") <= leaf).mapInArrow(_whole(path), schema)
     # Halves, quarters, ...: as many equal parts as the least power of two that fits.
     parts = F.expr(f"shiftleft(1, cast(ceil(log2(length(text) / {leaf}D)) as int))")
     long = rows.where(F.length("text") > leaf).withColumn("key", F.sha2("text", 256)).withColumn("parts", parts)
@@ -317,7 +374,7 @@ def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", l
     begin = "cast(length(text) * cast({} as bigint) div parts as int)"
     long = long.withColumn("start", F.expr(begin.format("leaf"))).withColumn("stop", F.expr(begin.format("(leaf + 1)")))
     long = long.select("id", "key", "leaf", "start", F.expr("substring(text, start + 1, stop - start)").alias("part"))
-    spread = long.repartition(F.col("key"), F.col("leaf"))
-    leaves = spread.mapInPandas(_leaves(path), f"id {kind}, key string, leaf int, start int, part string, pieces binary")
-    joined = leaves.groupBy("id", "key").applyInPandas(_joined(path), schema)
+    spread = long.repartition("id", "key", "leaf")  # copies of a text go to different tasks
+    leaves = spread.mapInArrow(_leaves(path), f"id {kind}, key string, leaf int, start int, part string, pieces binary")
+    joined = leaves.groupBy("id", "key").applyInArrow(_joined(path), schema)
     return short.union(joined)

@@ -73,6 +73,15 @@ def compile_wide_stages(spark: SparkSession) -> None:
         spark.conf.set(limit, DEFAULT_CONF[limit])
 
 
+def hold_arrow_batches(spark: SparkSession, most: int) -> None:
+    """Hold the session's Arrow batches to ``most`` bytes, if its own limit is
+    higher.  It stays set, as the frames run after the call returns."""
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(limit))
+    if not 0 < own <= most:
+        spark.conf.set(limit, str(most))
+
+
 def _checkpoint_base(spark: SparkSession) -> str | None:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:

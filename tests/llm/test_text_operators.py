@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from conftest import SF_SMALL
 from odd_rows import empty, odd  # noqa: F401
@@ -44,6 +45,48 @@ def test_tree_concatenation_on_hard_strings(monkeypatch):
         assert np.frombuffer(e.ids([text])[0], "<u4").tolist() == want
 
 
+def test_bpe_leaf_equals_its_pieces():
+    e, rnd = bpe.Encoder(queries.tokenizer_path()), random.Random(6)
+    parts = ["a", "The", "'S", "it's", "--", "É", "Ärger", "12", "×", " ", "  ", "\n", "\t\x0b", "<|EndOfText|>", "x" * 600, "İ", "中", "<|endoftext|>", ""]
+    for k in range(300):
+        some = rnd.sample(parts[:14] if k % 2 else parts, rnd.randint(1, 6))
+        text = "".join(rnd.choice(some) for _ in range(rnd.randint(0, 60)))
+        assert e.leaf(text, 7) == bpe.packed(e.pieces(text, 7), 7)
+
+
+def test_bpe_tasks_hold_one_small_batch(spark):
+    path = queries.tokenizer_path()
+    n, text = 300, "the cat sat on the mat " * 40
+    rows = pa.RecordBatch.from_pydict({"id": list(range(n)), "key": ["k"] * n, "leaf": [0] * n, "start": [0] * n, "part": [text] * n})
+    got = list(bpe._leaves(path)([rows]))
+    assert sum(b.num_rows for b in got) == n and max(b.num_rows for b in got) <= 64
+    assert list(bpe._leaves(path)([])) == list(bpe._whole(path)([])) == []
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(limit)
+    try:
+        docs = spark.createDataFrame([(None, "b " * 20_000)] * 3 + [(k, "a " * 20_000) for k in range(9)], "doc_id long, text string")
+        for own, then in (("64m", 4 << 20), ("1000", 1000)):
+            spark.conf.set(limit, own)
+            out = bpe.encode(docs, path)
+            assert int(spark.conf.get(limit)) == then
+        # Copies of a text under many ids do not meet in one task.
+        assert "hashpartitioning(id" in out._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.id is None, r.id or 0, r.n_tokens) for r in out.collect()) == [(False, k, 20_000) for k in range(9)] + [(True, 0, 20_000)] * 3
+    finally:
+        spark.conf.set(limit, before)
+
+
+def test_bpe_keeps_short_runs_up_to_a_number():
+    e = bpe.Encoder(queries.tokenizer_path(), memory=200)
+    texts = [" ".join(f"{stem}{k}{stem * 40 if k % 50 == 0 else ''}" for k in range(at, at + 100)) for at in range(0, 1000, 100) for stem in ("ab", "é中")]
+    assert [np.frombuffer(i, "<u4").tolist() for i in e.ids(texts)] == [e.plain(t).ids for t in texts]
+    for t in texts:
+        assert [i for p in e.pieces(t, 0) for i in p[2]] == e.plain(t).ids
+        assert bpe.unpacked(e.leaf(t, 3), 3) == e.pieces(t, 3)
+    kept = [*e.known, *e.parts, *e.runs]
+    assert 0 < len(kept) <= 700 and max(len(k if isinstance(k, str) else k.decode()) for k in kept) <= bpe.KEPT
+
+
 def test_chat_round_trip():
     rnd = random.Random(1)
     parts = ["<", "\\", "|", chat.END, chat.START, "\n", "a", "n"]
