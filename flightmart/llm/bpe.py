@@ -59,7 +59,7 @@ BYTE_CHARS = {b: 0x100 + k for k, b in enumerate(b for b in range(256) if b not
 class Encoder:
     """A tokeniser file with whole texts, pieces of texts and decoding."""
 
-    def __init__(self, path: str, memory: int = 300_000) -> None:
+    def __init__(self, path: str, memory: int = 200_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -298,7 +298,7 @@ def _whole(path: str):
 def _leaves(path: str):
     @giving_back
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, _ = _opened(path)
+        encoder = Encoder(path)
         for batch in batches:
             for at in range(0, batch.num_rows, LEAVES_TOGETHER):
                 rows = batch.slice(at, LEAVES_TOGETHER)
